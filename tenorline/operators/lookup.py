@@ -1,0 +1,38 @@
+"""Joining many rows to a table that has one row per key."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, functions as F
+
+SPLITS = 16
+
+
+def planned_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate of the optimized plan."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def broadcast_limit(df: DataFrame) -> int:
+    text = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    size = df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils
+    return -1 if text.strip() == "-1" else int(size.byteStringAsBytes(text))
+
+
+def lookup_join(facts: DataFrame, lookup: DataFrame, on: Sequence[str], spread_by: str,
+                how: str = "left", splits: int = SPLITS) -> DataFrame:
+    """Joins ``facts`` to ``lookup``, which is unique on ``on`` and much the smaller.
+
+    Below the session's broadcast threshold Spark broadcasts the lookup and no
+    key can be hot. Beyond it every lookup row is repeated once per slot and
+    facts are spread over the slots by ``spread_by``: a key that holds a third
+    of all facts is then shared by ``splits`` tasks, and AQE may split further.
+    """
+    on = list(on)
+    if planned_bytes(lookup) <= broadcast_limit(lookup):
+        return facts.join(lookup, on, how)
+    slots = F.explode(F.sequence(F.lit(0), F.lit(splits - 1)).cast("array<bigint>"))
+    spread = facts.withColumn("_slot", F.pmod(F.xxhash64(spread_by), F.lit(splits)))
+    repeated = lookup.withColumn("_slot", slots)
+    return spread.join(repeated, [*on, "_slot"], how).drop("_slot")
