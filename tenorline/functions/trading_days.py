@@ -128,3 +128,13 @@ def market_schedule(ranges: DataFrame, start: str, end: str) -> DataFrame:
 def closed_by(schedule: DataFrame, as_of: Column) -> DataFrame:
     """Sessions whose close is not in the future of ``as_of``."""
     return schedule.filter(F.col("market_close") <= as_of)
+
+
+def date_chunks(ranges: DataFrame, size: int, start: str = "sd", end: str = "ed") -> DataFrame:
+    """Each date range cut into runs of ``size`` calendar days, the last one shorter."""
+    first = F.sequence(F.col(start), F.col(end), F.expr(f"interval {int(size)} days"))
+    return (
+        ranges.filter(F.col(start) <= F.col(end))
+        .withColumn(start, F.explode(first))
+        .withColumn(end, F.least(F.date_add(start, size - 1), F.col(end)))
+    )

@@ -9,6 +9,7 @@ AS_OF = date(1999, 11, 15)
 # Full-day New York closures in the years of the test tables, listed
 # one by one so that the rules in the library are checked against a plain calendar.
 CLOSED_SQL = "(values " + ", ".join(f"(date '{d}')" for d in """
+1994-12-26
 1995-01-02 1995-02-20 1995-04-14 1995-05-29 1995-07-04 1995-09-04 1995-11-23 1995-12-25
 1996-01-01 1996-02-19 1996-04-05 1996-05-27 1996-07-04 1996-09-02 1996-11-28 1996-12-25
 1997-01-01 1997-02-17 1997-03-28 1997-05-26 1997-07-04 1997-09-01 1997-11-27 1997-12-25
@@ -40,7 +41,7 @@ days as (
            g + to_minutes(cast(coalesce(s.col1, 960) as int)))) as timestamp) as close_at,
          cast(timezone('UTC', timezone('America/New_York',
            g + to_minutes(570))) as timestamp) as open_at
-  from generate_series(timestamp '1995-01-01', timestamp '2001-12-31', interval 1 day) t(g)
+  from generate_series(timestamp '1994-12-20', timestamp '2001-12-31', interval 1 day) t(g)
   left join {CLOSED_SQL} c on c.col0 = cast(g as date)
   left join {SHORT_SQL} s on s.col0 = cast(g as date))
 """
