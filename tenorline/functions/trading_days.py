@@ -71,10 +71,19 @@ def is_holiday(d: Column) -> Column:
     return by_month | d.isin(*[F.lit(c).cast("date") for c in CLOSURES])
 
 
-def is_session(d: Column) -> Column:
+def _session_rule(d: Column) -> Column:
     return (F.weekday(d) < 5) & ~is_holiday(d)
 
 
+def is_session(d: Column) -> Column:
+    """Whether the date is a session.
+
+    The rule names its date many times; as an array element the date is worked
+    out once per row, even where the optimizer replaces ``d`` by its definition.
+    """
+    return F.exists(F.array(d), _session_rule)
+
+
 def _close_minute(d: Column) -> Column:
     y, m, dom, wd = F.year(d), F.month(d), F.dayofmonth(d), F.weekday(d)
     before_july_4 = (m == 7) & (dom == 3) & (wd.isin(0, 1, 3) | ((wd == 2) & (y >= 2013)))
@@ -103,8 +112,12 @@ def session_close(d: Column) -> Column:
 
 
 def last_session_on_or_before(d: Column) -> Column:
-    """The longest closure in the rules spans six days, so eight days always hold a session."""
-    return F.array_max(F.filter(F.sequence(F.date_sub(d, 8), d), is_session))
+    """The date itself if it is a session, else the nearest before it.
+
+    The longest closure in the rules spans six days, so eight days always hold a session.
+    """
+    earlier = F.sequence(F.date_sub(d, 8), F.date_sub(d, 1))
+    return F.when(_session_rule(d), d).otherwise(F.array_max(F.filter(earlier, _session_rule)))
 
 
 def sessions_in(ranges: DataFrame, start: str, end: str, name: str = "session") -> DataFrame:
@@ -114,7 +127,7 @@ def sessions_in(ranges: DataFrame, start: str, end: str, name: str = "session")
     """
     ok = ranges.filter(F.col(start) <= F.col(end))
     days = ok.withColumn(name, F.explode(F.sequence(F.to_date(start), F.to_date(end))))
-    return days.filter(is_session(F.col(name)))
+    return days.filter(_session_rule(F.col(name)))
 
 
 def market_schedule(ranges: DataFrame, start: str, end: str) -> DataFrame:

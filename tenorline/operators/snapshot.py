@@ -8,17 +8,18 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 
 def last_per_key(samples: DataFrame, key: Sequence[str], columns: Sequence[str],
-                 order: Sequence[str]) -> DataFrame:
+                 order: Sequence[str], *others: Column) -> DataFrame:
     """Last non-null value of each column in time order.
 
     ``order`` must be total inside a key. Each column keeps its own latest
     non-null value, so a row of the result may mix several samples. Values are
-    combined map-side; a hot symbol ships one row per task.
+    combined map-side; a hot symbol ships one row per task. ``others`` are
+    further aggregates.
     """
     at = F.struct(*order)
     return samples.groupBy(*key).agg(*[
         F.max_by(c, F.when(F.col(c).isNotNull(), at)).alias(c) for c in columns
-    ])
+    ], *others)
 
 
 def last_hour(samples: DataFrame, sample_ts: str = "sample_ts", hour: int = 20) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tenorline.operators.structures import chain_spreads
+from tenorline.operators.structures import chain_pairs
 
 LEG_COLUMNS = ("id", "ticker", "iv", "close", "exp_date", "strike", "dte", "delta", "option_type")
 
@@ -54,7 +54,7 @@ def analyse_chains(quotes: DataFrame, gap: int) -> DataFrame:
     applied before the shuffle. The grain of ``quotes`` must be unique.
     """
     eligible = quotes.filter((F.col("option_type") == "call") & (F.col("dte") > 10))
-    pairs = chain_spreads(eligible, (gap,), LEG_COLUMNS)
+    pairs = chain_pairs(eligible, -gap, LEG_COLUMNS, ("_b", "_f"))
     kept = pairs.filter(
         _worth_trading(F.col("dte_f"), F.col("delta_f"), F.col("option_type_f")))
     return kept.select(*_measures("{}_f", "{}_b"))

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 GRAIN = ("underlying_ticker", "option_type", "strike", "dte")
 TOO_MANY = "too many rows returned"
@@ -17,9 +17,7 @@ TOO_MANY = "too many rows returned"
 
 def _complete(quotes: DataFrame) -> DataFrame:
     """Rows with a null in the grain never pair."""
-    for c in ("dt", *GRAIN):
-        quotes = quotes.filter(F.col(c).isNotNull())
-    return quotes
+    return quotes.filter(" and ".join(f"{c} is not null" for c in ("dt", *GRAIN)))
 
 
 def _exactly_one(count: Column) -> Column:
@@ -95,13 +93,14 @@ def time_spreads(quotes: DataFrame, dte_diff: int, *, unique_grain: bool = False
     The front (near) leg is ``_f``, the back (far) leg ``_b``. The expiry
     weekdays are only enforced when given.
     """
-    if unique_grain and front_weekday is None and back_weekday is None:
-        return chain_spreads(quotes, (dte_diff,), carry)
-    carried = list(dict.fromkeys([*carry, "underlying_ticker"]))
-    filtered = front_weekday is not None or back_weekday is not None
-    legs = carried + (["exp_date"] if filtered and "exp_date" not in carried else [])
-    pairs = match_legs(quotes, dte_diff=dte_diff, carry=legs, suffixes=("_b", "_f"),
-                       unique_grain=unique_grain)
+    wanted = [*carry, "underlying_ticker"]
+    if front_weekday is not None or back_weekday is not None:
+        wanted.append("exp_date")
+    legs = list(dict.fromkeys(wanted))
+    if unique_grain:
+        pairs = chain_pairs(quotes, -dte_diff, legs, ("_b", "_f"))
+    else:
+        pairs = match_legs(quotes, dte_diff=dte_diff, carry=legs, suffixes=("_b", "_f"))
     for weekday, leg in ((front_weekday, "_f"), (back_weekday, "_b")):
         if weekday is not None:
             pairs = pairs.filter(F.weekday(f"exp_date{leg}") == weekday)
@@ -110,39 +109,55 @@ def time_spreads(quotes: DataFrame, dte_diff: int, *, unique_grain: bool = False
                         label.alias("desc"))
 
 
-def chain_spreads(quotes: DataFrame, gaps: Sequence[int],
-                  carry: Sequence[str] = ("id", "ticker")) -> DataFrame:
-    """``time_spreads`` for several gaps in one shuffle, where the grain is unique.
+def _chain(quotes: DataFrame) -> tuple[DataFrame, WindowSpec]:
+    """Quotes of one (day, underlying, strike, type), ordered by days to expiry."""
+    ordered = _complete(quotes).withColumns({
+        "dte": F.col("dte").cast("int"), "_day": F.to_date("dt")})
+    return ordered, Window.partitionBy(
+        "_day", "underlying_ticker", "strike", "option_type").orderBy("dte")
+
+
+def _partner(chain: WindowSpec, shift: int, columns: Sequence[Column]) -> tuple[Column, Column]:
+    """Count and first of the rows exactly ``shift`` days further along the chain."""
+    there = chain.rangeBetween(shift, shift)
+    return F.count(F.lit(1)).over(there), F.first(F.struct(*columns)).over(there)
+
+
+def chain_pairs(quotes: DataFrame, shift: int, carry: Sequence[str],
+                suffixes: tuple[str, str]) -> DataFrame:
+    """``match_legs`` along a chain: each row next to the one ``shift`` days later expiring.
 
-    A chain is one (day, underlying, strike, type) sorted by days to expiry; the
-    front leg is what lies exactly ``gap`` days before a row. A chain holds one
-    row per expiry, so its size is bounded by the listed expiries. A duplicate
-    met as a front leg still raises.
+    One shuffle instead of a self-join, for quotes whose grain is unique: a chain
+    then holds one row per expiry, so its size is bounded by the listed
+    expiries. A row that meets several partners still raises.
     """
-    chain = Window.partitionBy(F.to_date("dt"), "underlying_ticker", "strike",
-                               "option_type").orderBy("dte")
-    ordered = _complete(quotes).withColumn("dte", F.col("dte").cast("int"))
+    ordered, chain = _chain(quotes)
+    count, partner = _partner(chain, shift, _fields(carry, suffixes[1]))
+    return (
+        ordered.select("dt", *_fields(carry, suffixes[0]), count.alias("_n"),
+                       partner.alias("_partner"))
+        .filter(_exactly_one(F.col("_n")))
+        .select("dt", *[f"{c}{suffixes[0]}" for c in carry], "_partner.*")
+    )
+
+
+def chain_spreads(quotes: DataFrame, gaps: Sequence[int],
+                  carry: Sequence[str] = ("id", "ticker")) -> DataFrame:
+    """``time_spreads`` for several gaps in one shuffle, where the grain is unique."""
+    ordered, chain = _chain(quotes)
     partners: list[Column] = []
     for gap in gaps:
-        at_gap = chain.rangeBetween(-gap, -gap)
-        partners += [
-            F.count(F.lit(1)).over(at_gap).alias(f"_n_{gap}"),
-            F.first(F.struct("dt", *_fields(carry, "_f"))).over(at_gap).alias(f"_front_{gap}"),
-        ]
+        count, front = _partner(chain, -gap, [F.col("dt"), *_fields(carry, "_f")])
+        partners += [count.alias(f"_n_{gap}"), front.alias(f"_front_{gap}")]
     back = [f"{c}_b" for c in carry]
     matched = ordered.select("underlying_ticker", *_fields(carry, "_b"), *partners)
-    if len(gaps) == 1:
-        gap = gaps[0]
-        paired = matched.filter(_exactly_one(F.col(f"_n_{gap}"))).select(
-            "underlying_ticker", F.lit(gap).alias("_gap"), f"_front_{gap}.*", *back)
-    else:
-        legs = F.array_compact(F.array(*[
-            F.when(_exactly_one(F.col(f"_n_{gap}")),
-                   F.struct(F.lit(gap).alias("_gap"), F.col(f"_front_{gap}").alias("_front")))
-            for gap in gaps
-        ]))
-        paired = matched.select("underlying_ticker", *back, F.explode(legs).alias("_leg")).select(
-            "underlying_ticker", "_leg._gap", "_leg._front.*", *back)
+    legs = F.array_compact(F.array(*[
+        F.when(_exactly_one(F.col(f"_n_{gap}")),
+               F.struct(F.lit(gap).alias("_gap"), F.col(f"_front_{gap}").alias("_front")))
+        for gap in gaps
+    ]))
+    paired = matched.select("underlying_ticker", *back, F.explode(legs).alias("_leg")).select(
+        "underlying_ticker", "_leg._gap", "_leg._front.*", *back)
     label = spread_label(F.col("_gap"), F.col("underlying_ticker"))
     return paired.select("dt", *[f"{c}{s}" for s in ("_f", "_b") for c in carry],
                          label.alias("desc"))
@@ -163,8 +178,10 @@ def monday_friday(quotes: DataFrame, **options) -> DataFrame:
 def wide_pairs(samples: DataFrame, gap: int, label: str, carry: Sequence[str],
                unique_grain: bool = False) -> DataFrame:
     """Front rows next to the back row ``gap`` days further out, all columns twice."""
-    pairs = match_legs(samples, dte_diff=-gap, carry=carry, suffixes=("_f", "_b"),
-                       unique_grain=unique_grain)
+    if unique_grain:
+        pairs = chain_pairs(samples, gap, carry, ("_f", "_b"))
+    else:
+        pairs = match_legs(samples, dte_diff=-gap, carry=carry, suffixes=("_f", "_b"))
     return pairs.withColumn("pair_desc", F.lit(label))
 
 

@@ -6,8 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tenorline.functions.values import unfetched
-
 KEY = ("dt", "ticker")
 
 
@@ -27,11 +25,16 @@ def missing_quotes(expected: DataFrame, stored: DataFrame, *, refetch: bool = Fa
     """Expected quotes with the unfetched row that waits for them, or nulls.
 
     With ``refetch`` sessions whose quote is already fetched come back as well,
-    with nulls. All joins share the partitioning on the key.
+    with nulls. ``stored`` is unique on the key, so one join tells all states
+    apart.
     """
-    waiting = stored.filter(unfetched(F.col("fetched")))
-    joined = expected.join(waiting, list(key), "left")
-    return joined if refetch else missing_prices(joined, stored, key)
+    key = list(key)
+    done = F.coalesce(F.col("fetched"), F.lit(False))
+    joined = expected.join(stored, key, "left")
+    if not refetch:
+        return joined.filter(~done)
+    extra = [c for c in stored.columns if c not in key]
+    return joined.withColumns({c: F.when(~done, F.col(c)) for c in extra})
 
 
 def rows_to_seed(expected: DataFrame, stored: DataFrame,

@@ -8,10 +8,20 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def use_utc(spark: SparkSession) -> SparkSession:
-    """All stored instants are UTC; date(dt) is only defined under that zone."""
+MIN_PARTITION = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """Settings the engine relies on.
+
+    All stored instants are UTC; date(dt) is only defined under that zone. Worklists
+    explode compact rows into many, so stages that look small after a shuffle keep
+    more tasks than AQE's default of one per megabyte, unless the user chose a size.
+    """
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+    if spark.conf.get(MIN_PARTITION) in ("1MB", "1m", "1048576b"):
+        spark.conf.set(MIN_PARTITION, "128KB")
     return spark
 
 

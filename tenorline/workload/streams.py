@@ -85,8 +85,9 @@ def stream_upsert(t: Tables):
 
 
 def event_stream(t: Tables) -> DataFrame:
-    path = t.path("events")
-    events = t.spark.readStream.schema(t.spark.read.parquet(path).schema).parquet(path)
+    # As a pattern, so that the table may be one file or a folder of files.
+    pattern = f"{t.sf_dir}/{{events.parquet}}"
+    events = t.spark.readStream.schema(t.spark.read.parquet(pattern).schema).parquet(pattern)
     events = events.withColumn("ts", F.col("ts").cast("timestamp"))
     return t.spark.sql(RAW_SAMPLES.replace("from events", "from {events}"), events=events)
 

@@ -12,7 +12,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tenorline.schema import as_utc_instants
-from tenorline.session import use_utc
+from tenorline.session import prepare
 
 WEEKS = {
     "spark": "(datediff(cast(date_trunc('week', {0}) as date), date '1994-12-26') div 7)",
@@ -86,7 +86,7 @@ select q.dt as day, q.underlying_ticker as underlying,
        @EPOCH_DAYS(q.dt) * 86400000 + h.ms - 2000 as "quoteTimeInLong",
        @EPOCH_DAYS(q.dt) * 86400000 + h.ms - 5000 as "tradeTimeInLong",
        @EPOCH_DAYS(q.dt) * 86400000 + h.ms as "sampleTimeInLong"
-from option_quotes q, (values (1, 70200000), (2, 72900000), (3, 74700000)) as h(n, ms)
+from (select *, @SAMPLES as h from option_quotes) q
 """
 
 EPOCH_DAYS = {
@@ -94,6 +94,13 @@ EPOCH_DAYS = {
     "ansi": "cast(date_diff('day', date '1970-01-01', {0}) as bigint)",
 }
 
+SAMPLES = {
+    "spark": "explode(array(named_struct('n', 1, 'ms', 70200000), "
+             "named_struct('n', 2, 'ms', 72900000), named_struct('n', 3, 'ms', 74700000)))",
+    "ansi": "unnest([{'n': 1, 'ms': 70200000}, {'n': 2, 'ms': 72900000}, "
+            "{'n': 3, 'ms': 74700000}])",
+}
+
 VIEWS = {
     "stock_quotes": STOCK_QUOTES,
     "option_quotes": OPTION_QUOTES,
@@ -107,7 +114,7 @@ def view_sql(name: str, engine: str) -> str:
     text = VIEWS[name]
     for token, form in (("@WEEKS", WEEKS), ("@EPOCH_DAYS", EPOCH_DAYS)):
         text = re.sub(token + r"\(([\w.]+)\)", lambda m: form[engine].format(m.group(1)), text)
-    text = text.replace("@ADD_DTE", ADD_DTE[engine])
+    text = text.replace("@ADD_DTE", ADD_DTE[engine]).replace("@SAMPLES", SAMPLES[engine])
     return text.replace('"', "`") if engine == "spark" else text
 
 
@@ -136,7 +143,7 @@ class Tables:
     """Lazy access to the tables and views of one data directory."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark = use_utc(spark)
+        self.spark = prepare(spark)
         self.sf_dir = sf_dir.rstrip("/")
 
     def path(self, name: str) -> str:
