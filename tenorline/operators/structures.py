@@ -75,7 +75,10 @@ def match_legs(quotes: DataFrame, *, dte_diff: int = 0, strike_diff: float = 0,
     if unique_grain:
         return pairs.drop(*keys)
     if strict:
-        pairs = pairs.filter(_exactly_one(F.col("matches"))).drop("matches")
+        # Only candidates that are met may raise. The partition id makes the condition
+        # non-deterministic, which keeps the optimizer from moving it below the join.
+        after_join = F.spark_partition_id() >= 0
+        pairs = pairs.filter(F.when(after_join, _exactly_one(F.col("matches")))).drop("matches")
     return pairs.select(*[c for c in pairs.columns if c not in (*keys, "_candidate")],
                         "_candidate.*")
 

@@ -1,0 +1,25 @@
+from pyspark.sql import functions as F
+
+from tenorline.operators.lookup import lookup_join, planned_bytes
+
+
+def test_salted_and_broadcast_paths_agree(spark):
+    facts = spark.range(5000).select(
+        "id", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 50).alias("k"))
+    dims = spark.range(40).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    small = lookup_join(facts, dims, ["k"], spread_by="id")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        salted = lookup_join(facts, dims, ["k"], spread_by="id")
+        plan = salted._jdf.queryExecution().executedPlan().toString()
+        assert "_slot" in plan and "Broadcast" not in plan
+        assert sorted(map(tuple, salted.collect())) == sorted(map(tuple, small.collect()))
+        inner = lookup_join(facts, dims, ["k"], spread_by="id", how="inner")
+        assert inner.count() == facts.filter("k < 40").count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_planned_bytes_is_a_number(spark):
+    assert planned_bytes(spark.range(10)) > 0
