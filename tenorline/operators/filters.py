@@ -7,6 +7,8 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tenorline.sources.tables import DAY
+
 
 def universe(df: DataFrame, underlyings: Sequence[str] | None = None,
              last_trading_day_min: date | None = None,
@@ -22,22 +24,23 @@ def universe(df: DataFrame, underlyings: Sequence[str] | None = None,
     return df
 
 
-def on_day(quotes: DataFrame, underlying_ticker: str, day: date) -> DataFrame:
-    """Quotes of one underlying on one UTC date.
+def between_days(quotes: DataFrame, first: date, last: date) -> DataFrame:
+    """Quotes from ``first`` to ``last``, both whole days included.
 
-    Written as a half-open range on the bare column, which Parquet can push down.
+    A stored table is pruned by its partition column; otherwise the bounds are a
+    half-open range on the bare column, which Parquet can push down.
     """
-    start = F.lit(day).cast("timestamp")
-    within = (F.col("dt") >= start) & (F.col("dt") < start + F.expr("interval 1 day"))
-    return quotes.filter((F.col("underlying_ticker") == underlying_ticker) & within)
-
-
-def between_days(quotes: DataFrame, first: date, last: date) -> DataFrame:
-    """Quotes from ``first`` to ``last``, both whole days included."""
+    if DAY in quotes.columns:
+        return quotes.filter(F.col(DAY).between(F.lit(first), F.lit(last)))
     start, end = (F.lit(d).cast("timestamp") for d in (first, last))
     return quotes.filter((F.col("dt") >= start) & (F.col("dt") < end + F.expr("interval 1 day")))
 
 
+def on_day(quotes: DataFrame, underlying_ticker: str, day: date) -> DataFrame:
+    """Quotes of one underlying on one UTC date."""
+    return between_days(quotes, day, day).filter(F.col("underlying_ticker") == underlying_ticker)
+
+
 def monday_or_friday(exp_date: Column) -> Column:
     return F.weekday(exp_date).isin(0, 4)
 

@@ -11,6 +11,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
+from tenorline.sources.tables import day_of
+
 GRAIN = ("underlying_ticker", "option_type", "strike", "dte")
 TOO_MANY = "too many rows returned"
 
@@ -46,7 +48,7 @@ def match_legs(quotes: DataFrame, *, dte_diff: int = 0, strike_diff: float = 0,
     straight from a shuffle.
     """
     base = _complete(quotes)
-    day = F.to_date("dt")
+    day = day_of(quotes)
     side = F.col("option_type")
     wanted = F.when(side == "put", "call").otherwise("put") if invert else side
     rows = base.select(
@@ -115,7 +117,7 @@ def time_spreads(quotes: DataFrame, dte_diff: int, *, unique_grain: bool = False
 def _chain(quotes: DataFrame) -> tuple[DataFrame, WindowSpec]:
     """Quotes of one (day, underlying, strike, type), ordered by days to expiry."""
     ordered = _complete(quotes).withColumns({
-        "dte": F.col("dte").cast("int"), "_day": F.to_date("dt")})
+        "dte": F.col("dte").cast("int"), "_day": day_of(quotes)})
     return ordered, Window.partitionBy(
         "_day", "underlying_ticker", "strike", "option_type").orderBy("dte")
 

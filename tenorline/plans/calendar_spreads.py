@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from tenorline.functions.trading_days import is_session
 from tenorline.operators.merge import new_rows
 from tenorline.operators.structures import chain_spreads
 from tenorline.schema import SPREAD_KEY
+from tenorline.sources.tables import day_of
 
 GAPS = (3, 7, 4)
 
@@ -17,7 +18,7 @@ def all_day_spreads(quotes: DataFrame, gaps=GAPS) -> DataFrame:
 
     ``quotes`` must be unique in their grain, which the quote table's key ensures.
     """
-    return chain_spreads(quotes.filter(is_session(F.to_date("dt"))), gaps)
+    return chain_spreads(quotes.filter(is_session(day_of(quotes))), gaps)
 
 
 def spreads_to_store(quotes: DataFrame, stored: DataFrame, gaps=GAPS) -> DataFrame:

@@ -2,17 +2,19 @@
 
 Every write can be repeated after a lost executor or a failed run: appends skip
 keys already stored, and replaced partitions are built beside the table before
-they are swapped in.
+they are swapped in. Incoming rows are written once to the shared scratch folder
+first, so that a merge that reads them several times does not compute them again.
 """
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tenorline.operators.merge import new_rows, upsert
+from tenorline.operators.merge import first_per_key, new_rows, upsert
+from tenorline.session import scratch_dir
 from tenorline.sources.tables import DAY, with_day
 
 
@@ -26,11 +28,28 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(jvm_path))
 
 
-def write_table(df: DataFrame, path: str) -> None:
-    """Replaces the table. Rows are rebalanced by day, so that files are neither
-    many and tiny nor, for a hot day, one and huge.
+@contextmanager
+def staged(spark: SparkSession, rows: DataFrame) -> Iterator[DataFrame]:
+    """``rows`` as written files, removed when done."""
+    path = scratch_dir(spark, "staging")
+    rows.write.parquet(path)
+    try:
+        yield spark.read.schema(rows.schema).parquet(path)
+    finally:
+        fs, jvm_path = _fs(spark, path)
+        fs.delete(jvm_path, True)
+
+
+def _by_day(df: DataFrame):
+    """A partitioned writer. Rows are rebalanced by day, so that files are neither many
+    and tiny nor, for a hot day, one and huge.
     """
-    with_day(df).hint("rebalance", DAY).write.mode("overwrite").partitionBy(DAY).parquet(path)
+    return df.hint("rebalance", DAY).write.partitionBy(DAY)
+
+
+def write_table(df: DataFrame, path: str) -> None:
+    """Replaces the table."""
+    _by_day(with_day(df)).mode("overwrite").parquet(path)
 
 
 def _touched(target: DataFrame, rows: DataFrame) -> DataFrame:
@@ -40,17 +59,15 @@ def _touched(target: DataFrame, rows: DataFrame) -> DataFrame:
 
 def append_new(spark: SparkSession, path: str, rows: DataFrame, key: Sequence[str],
                order: Sequence[str]) -> None:
-    """Insert-ignore into the stored table."""
-    dated = with_day(rows)
+    """Insert-ignore into the stored table, which is created if absent."""
     if not table_exists(spark, path):
-        from tenorline.operators.merge import first_per_key
-        write_table(first_per_key(dated, key, order), path)
+        write_table(first_per_key(rows, key, order), path)
         return
-    target = spark.read.parquet(path)
-    keys = _touched(target, dated).select(*key)
-    fresh = new_rows(keys, dated, key, order)
-    columns = [c for c in target.columns if c in fresh.columns]
-    fresh.select(*columns).hint("rebalance", DAY).write.mode("append").partitionBy(DAY).parquet(path)
+    with staged(spark, with_day(rows)) as incoming:
+        target = spark.read.parquet(path)
+        fresh = new_rows(_touched(target, incoming).select(*key), incoming, key, order)
+        columns = [c for c in target.columns if c in fresh.columns]
+        _by_day(fresh.select(*columns)).mode("append").parquet(path)
 
 
 def upsert_rows(spark: SparkSession, path: str, rows: DataFrame, key: Sequence[str],
@@ -59,16 +76,11 @@ def upsert_rows(spark: SparkSession, path: str, rows: DataFrame, key: Sequence[s
 
     The key must fix the day: a row never moves between partitions.
     """
-    dated = with_day(rows)
-    target = spark.read.parquet(path)
-    merged = upsert(_touched(target, dated).select(*target.columns), dated, key, order)
-    staging = f"{path.rstrip('/')}__staging/{uuid.uuid4().hex}"
-    merged.write.partitionBy(DAY).parquet(staging)
-    (
-        spark.read.schema(target.schema).parquet(staging)
-        .hint("rebalance", DAY)
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(DAY).parquet(path)
-    )
-    fs, jvm_path = _fs(spark, staging)
-    fs.delete(jvm_path, True)
+    with staged(spark, with_day(rows)) as source:
+        target = spark.read.parquet(path)
+        touched = _touched(target, source).select(*target.columns)
+        with staged(spark, upsert(touched, source, key, order)) as merged:
+            (
+                _by_day(merged).mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic").parquet(path)
+            )

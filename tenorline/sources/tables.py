@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tenorline.schema import as_utc_instants
 
@@ -19,6 +19,13 @@ def with_day(df: DataFrame) -> DataFrame:
     return df.withColumn(DAY, F.to_date("dt"))
 
 
+def day_of(df: DataFrame) -> Column:
+    """The quote's UTC date: the partition column where the table has one, so that
+    conditions on it prune partitions.
+    """
+    return F.col(DAY) if DAY in df.columns else F.to_date("dt")
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType,
              index_column: bool = False) -> DataFrame:
     """CSV with a header; ``index_column`` says that an unnamed row number comes first."""

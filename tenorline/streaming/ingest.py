@@ -11,6 +11,16 @@ from tenorline.sinks.parquet_tables import append_new, upsert_rows
 from tenorline.sources.vendor_json import LANDED_BAR
 
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def _with_disk_state(stream: DataFrame) -> DataFrame:
+    """Keys under a watermark can outgrow executor memory: keep state in RocksDB."""
+    stream.sparkSession.conf.set(STATE_STORE, ROCKSDB)
+    return stream
+
+
 def landed_stream(spark: SparkSession, path: str, schema: T.StructType = LANDED_BAR,
                   files_per_trigger: int | None = None) -> DataFrame:
     """Landed JSON files as a stream."""
@@ -23,7 +33,7 @@ def landed_stream(spark: SparkSession, path: str, schema: T.StructType = LANDED_
 def to_files(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Processes what has landed and stops; output files are committed once per batch."""
     return (
-        stream.writeStream.format("parquet").option("path", path)
+        _with_disk_state(stream).writeStream.format("parquet").option("path", path)
         .option("checkpointLocation", checkpoint).outputMode("append")
         .trigger(availableNow=True).start()
     )

@@ -86,3 +86,16 @@ def test_split_and_violations(spark):
 def test_natural_id_is_stable(spark):
     a, b = (with_natural_id(target(spark)).orderBy("ticker").collect() for _ in range(2))
     assert [r["id"] for r in a] == [r["id"] for r in b] and a[0]["id"] != a[1]["id"]
+
+
+def test_day_conditions_prune_partitions(spark):
+    from datetime import date
+
+    from tenorline.operators.filters import between_days
+
+    path = scratch_dir(spark, "pruned")
+    write_table(target(spark), path)
+    one = between_days(read_table(spark, path), date(2022, 1, 4), date(2022, 1, 4))
+    assert content(one) == [(2, 4, "B", 2.0, 0.2)]
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(d" in plan

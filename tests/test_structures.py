@@ -133,3 +133,27 @@ def test_chain_pairing_takes_one_shuffle(spark, market):
     plan = chain_pairs(frame(spark, market), -3, ("id",), ("_b", "_f"))
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert text.count("Exchange hashpartitioning") == 1 and "Join" not in text
+
+
+def test_hot_probe_partition_is_split(spark):
+    """Both sides of the join come straight from a shuffle, so AQE splits a hot grain."""
+    names = ("autoBroadcastJoinThreshold", "adaptive.skewJoin.skewedPartitionThresholdInBytes",
+             "adaptive.advisoryPartitionSizeInBytes", "adaptive.skewJoin.skewedPartitionFactor")
+    before = {n: spark.conf.get(f"spark.sql.{n}") for n in names}
+    for n, value in zip(names, ("-1", "64KB", "64KB", "2")):
+        spark.conf.set(f"spark.sql.{n}", value)
+    try:
+        day = quote(0, 10)["dt"]
+        rows = spark.range(60000).repartition(8).select(
+            "id", F.lit(day).alias("dt"), F.sha2(F.col("id").cast("string"), 512).alias("ticker"),
+            F.lit("SPY").alias("underlying_ticker"), F.lit("call").alias("option_type"),
+            F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).cast("double").alias("strike"),
+            F.lit(10).alias("dte"))
+        fronts = rows.filter("id % 3 != 0 or id = 0").withColumn("dte", F.lit(7)).withColumn(
+            "id", F.col("id") + 100000)
+        spreads = time_spreads(rows.unionByName(fronts), 3)
+        assert len(spreads.collect()) == 60000
+        assert "skew=true" in spreads._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for n, value in before.items():
+            spark.conf.set(f"spark.sql.{n}", value)
