@@ -114,18 +114,28 @@ def time_spreads(quotes: DataFrame, dte_diff: int, *, unique_grain: bool = False
                         label.alias("desc"))
 
 
-def _chain(quotes: DataFrame) -> tuple[DataFrame, WindowSpec]:
-    """Quotes of one (day, underlying, strike, type), ordered by days to expiry."""
-    ordered = _complete(quotes).withColumns({
-        "dte": F.col("dte").cast("int"), "_day": day_of(quotes)})
-    return ordered, Window.partitionBy(
+def _chain(quotes: DataFrame, carry: Sequence[str]) -> tuple[DataFrame, WindowSpec]:
+    """Quotes as (chain key, dte, ``_row``) and the window over one (day, underlying,
+    strike, type) by days to expiry. ``_row`` holds what is carried, once, for the
+    row itself as well as for its partners.
+    """
+    rows = _complete(quotes).select(
+        day_of(quotes).alias("_day"), "underlying_ticker", "strike", "option_type",
+        F.col("dte").cast("int").alias("dte"),
+        F.struct("dt", *[F.col(c).alias(f"c_{c}") for c in carry]).alias("_row"),
+    )
+    return rows, Window.partitionBy(
         "_day", "underlying_ticker", "strike", "option_type").orderBy("dte")
 
 
-def _partner(chain: WindowSpec, shift: int, columns: Sequence[Column]) -> tuple[Column, Column]:
+def _carried(row: str, carry: Sequence[str], suffix: str) -> list[Column]:
+    return [F.col(f"{row}.c_{c}").alias(f"{c}{suffix}") for c in carry]
+
+
+def _partner(chain: WindowSpec, shift: int) -> tuple[Column, Column]:
     """Count and first of the rows exactly ``shift`` days further along the chain."""
     there = chain.rangeBetween(shift, shift)
-    return F.count(F.lit(1)).over(there), F.first(F.struct(*columns)).over(there)
+    return F.count(F.lit(1)).over(there), F.first("_row").over(there)
 
 
 def chain_pairs(quotes: DataFrame, shift: int, carry: Sequence[str],
@@ -136,36 +146,39 @@ def chain_pairs(quotes: DataFrame, shift: int, carry: Sequence[str],
     then holds one row per expiry, so its size is bounded by the listed
     expiries. A row that meets several partners still raises.
     """
-    ordered, chain = _chain(quotes)
-    count, partner = _partner(chain, shift, _fields(carry, suffixes[1]))
+    rows, chain = _chain(quotes, carry)
+    count, partner = _partner(chain, shift)
     return (
-        ordered.select("dt", *_fields(carry, suffixes[0]), count.alias("_n"),
-                       partner.alias("_partner"))
+        rows.select("_row", count.alias("_n"), partner.alias("_partner"))
         .filter(_exactly_one(F.col("_n")))
-        .select("dt", *[f"{c}{suffixes[0]}" for c in carry], "_partner.*")
+        .select("_row.dt", *_carried("_row", carry, suffixes[0]),
+                *_carried("_partner", carry, suffixes[1]))
     )
 
 
 def chain_spreads(quotes: DataFrame, gaps: Sequence[int],
                   carry: Sequence[str] = ("id", "ticker")) -> DataFrame:
     """``time_spreads`` for several gaps in one shuffle, where the grain is unique."""
-    ordered, chain = _chain(quotes)
+    rows, chain = _chain(quotes, carry)
     partners: list[Column] = []
     for gap in gaps:
-        count, front = _partner(chain, -gap, [F.col("dt"), *_fields(carry, "_f")])
+        count, front = _partner(chain, -gap)
         partners += [count.alias(f"_n_{gap}"), front.alias(f"_front_{gap}")]
-    back = [f"{c}_b" for c in carry]
-    matched = ordered.select("underlying_ticker", *_fields(carry, "_b"), *partners)
-    legs = F.array_compact(F.array(*[
-        F.when(_exactly_one(F.col(f"_n_{gap}")),
-               F.struct(F.lit(gap).alias("_gap"), F.col(f"_front_{gap}").alias("_front")))
+    any_partner = " + ".join(f"_n_{gap}" for gap in gaps)
+    legs = F.explode(F.array(*[
+        F.struct(F.lit(gap).alias("gap"), F.col(f"_n_{gap}").alias("n"),
+                 F.col(f"_front_{gap}").alias("front"))
         for gap in gaps
     ]))
-    paired = matched.select("underlying_ticker", *back, F.explode(legs).alias("_leg")).select(
-        "underlying_ticker", "_leg._gap", "_leg._front.*", *back)
-    label = spread_label(F.col("_gap"), F.col("underlying_ticker"))
-    return paired.select("dt", *[f"{c}{s}" for s in ("_f", "_b") for c in carry],
-                         label.alias("desc"))
+    paired = (
+        rows.select("underlying_ticker", "_row", *partners)
+        .filter(f"{any_partner} > 0")
+        .select("underlying_ticker", "_row", legs.alias("_leg"))
+        .filter(_exactly_one(F.col("_leg.n")))
+    )
+    label = spread_label(F.col("_leg.gap"), F.col("underlying_ticker"))
+    front, back = _carried("_leg.front", carry, "_f"), _carried("_row", carry, "_b")
+    return paired.select(F.col("_leg.front.dt").alias("dt"), *front, *back, label.alias("desc"))
 
 
 def friday_monday(quotes: DataFrame, **options) -> DataFrame:

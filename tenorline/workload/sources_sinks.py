@@ -8,7 +8,7 @@ from tenorline.functions.dates import exp_weekday
 from tenorline.operators.bars import aggregate_bars
 from tenorline.operators.contracts import terms_as_of
 from tenorline.operators.filters import on_day
-from tenorline.operators.merge import insert_ignore, key_violations, upsert
+from tenorline.operators.merge import insert_ignore, key_violations, split_by_id, upsert
 from tenorline.schema import normalize_layout
 from tenorline.session import scratch_dir
 from tenorline.sinks.csv_export import export_csv
@@ -215,6 +215,23 @@ def upsert_full_row(t: Tables):
     return upsert(target_rows(t).select(*columns), source, ("id",), ("attempt",))
 
 
+@query("split_write", f"""
+with target as ({TARGET_SQL}), batch as ({BATCH_SQL})
+select cast(dt as timestamp) as dt, ticker, close, volume from target where fetched
+union all
+select cast(dt as timestamp), ticker, round(close + case when fetched is null then 2 else 1 end, 2),
+       volume
+from batch
+""")
+def split_write(t: Tables):
+    """Rows that wait in the table come with their id and replace it; new ones have none."""
+    columns = ["id", "dt", "ticker", "close", "volume"]
+    rows = batch_rows(t).withColumn("id", F.when(F.col("fetched").isNull(), F.col("id")))
+    new, known = split_by_id(rows.select(*columns, "attempt"))
+    replaced = upsert(target_rows(t).select(*columns), known, ("id",), ("attempt",))
+    return insert_ignore(replaced, new, ("dt", "ticker"), ("attempt",)).drop("id")
+
+
 @query("store_append_upsert", f"""
 with target as ({TARGET_SQL}), batch as ({BATCH_SQL})
 select id, cast(dt as timestamp) as dt, ticker, close, volume from target t
