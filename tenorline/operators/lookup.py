@@ -6,7 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-SPLITS = 16
+# Repeating the lookup may add this share of the facts' size to the shuffle, and no
+# key is spread over more slots than the maximum; AQE splits further by measured size.
+REPEAT_SHARE = 0.02
+MAX_SPLITS = 512
 
 
 def planned_bytes(df: DataFrame) -> int:
@@ -20,18 +23,28 @@ def broadcast_limit(df: DataFrame) -> int:
     return -1 if text.strip() == "-1" else int(size.byteStringAsBytes(text))
 
 
+def slots_for(facts: DataFrame, lookup: DataFrame) -> int:
+    """How often the lookup can be repeated at a small cost beside shuffling the facts."""
+    ratio = planned_bytes(facts) / max(planned_bytes(lookup), 1)
+    return int(min(max(ratio * REPEAT_SHARE, 1), MAX_SPLITS))
+
+
 def lookup_join(facts: DataFrame, lookup: DataFrame, on: Sequence[str], spread_by: str,
-                how: str = "left", splits: int = SPLITS) -> DataFrame:
+                how: str = "left", splits: int | None = None) -> DataFrame:
     """Joins ``facts`` to ``lookup``, which is unique on ``on`` and much the smaller.
 
     Below the session's broadcast threshold Spark broadcasts the lookup and no
     key can be hot. Beyond it every lookup row is repeated once per slot and
     facts are spread over the slots by ``spread_by``: a key that holds a third
-    of all facts is then shared by ``splits`` tasks, and AQE may split further.
+    of all facts is then shared by many tasks. Both sides enter the join from a
+    shuffle, so AQE can split a slot that is still too large.
     """
     on = list(on)
     if planned_bytes(lookup) <= broadcast_limit(lookup):
         return facts.join(lookup, on, how)
+    splits = splits or slots_for(facts, lookup)
+    if splits == 1:
+        return facts.join(lookup, on, how)
     slots = F.explode(F.sequence(F.lit(0), F.lit(splits - 1)).cast("array<bigint>"))
     spread = facts.withColumn("_slot", F.pmod(F.xxhash64(spread_by), F.lit(splits)))
     repeated = lookup.withColumn("_slot", slots)

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tenorline.operators.lookup import lookup_join
+
 
 def last_per_key(samples: DataFrame, key: Sequence[str], columns: Sequence[str],
                  order: Sequence[str], *others: Column) -> DataFrame:
@@ -51,25 +53,21 @@ def rows_at_strike(rows: DataFrame, atm: DataFrame, by: Sequence[str],
 
 def atm_position(quotes: DataFrame, by: Sequence[str], target: float, strike: str = "strike",
                  delta: str = "delta") -> DataFrame:
-    """ATM strike and its 0-based position among the group's strikes, ascending.
+    """ATM strike and its 0-based position among the group's rows by strike, ascending.
 
-    Two aggregations, both combined map-side: rows collapse to one per strike,
-    then one array of distinct strikes per group gives the position.
+    Rows first collapse to one per strike; the position is then a conditional
+    sum over them, so no group is sorted or gathered in one place.
     """
-    per_strike = quotes.groupBy(*by, strike).agg(
+    by = list(by)
+    per_strike = quotes.groupBy(*by, F.col(strike).alias("_strike")).agg(
         F.min(F.abs(F.col(delta) - F.lit(target))).alias("_distance"),
         F.count(F.lit(1)).alias("_rows"),
     )
-    ladder = per_strike.groupBy(*by).agg(
-        F.min_by(strike, F.struct("_distance", strike)).alias("atm_strike"),
-        F.collect_list(F.struct(F.col(strike).alias("strike"), F.col("_rows").alias("n")))
-        .alias("_ladder"),
-    )
-    below = F.filter("_ladder", lambda s: s["strike"] < F.col("atm_strike"))
-    return ladder.select(
-        *by, "atm_strike",
-        F.aggregate(below, F.lit(0).cast("long"), lambda n, s: n + s["n"]).alias("position"),
-    )
+    atm = per_strike.groupBy(*by).agg(
+        F.min_by("_strike", F.struct("_distance", "_strike")).alias("atm_strike"))
+    placed = lookup_join(per_strike, atm, by, spread_by="_strike", how="inner")
+    below = F.when(F.col("_strike") < F.col("atm_strike"), F.col("_rows")).otherwise(0)
+    return placed.groupBy(*by, "atm_strike").agg(F.sum(below).alias("position"))
 
 
 def metrics_by_week(spreads: DataFrame, week: Column, dte: Column, delta: Column,

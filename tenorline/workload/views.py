@@ -1,7 +1,7 @@
 """Quote-shaped views over the test tables.
 
 The tables hold no option data. Each view is one SQL text used by Spark and by
-the checking engine; only two tokens differ.
+the checking engine; only the marked tokens differ.
 """
 
 from __future__ import annotations
@@ -14,18 +14,22 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tenorline.schema import as_utc_instants
 from tenorline.session import prepare
 
+MONDAY = {
+    "spark": "trunc(cast({0} as date), 'week')",
+    "ansi": "cast(date_trunc('week', {0}) as date)",
+}
 WEEKS = {
-    "spark": "(datediff(cast(date_trunc('week', {0}) as date), date '1994-12-26') div 7)",
+    "spark": "(datediff(trunc(cast({0} as date), 'week'), date '1994-12-26') div 7)",
     "ansi": "(date_diff('day', date '1994-12-26', cast(date_trunc('week', {0}) as date)) // 7)",
 }
 ADD_DTE = {"spark": "date_add(dt, dte)", "ansi": "dt + cast(dte as int)"}
 
 STOCK_QUOTES = """
-select cast(d as date) as dt, concat('U', u) as ticker,
+select d as dt, concat('U', u) as ticker,
        min_by(px, o_orderkey) as open, max(px) as high, min(px) as low,
        max_by(px, o_orderkey) as close, count(*) as volume,
        case (w + u) % 3 when 0 then null when 1 then false else true end as fetched
-from (select date_trunc('week', o_orderdate) as d, o_custkey % 5 as u, o_orderkey,
+from (select @MONDAY(o_orderdate) as d, o_custkey % 5 as u, o_orderkey,
              @WEEKS(o_orderdate) as w,
              400 + (cast(round(o_totalprice * 100) as bigint) % 2000) / 100.0e0 as px
       from orders) x
@@ -45,7 +49,7 @@ select ((w * 5 + u) * 2 + (case when option_type = 'put' then 1 else 0 end)) * 1
        (case when option_type = 'put' then -1 else 1 end)
          * (5 + (k * 7 + dte * 3 + w) % 90) / 100.0e0 as delta,
        -(20 + (w * 13 + dte) % 100) / 1.0e0 as theta
-from (select cast(date_trunc('week', l_shipdate) as date) as dt, @WEEKS(l_shipdate) as w,
+from (select @MONDAY(l_shipdate) as dt, @WEEKS(l_shipdate) as w,
              l_suppkey % 5 as u,
              case when l_returnflag = 'R' then 'put' else 'call' end as option_type,
              l_partkey % 4 as k,
@@ -112,7 +116,7 @@ VIEWS = {
 
 def view_sql(name: str, engine: str) -> str:
     text = VIEWS[name]
-    for token, form in (("@WEEKS", WEEKS), ("@EPOCH_DAYS", EPOCH_DAYS)):
+    for token, form in (("@MONDAY", MONDAY), ("@WEEKS", WEEKS), ("@EPOCH_DAYS", EPOCH_DAYS)):
         text = re.sub(token + r"\(([\w.]+)\)", lambda m: form[engine].format(m.group(1)), text)
     text = text.replace("@ADD_DTE", ADD_DTE[engine]).replace("@SAMPLES", SAMPLES[engine])
     return text.replace('"', "`") if engine == "spark" else text

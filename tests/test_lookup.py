@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from tenorline.operators.lookup import lookup_join, planned_bytes
+from tenorline.operators.lookup import lookup_join, planned_bytes, slots_for
 
 
 def test_salted_and_broadcast_paths_agree(spark):
@@ -11,11 +11,11 @@ def test_salted_and_broadcast_paths_agree(spark):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        salted = lookup_join(facts, dims, ["k"], spread_by="id")
+        salted = lookup_join(facts, dims, ["k"], spread_by="id", splits=16)
         plan = salted._jdf.queryExecution().executedPlan().toString()
         assert "_slot" in plan and "Broadcast" not in plan
         assert sorted(map(tuple, salted.collect())) == sorted(map(tuple, small.collect()))
-        inner = lookup_join(facts, dims, ["k"], spread_by="id", how="inner")
+        inner = lookup_join(facts, dims, ["k"], spread_by="id", how="inner", splits=4)
         assert inner.count() == facts.filter("k < 40").count()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
@@ -23,3 +23,10 @@ def test_salted_and_broadcast_paths_agree(spark):
 
 def test_planned_bytes_is_a_number(spark):
     assert planned_bytes(spark.range(10)) > 0
+
+
+def test_slots_follow_the_sizes(spark):
+    facts, dims = spark.range(10_000_000), spark.range(10)
+    assert slots_for(facts, dims) == 512
+    assert slots_for(dims, facts) == 1
+    assert 1 < slots_for(facts, spark.range(20_000)) < 512
