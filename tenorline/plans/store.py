@@ -53,6 +53,13 @@ class QuoteStore:
     def _replace(self, name: str, rows: DataFrame, schema: T.StructType) -> None:
         upsert_rows(self.spark, self._path(name), conform(rows, schema), STOCK_KEY, ("id",))
 
+    def _span(self, table: DataFrame, frame: DataFrame, first: str, last: str) -> DataFrame:
+        """The table's days from the earliest ``first`` to the latest ``last`` of ``frame``."""
+        bounds = frame.agg(F.min(first).alias("first"), F.max(last).alias("last")).first()
+        if bounds["first"] is None:
+            return table.filter("false").drop(DAY)
+        return between_days(table, bounds["first"], bounds["last"]).drop(DAY)
+
     @property
     def stock_quotes(self) -> DataFrame:
         return self._read("stock_quotes", STOCK_QUOTES)
@@ -67,7 +74,7 @@ class QuoteStore:
 
     def ingest_stock(self, ranges: DataFrame, landed: DataFrame) -> None:
         """Prices of the sessions of each (ticker, sd, ed) that are not stored yet."""
-        stored = self.stock_quotes.drop(DAY)
+        stored = self._span(self.stock_quotes, ranges, "sd", "ed")
         rows = ingest.stock_ingest(ranges, stored, landed)
         self._insert("stock_quotes", rows, STOCK_QUOTES, STOCK_KEY)
 
@@ -75,7 +82,7 @@ class QuoteStore:
         """An empty unfetched row for every session without any."""
         sessions = market_schedule(ranges, "sd", "ed").select(
             "ticker", F.col("market_close").alias("dt")).distinct()
-        seeds = rows_to_seed(sessions, self.stock_quotes)
+        seeds = rows_to_seed(sessions, self._span(self.stock_quotes, ranges, "sd", "ed"))
         self._insert("stock_quotes", seeds, STOCK_QUOTES, STOCK_KEY)
 
     def refresh_stock(self, landed: DataFrame, limit: int = 300) -> None:
@@ -88,8 +95,11 @@ class QuoteStore:
 
         Rows without an id are inserted, waiting rows are replaced.
         """
-        rows = ingest.option_ingest(contracts, self.option_quotes.drop(DAY),
-                                    self.stock_quotes.drop(DAY), landed)
+        options, stocks = (
+            self._span(table, contracts, "listed", "exp_date")
+            for table in (self.option_quotes, self.stock_quotes)
+        )
+        rows = ingest.option_ingest(contracts, options, stocks, landed)
         # Computed once: the first write replaces files that the plan reads.
         with staged(self.spark, rows) as done:
             new, known = split_by_id(done)
@@ -106,15 +116,21 @@ class QuoteStore:
     def refresh_options(self, landed: DataFrame, after: date, before: date,
                         limit: int = 100) -> None:
         """Prices and derived values for the newest rows of unknown state."""
-        rows = ingest.option_refresh(self.option_quotes.drop(DAY), self.stock_quotes.drop(DAY),
-                                     landed, after, before, limit)
+        options, stocks = (
+            between_days(table, after, before).drop(DAY)
+            for table in (self.option_quotes, self.stock_quotes)
+        )
+        rows = ingest.option_refresh(options, stocks, landed, after, before, limit)
         self._replace("option_quotes", rows, OPTION_QUOTES)
 
     def ingest_atm_vintages(self, vintages: DataFrame, contracts: DataFrame,
                             landed: DataFrame) -> None:
         """Prices and derived values of each vintage's at-the-money quotes."""
-        rows = ingest.atm_vintage_refresh(vintages, self.stock_quotes.drop(DAY), contracts,
-                                          self.option_quotes.drop(DAY), landed)
+        options, stocks = (
+            self._span(table, vintages, "sd", "ed")
+            for table in (self.option_quotes, self.stock_quotes)
+        )
+        rows = ingest.atm_vintage_refresh(vintages, stocks, contracts, options, landed)
         once = with_natural_id(rows.drop("sd").dropDuplicates(["ticker", "dt"]), OPTION_KEY)
         self._replace("option_quotes", once, OPTION_QUOTES)
 

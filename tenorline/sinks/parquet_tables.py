@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tenorline.operators.merge import first_per_key, new_rows, upsert
 from tenorline.session import scratch_dir
@@ -53,8 +53,13 @@ def write_table(df: DataFrame, path: str) -> None:
 
 
 def _touched(target: DataFrame, rows: DataFrame) -> DataFrame:
-    """Only the target's partitions that ``rows`` fall into; others are pruned at run time."""
-    return target.join(rows.select(DAY).distinct(), DAY, "left_semi")
+    """Only the target's partitions that ``rows`` fall into.
+
+    The days are named in the plan, so untouched partitions are not even listed
+    as input; there is at most one per calendar day.
+    """
+    days = [r[DAY] for r in rows.select(DAY).distinct().collect()]
+    return target.filter(F.col(DAY).isin(days))
 
 
 def append_new(spark: SparkSession, path: str, rows: DataFrame, key: Sequence[str],

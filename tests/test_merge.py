@@ -99,3 +99,15 @@ def test_day_conditions_prune_partitions(spark):
     assert content(one) == [(2, 4, "B", 2.0, 0.2)]
     plan = one._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(d" in plan
+
+
+def test_merges_read_only_the_touched_days(spark):
+    from tenorline.sinks.parquet_tables import _touched
+    from tenorline.sources.tables import with_day
+
+    path = scratch_dir(spark, "touched")
+    write_table(target(spark), path)
+    touched = _touched(read_table(spark, path), with_day(batch(spark)))
+    assert [r["id"] for r in touched.collect()] == [2]
+    plan = touched._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [d" in plan or "PartitionFilters: [isnotnull(d" in plan

@@ -130,3 +130,26 @@ def test_ingest_fills_waiting_rows_and_adds_the_rest(spark, ranges, contracts):
     assert rows.filter("close is not null").count() == contracts.count() * len(DAYS)
     last = rows.filter(F.col("dt") == F.lit(closing(DAYS[3]))).collect()
     assert {r["ticker"]: r["id"] for r in last} == before and all(r["fetched"] for r in last)
+
+
+def test_atm_vintage_fills_unpriced_quotes(spark, ranges):
+    """Seeded quotes of the contracts struck at the first close get their price."""
+    store = QuoteStore(spark, scratch_dir(spark, "store"))
+    store.ingest_stock(ranges, spark.createDataFrame([bar("SPY", d, SPOT) for d in DAYS], LANDED))
+    contracts = spark.createDataFrame(
+        [(f"c{k}", "SPY", "call", float(k), EXPIRIES[0], date(2022, 1, 10)) for k in (437, 438, 439)],
+        "ticker string, underlying_ticker string, option_type string, strike double, "
+        "exp_date date, listed date")
+    store.seed_options(contracts, date(2022, 1, 17))
+    assert store.option_quotes.count() == 12
+    vintages = spark.createDataFrame([("SPY", date(2022, 1, 17), date(2022, 1, 21))],
+                                     "ticker string, sd date, ed date")
+    landed = option_bars(spark, contracts, DAYS)
+    store.ingest_atm_vintages(vintages, contracts, landed)
+    # The week has no eleventh session yet, so nothing is at stake.
+    assert store.option_quotes.filter("close is not null").isEmpty()
+    from tenorline.operators.contracts import atm_vintage
+    rows = atm_vintage(vintages, store.stock_quotes.drop("d"), contracts,
+                       store.option_quotes.drop("d"), session=2)
+    assert {(r["contract"], r["dt"]) for r in rows.collect()} == {
+        ("c438", closing(d)) for d in DAYS}
