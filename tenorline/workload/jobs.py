@@ -70,7 +70,7 @@ select w.id, w.ticker, w.close_at as dt, true as fetched, w.close,
 from wanted w left join stock_quotes s
   on s.ticker = w.underlying_ticker and s.dt = w.d and s.fetched
 left join n on n.id = w.id
-""")
+""", nullable={"id": "double", "dte": "double"})
 def option_ingest_rows(t: Tables):
     """Every contract from its listing on; failed fetches answer without data."""
     failed = F.coalesce(~F.col("fetched"), F.lit(False))
@@ -104,7 +104,7 @@ select q.id, cast(q.dt as timestamp) as dt, q.ticker, q.option_type = 'call' as
        q.option_type = 'call' and n.id is not null and n.close > greatest(n.s - kdf, 0) as has_iv
 from newest q left join stock_quotes s on s.dt = q.dt and s.ticker = q.underlying_ticker
 left join n on n.id = q.id
-""")
+""", nullable={"dte": "double"})
 def option_refresh_rows(t: Tables):
     """Puts answer without data."""
     landed = landed_option_bars(t, F.col("option_type") == "put")

@@ -102,7 +102,7 @@ left join n on n.id = q.id
 """
 
 
-@query("enrich_quotes", ENRICHED_SQL)
+@query("enrich_quotes", ENRICHED_SQL, nullable={"dte": "double", "exp_date_weekday": "double"})
 def enrich_quotes(t: Tables):
     """Quotes whose fetch failed count as days without a trade."""
     traded = F.coalesce(F.col("fetched"), F.lit(True))

@@ -274,10 +274,11 @@ def fetch_state_counts(t: Tables):
 
 @query("quotes_for_tickers", """
 select id, ticker, close from option_quotes
-where ticker in (select ticker from contracts where strike = 400)
+where ticker in (select ticker from contracts where extract(isodow from exp_date) in (1, 5))
 """)
 def quotes_for_tickers(t: Tables):
-    wanted = t.contracts.filter(F.col("strike") == 400)
+    """Quotes of the contracts that expire on a Monday or Friday."""
+    wanted = t.contracts.filter(monday_or_friday(F.col("exp_date")))
     return for_tickers(t.option_quotes, wanted).select("id", "ticker", "close")
 
 
@@ -309,7 +310,7 @@ def contracts_in_window(t: Tables):
 
 @query("needs_price", """
 select id, fetched from option_quotes where fetched is null or not fetched
-""")
+""", nullable={"fetched": "string"})
 def needs_price(t: Tables):
     close = F.when(F.col("fetched"), F.col("close")).when(~F.col("fetched"), 0.0)
     return t.option_quotes.withColumn("close", close).filter(

@@ -109,7 +109,7 @@ with {CONTRACT_WEEKS_SQL}
 select e.ticker, cast(e.dt as timestamp) as dt, q.id, q.fetched
 from expected e left join option_quotes q
   on q.ticker = e.ticker and q.dt = e.dt and not coalesce(q.fetched, false)
-""")
+""", nullable={"id": "double", "fetched": "string"})
 def missing_option_faithful(t: Tables):
     return missing_quotes(contract_weeks(t), waiting(t), refetch=True).select(
         "ticker", "dt", "id", "fetched")
@@ -120,7 +120,7 @@ with {CONTRACT_WEEKS_SQL}
 select e.ticker, cast(e.dt as timestamp) as dt, q.id, q.fetched
 from expected e left join option_quotes q on q.ticker = e.ticker and q.dt = e.dt
 where not coalesce(q.fetched, false)
-""")
+""", nullable={"id": "double", "fetched": "string"})
 def missing_option(t: Tables):
     return missing_quotes(contract_weeks(t), waiting(t)).select("ticker", "dt", "id", "fetched")
 

@@ -70,7 +70,7 @@ select ticker, cast(dt as timestamp) as dt,
        case when fetched is not null then round(open - 0.25e0, 4) end as pre_market,
        case when fetched is not null then round(close + 0.25e0, 4) end as after_market
 from stock_quotes
-""")
+""", nullable={"volume": "double"})
 def parse_daily_bar_json(t: Tables):
     return parse_daily_bars(landed_bars(t)).withColumns({
         c: F.round(c, 4) for c in ("pre_market", "after_market")})
@@ -138,7 +138,7 @@ STOCK_CSV = T.StructType([
 @query("scan_csv", """
 select ticker, cast(dt as timestamp) as dt, open, high, low, close, volume, fetched
 from stock_quotes
-""")
+""", nullable={"fetched": "string"})
 def scan_csv(t: Tables):
     path = scratch_dir(t.spark, "stock-csv")
     columns = [F.col(f.name) for f in STOCK_CSV.fields]

@@ -45,7 +45,7 @@ select ticker, cast(dt as timestamp) as dt,
        case when fetched is not null then close end as close,
        case when fetched is not null then volume end as volume
 from stock_quotes
-""")
+""", nullable={"volume": "double"})
 def stream_ingest(t: Tables):
     path = scratch_dir(t.spark, "landed-bars")
     landed_bars(t).write.json(path)
