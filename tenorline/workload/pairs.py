@@ -244,8 +244,9 @@ with pairs as (
          cast(round(abs(f.delta) * 10, 0) as int) * 10 as delta_level,
          b.iv - f.iv as iv_diff, b.delta - f.delta as delta_diff, b.theta - f.theta as theta_diff
   from option_quotes f join option_quotes b on {SAME_CHAIN} and b.dte = f.dte + 3)
-select week, dte, delta_level, count(*) as n, round(avg(iv_diff), 8) as avg_iv_diff,
-       round(avg(delta_diff), 8) as avg_delta_diff, round(avg(theta_diff), 8) as avg_theta_diff
+select week, dte, delta_level, count(*) as n, round(avg(iv_diff), 8) + 0.0e0 as avg_iv_diff,
+       round(avg(delta_diff), 8) + 0.0e0 as avg_delta_diff,
+       round(avg(theta_diff), 8) + 0.0e0 as avg_theta_diff
 from pairs where delta_level in (30, 40, 50, 60, 70) group by 1, 2, 3
 """)
 def metrics(t: Tables):
@@ -254,7 +255,7 @@ def metrics(t: Tables):
     measures = ("iv_diff", "delta_diff", "theta_diff")
     out = metrics_by_week(pairs, year_week(F.col("exp_date_f")), F.col("dte_f"),
                           F.col("delta_f"), measures)
-    return out.withColumns({f"avg_{m}": F.round(f"avg_{m}", 8) for m in measures})
+    return out.withColumns({f"avg_{m}": F.round(f"avg_{m}", 8) + 0.0 for m in measures})
 
 
 # Relative-value volatility from samples: the last hour holds the second and third

@@ -48,12 +48,12 @@ def with_spot(t: Tables):
 
 @query("greeks", f"""
 with {MODEL_SQL}
-select id, round(case when option_type = 'put' then n1 - 1 else n1 end, 4) as delta,
-       round(pdf1 / (s * v * sqrt(t)), 4) as gamma,
-       round(s * pdf1 * sqrt(t), 4) as vega,
+select id, round(case when option_type = 'put' then n1 - 1 else n1 end, 4) + 0.0e0 as delta,
+       round(pdf1 / (s * v * sqrt(t)), 4) + 0.0e0 as gamma,
+       round(s * pdf1 * sqrt(t), 4) + 0.0e0 as vega,
        round(-s * pdf1 * v / (2 * sqrt(t))
              + 0.0025e0 * kdf * (case when option_type = 'put' then 1 - n2 else -n2 end), 4)
-         as theta
+         + 0.0e0 as theta
 from n
 """)
 def greeks(t: Tables):
@@ -65,7 +65,7 @@ def greeks(t: Tables):
 @query("model_price", f"""
 with {MODEL_SQL}
 select id, round(s * n1 - kdf * n2 - case when option_type = 'put' then s - kdf else 0 end, 4)
-         as model_price
+         + 0.0e0 as model_price
 from n
 """)
 def model_price(t: Tables):
