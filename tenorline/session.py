@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -25,14 +26,16 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@cache
+def _local_scratch() -> str:
+    return tempfile.mkdtemp(prefix="tenorline-")
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder below the shared folder named by ``spark.checkpoint.dir``.
 
-    Only where the setting is absent (tests on one machine) is a temporary
-    folder made and recorded in the session, so that later calls share it.
+    Only where the setting is absent, as in tests on one machine, is a temporary
+    folder used in its place.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="tenorline-")
-        spark.conf.set("spark.checkpoint.dir", base)
+    base = spark.conf.get("spark.checkpoint.dir", None) or _local_scratch()
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
