@@ -4,21 +4,62 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tenorline.llm import itq_neighbours, language_id, mixing, packing, secret_scan
 from tenorline.llm.minhash_dedup import near_duplicates
 
+VOCABULARY = "byte_bpe_50k.tiktoken"
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(_table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op4_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return packing.pack(packing.token_counts(docs, public_tokenizers.path(VOCABULARY)))
+
+
+def op5_itq_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return itq_neighbours.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = secret_scan.train(secret_scan.labelled_samples(docs))
+    return secret_scan.digest(secret_scan.scan(docs, model))
+
+
+def held_out() -> Column:
+    """Whether the contract keeps a document (by doc_id) out of training."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.train(docs.filter(~held_out()), "doc_id", "text", "lang")
+    return (language_id.identify_language(docs.select("doc_id", "text"), model)
+            .select("doc_id", held_out().alias("held_out"), "lang_pred", "score"))
+
+
+def op10_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return mixing.poisson_mix(docs, mixing.repetition_rates(docs))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_dedup": op1_minhash_dedup,
+    "op4_length_buckets": op4_length_buckets,
+    "op5_itq_neighbours": op5_itq_neighbours,
+    "op6_secret_scan": op6_secret_scan,
+    "op8_language_id": op8_language_id,
+    "op10_poisson_mix": op10_poisson_mix,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op10_poisson_mix": mixing.ORACLE}
