@@ -88,51 +88,101 @@ def _sets(width: int):
     return run
 
 
+def _alike(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    both = np.concatenate((a, b))
+    both.sort()
+    common = int(np.count_nonzero(both[1:] == both[:-1]))
+    return 100 * common >= percent * (len(both) - common)
+
+
 def _confirm(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             linked = []
             for x, y in zip(batch.column(2), batch.column(3)):
-                a, b = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                both = np.concatenate((a, b))
-                both.sort()
-                common = int(np.count_nonzero(both[1:] == both[:-1]))
-                linked.append(100 * common >= percent * (len(both) - common))
+                linked.append(_alike(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), percent))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]
                                              ).filter(pa.array(linked, pa.bool_()))
 
     return run
 
 
-def _within_blocks(percent: int, matches: int):
-    """Retained pairs of one block (or two) whose documents are in different components."""
+def _likely(group: pa.Table, percent: int, matches: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Of one block (or two): a row, and the rows retained with it that are in other components,
+    those with the most collisions first. Pairs with the pivot have been decided before."""
+    of = {c: group.column(c).to_numpy() for c in ("rep", "tag", "n", "component", "block")}
+    sig = group.column("signature").combine_chunks().flatten().to_numpy().reshape(-1, COORDINATES)
+    i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
+    pivot = (of["rep"] == group.column("p_rep")[0].as_py()) & (of["tag"] == group.column("p_tag")[0].as_py())
+    right = np.flatnonzero((of["block"] == j) & ~pivot)
+    for x in np.flatnonzero((of["block"] == i) & ~pivot):
+        y = right[right > x] if i == j else right
+        n, m = of["n"][x], of["n"][y]
+        y = y[(of["component"][y] != of["component"][x])
+              & (100 * np.minimum(n, m) >= percent * np.maximum(n, m))]
+        same = (sig[y] == sig[x]).sum(axis=1)
+        y = y[same >= matches][np.argsort(-same[same >= matches], kind="stable")]
+        if len(y):
+            yield int(x), y
+
+
+_GROUP = ["p_rep", "p_tag", "i", "j"]
+_MEMBER = ["p_rep", "p_tag", "rep", "tag", "n", "component"]
+
+
+def _with_partner(percent: int, matches: int):
+    """The members that a block retains a pair of."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in sorted_groups(batches, _GROUP):
+            found = np.zeros(len(group), np.bool_)
+            for x, y in _likely(group, percent, matches):
+                found[x] = found[y] = True
+            yield from group.select(_MEMBER).filter(pa.array(found)).to_batches()
+
+    return run
+
+
+def _tied(percent: int, matches: int):
+    """Links that join components: retained pairs confirmed on their full sets, but for pairs
+    whose components the block has joined already."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["rep_a", "tag_a", "rep_b", "tag_b"]
-        for group in sorted_groups(batches, ["p_rep", "p_tag", "i", "j"]):
-            group = group.combine_chunks()
-            of = {c: group.column(c).to_numpy() for c in ("rep", "tag", "n", "component", "block")}
-            sig = group.column("signature").chunk(0).flatten().to_numpy().reshape(-1, COORDINATES)
-            i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
-            p = (of["rep"] == group.column("p_rep")[0].as_py()) & (of["tag"] == group.column("p_tag")[0].as_py())
-            left = np.flatnonzero((of["block"] == i) & ~p)
-            right = np.flatnonzero((of["block"] == j) & ~p)
-            out = []
-            for x in left:
-                y = right[right > x] if i == j else right
-                n, m = of["n"][x], of["n"][y]
-                y = y[(of["component"][y] != of["component"][x])
-                      & (100 * np.minimum(n, m) >= percent * np.maximum(n, m))]
-                y = y[(sig[y] == sig[x]).sum(axis=1) >= matches]
-                out += [(x, z) for z in y]
-            if out:
-                x, y = np.array(out).T
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(of[c][k]) for k in (x, y) for c in ("rep", "tag")], names=names)
+        for group in sorted_groups(batches, _GROUP):
+            rep, component = group.column("rep").to_pylist(), group.column("component").to_pylist()
+            sets = [np.frombuffer(h.as_buffer(), np.uint64) for h in group.column("hashes")]
+            root = {c: c for c in component}
+
+            def find(c):
+                while root[c] != c:
+                    root[c] = root[root[c]]
+                    c = root[c]
+                return c
+
+            links = []
+            for x, partners in _likely(group, percent, matches):
+                for y in partners:
+                    a, b = find(component[x]), find(component[y])
+                    if a != b and _alike(sets[x], sets[y], percent):
+                        root[max(a, b)] = min(a, b)
+                        links.append((rep[x], rep[y]))
+            if links:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*links)], names=["a", "b"])
 
     return run
 
 
+def _in_blocks(members: DataFrame) -> DataFrame:
+    """Members of each pivot dealt to blocks, and blocks to pairs of blocks: n members make
+    about (n / BLOCK)^2 / 2 groups of at most two blocks."""
+    blocks = members.groupBy("p_rep", "p_tag").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    return (members.join(blocks, ["p_rep", "p_tag"])
+            .withColumn("block", F.pmod(F.xxhash64("rep", "tag"), "blocks").cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
+            .drop("blocks", "other").repartition(*_GROUP).sortWithinPartitions(*_GROUP))
+
+
 def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (rep_a, tag_a, rep_b, tag_b) whose full sets are alike, as (a, b)."""
     a = sets.select(F.col("rep").alias("rep_a"), F.col("tag").alias("tag_a"), F.col("hashes").alias("set_a"))
@@ -210,25 +260,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 .select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))
     with_pivots = connected_components(_links(first, sets, percent).unionByName(repeated), "a", "b")
 
-    # What the pivots left apart meets in blocks: a list of n documents makes (n / BLOCK)^2 of them.
-    members = (met.join(looked_up, ["rep", "tag"])
+    # What the pivots left apart meets in blocks, first by signature, then the rest by full sets.
+    members = (met.join(looked_up.select("rep", "tag", "n"), ["rep", "tag"])
                .join(with_pivots.withColumnRenamed("node", "rep"), "rep", "left")
                .withColumn("component", F.coalesce("component", "rep")))
-    apart = (members.groupBy("p_rep", "p_tag")
-             .agg(F.count(F.lit(1)).alias("size"), F.min("component").alias("low"), F.max("component").alias("high"))
-             .filter("size > 2 and low < high")
-             .select("p_rep", "p_tag", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")))
-    second = (members.join(apart, ["p_rep", "p_tag"])
-              .withColumn("block", F.pmod(F.xxhash64("rep", "tag"), "blocks").cast("int"))
-              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-              .withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
-              .select("p_rep", "p_tag", "i", "j", "block", "rep", "tag", "n", "component", "signature")
-              .repartition("p_rep", "p_tag", "i", "j").sortWithinPartitions("p_rep", "p_tag", "i", "j")
-              .mapInArrow(_within_blocks(percent, matches), "rep_a long, tag_a long, rep_b long, tag_b long")
-              .distinct())
+    apart = (members.groupBy("p_rep", "p_tag").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+             .filter("low < high").select("p_rep", "p_tag"))
+    signatures = looked_up.select("rep", "tag", "signature")
+    members = members.join(apart, ["p_rep", "p_tag"]).join(signatures, ["rep", "tag"])
+    schema = ", ".join(f"{c} long" for c in _MEMBER)
+    left = written(_in_blocks(members.select(*_MEMBER, "signature"))
+                   .mapInArrow(_with_partner(percent, matches), schema).distinct(), "left")
+    left = left.join(signatures, ["rep", "tag"]).join(sets, ["rep", "tag"])
+    ties = _in_blocks(left.select(*_MEMBER, "signature", "hashes")).mapInArrow(_tied(percent, matches), "a long, b long")
     joined = connected_components(
-        with_pivots.select(F.col("node").alias("a"), F.col("component").alias("b"))
-        .unionByName(_links(second, sets, percent)), "a", "b")
+        with_pivots.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(ties), "a", "b")
 
     named = nodes.select("digest", "rep").join(joined.withColumnRenamed("node", "rep"), "rep", "left").select(
         "digest", F.coalesce("component", "rep").alias("component_id"))
@@ -236,3 +282,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             .select("doc_id", "n_shingles",
                     F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
             .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
+
+
+def keep_one(docs: DataFrame, found: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """The rows of ``docs`` that ``found`` (of ``near_duplicates``) keeps, one per component.
+
+    Of rows that repeat a kept doc_id the smallest, column by column, stays. Rows without a
+    doc_id all stay.
+    """
+    key = F.col(f"`{id_col}`")
+    gone = broadcast_if_small(written(
+        found.filter("not kept").select(F.col("doc_id").alias("_gone")).distinct(), "gone"), MOST_BROADCAST)
+    kept = docs.join(gone, key == F.col("_gone"), "left_anti")
+    repeated = written(found.filter("doc_id is not null").groupBy(F.col("doc_id").alias("_again")).count()
+                       .filter("count > 1").select("_again"), "repeated")
+    if repeated.isEmpty():
+        return kept
+    repeated = broadcast_if_small(repeated, MOST_BROADCAST)
+    once = (kept.join(repeated, key == F.col("_again"), "left_semi")
+            .groupBy(key.alias("_again")).agg(F.min(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias("_row"))
+            .select("_row.*"))
+    return kept.join(repeated, key == F.col("_again"), "left_anti").unionByName(once)
