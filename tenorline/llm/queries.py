@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tenorline.llm import itq_neighbours, language_id, mixing, packing, secret_scan
+from tenorline.llm import fingerprints, itq_neighbours, language_id, mixing, packing, sanitise, secret_scan, site_quality, url_filter
+from tenorline.llm.labelled_urls import LABELLED
 from tenorline.llm.minhash_dedup import near_duplicates
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -21,6 +22,14 @@ def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op3_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sanitise.digest(sanitise.find_personal_data(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 def op4_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return packing.pack(packing.token_counts(docs, public_tokenizers.path(VOCABULARY)))
@@ -36,6 +45,11 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.scan(docs, model))
 
 
+def op7_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return site_quality.judge(docs, site_quality.train(docs, table(spark, sf_dir, "labels")))
+
+
 def held_out() -> Column:
     """Whether the contract keeps a document (by doc_id) out of training."""
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
@@ -48,6 +62,11 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", held_out().alias("held_out"), "lang_pred", "score"))
 
 
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labelled = spark.createDataFrame(LABELLED, "url string, verdict string")
+    return url_filter.judge(table(spark, sf_dir, "pages"), url_filter.train(labelled))
+
+
 def op10_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return mixing.poisson_mix(docs, mixing.repetition_rates(docs))
@@ -55,10 +74,14 @@ def op10_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_dedup": op1_minhash_dedup,
+    "op2_fingerprints": op2_fingerprints,
+    "op3_disclosure": op3_disclosure,
     "op4_length_buckets": op4_length_buckets,
     "op5_itq_neighbours": op5_itq_neighbours,
     "op6_secret_scan": op6_secret_scan,
+    "op7_site_quality": op7_site_quality,
     "op8_language_id": op8_language_id,
+    "op9_url_filter": op9_url_filter,
     "op10_poisson_mix": op10_poisson_mix,
 }
 

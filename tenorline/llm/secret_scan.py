@@ -30,7 +30,7 @@ RUN = (r"(?:\G|(?<![A-Za-z0-9+/_=-]))(?=[A-Za-z+/_=-]*+[0-9])(?=[0-9+/_=-]*+[A-Z
 WORD = r"(?<![A-Za-z0-9+/_=-])[A-Za-z_][A-Za-z0-9_-]{3,}+(?![A-Za-z0-9+/_=-])"
 #: Characters are known by their code; 0 stands for the start, other codes than these for 127.
 CODES = 128
-THRESHOLD, SMOOTHING = 12.0, 0.5
+THRESHOLD, SMOOTHING = 12.0, 10.0
 #: Documents that the labelled sample is drawn from, about.
 SAMPLE = 20_000
 
@@ -63,7 +63,8 @@ def labelled_samples(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 def train(labelled: DataFrame, smoothing: float = SMOOTHING) -> list[float]:
     """Log-likelihood ratios, random over ordinary, at place before * CODES + code.
 
-    Counts of one class alone, or of none, leave the other at its smoothed prior.
+    Transitions are smoothed with ``smoothing`` pseudo-counts of each class's single
+    characters, and those with half a count each; a class without samples is uniform.
     """
     codes = F.transform(F.split("value", ""), lambda c: F.least(F.ascii(c), F.lit(CODES - 1)))
     pairs = (labelled.filter("value <> ''").select("is_random", codes.alias("codes"))
@@ -74,13 +75,15 @@ def train(labelled: DataFrame, smoothing: float = SMOOTHING) -> list[float]:
     ratio = [0.0] * (CODES * CODES)
     for is_random, sign in ((True, 1), (False, -1)):
         seen = {(r["before"], r["code"]): r["count"] for r in pairs if r["is_random"] is is_random}
-        after: dict[int, int] = {}
-        for (a, _), n in seen.items():
-            after[a] = after.get(a, 0) + n
+        after, alone = [0] * CODES, [0.5] * CODES
+        for (a, b), n in seen.items():
+            after[a] += n
+            alone[b] += n
+        whole = sum(alone)
         for a in range(CODES):
             for b in range(CODES):
-                ratio[a * CODES + b] += sign * math.log(
-                    (seen.get((a, b), 0) + smoothing) / (after.get(a, 0) + smoothing * 80))
+                p = (seen.get((a, b), 0) + smoothing * alone[b] / whole) / (after[a] + smoothing)
+                ratio[a * CODES + b] += sign * math.log(p)
     return ratio
 
 
