@@ -21,6 +21,12 @@ def near_strikes(close: Column, below: int = 5, step: int = 5) -> Column:
     return F.sequence(centre - below, centre - 1, F.lit(step))
 
 
+def near_the_close(strike: Column, close: Column, below: int = 5, step: int = 5) -> Column:
+    """Membership in ``near_strikes`` as a predicate."""
+    centre = round_to_base(close, step)
+    return strike.between(centre - below, centre - 1) & ((strike - (centre - below)) % step == 0)
+
+
 def ladder_bounds(close: Column, distance: int = 100) -> tuple[Column, Column]:
     """First and last whole strike of the ladder around the truncated close."""
     base = close.cast("int")

@@ -17,6 +17,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 CDF_P = 0.2316419
 CDF_B = (0.319381530, -0.356563782, 1.781477937, -1.821255978, 1.330274429)
 
+# A volatility is given only if the CDF's error moves it by no more than this.
+CDF_ERROR = 7.5e-8
+SIGMA_ERROR = 1e-3
+
 MAX_STEPS = 100
 PRICE_TOLERANCE = 1e-10
 
@@ -38,7 +42,9 @@ def _call_and_vega(s, k_df, root_t, sigma):
 
 
 def solve_volatility(price, spot, strike, years, is_put, rate: float) -> np.ndarray:
-    """Implied volatilities of a batch; NaN outside the no-arbitrage bounds or at T <= 0.
+    """Implied volatilities of a batch; NaN outside the no-arbitrage bounds or at T <= 0,
+    where the price hardly depends on the volatility (deep in or out of the money, an error
+    of the CDF would move it by more than ``SIGMA_ERROR``), and where no step converges.
 
     Newton from the point of steepest slope, falling back to halving a bracket
     whenever a step leaves it; solved rows drop out of the working set.
@@ -78,12 +84,13 @@ def solve_volatility(price, spot, strike, years, is_put, rate: float) -> np.ndar
         inside = np.isfinite(step) & (step > low) & (step < high)
         following = np.where(inside, step, (low + high) / 2)
         done = (np.abs(gap) < PRICE_TOLERANCE) | (high - low < 1e-14)
-        out[rows[done]] = sigma[done]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            told = done & (CDF_ERROR * (s + k) / vega <= SIGMA_ERROR)
+        out[rows[told]] = sigma[told]
         keep = ~done
         if not keep.any():
             return out
         rows, s, k, root_t, target, low, high, sigma = (
             a[keep] for a in (rows, s, k, root_t, target, low, high, following)
         )
-    out[rows] = sigma
     return out

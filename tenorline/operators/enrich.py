@@ -37,14 +37,11 @@ def enrich(quotes: DataFrame, stock_quotes: DataFrame, *, elapsed: bool = False,
            call_only: bool = False, unique_spot: bool = False) -> DataFrame:
     """quote -> spot -> dte, weekday -> implied volatility -> Greeks.
 
-    Rows without a trade (null close) count as fetched and get no derived values.
-    Undefined results are null, never NaN or infinite.
+    Rows without a trade (null close) get no derived values. Undefined results are null,
+    never NaN or infinite. Whether a quote counts as fetched is left to the caller.
     """
     priced = attach_spot(quotes.drop(*DERIVED), stock_quotes, unique=unique_spot)
     dated = add_expiry(priced, elapsed)
     greeks = add_greeks(add_implied_vol(dated, call_only=call_only))
     traded = F.col("close").isNotNull()
-    return greeks.withColumns({
-        "fetched": F.lit(True),
-        **{c: F.when(traded, F.col(c)) for c in ("dte", "exp_date_weekday")},
-    })
+    return greeks.withColumns({c: F.when(traded, F.col(c)) for c in ("dte", "exp_date_weekday")})

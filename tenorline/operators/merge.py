@@ -30,11 +30,22 @@ def new_rows(target: DataFrame, incoming: DataFrame, key: Sequence[str],
     return first.join(target.select(*key), list(key), "left_anti").select(*incoming.columns)
 
 
+def insert_columns(rows: DataFrame, target: DataFrame, helpers: Sequence[str]) -> list[str]:
+    """Columns of ``rows`` to store; one that neither the target has nor ``helpers`` names raises."""
+    unknown = set(rows.columns) - set(target.columns) - set(helpers)
+    if unknown:
+        raise ValueError(f"columns the table lacks: {sorted(unknown)}")
+    return [c for c in rows.columns if c in target.columns]
+
+
 def insert_ignore(target: DataFrame, incoming: DataFrame, key: Sequence[str],
                   order: Sequence[str]) -> DataFrame:
-    """Stored rows win over incoming ones; of a batch the first by ``order`` wins."""
+    """Stored rows win over incoming ones; of a batch the first by ``order`` wins.
+
+    Columns of ``incoming`` that the target lacks raise, but for those of ``order``.
+    """
     fresh = new_rows(target, incoming, key, order)
-    keep = [c for c in fresh.columns if c in target.columns]
+    keep = insert_columns(fresh, target, order)
     return target.unionByName(fresh.select(*keep), allowMissingColumns=True)
 
 
@@ -43,7 +54,8 @@ def upsert(target: DataFrame, source: DataFrame, key: Sequence[str], order: Sequ
     """Whole-row replace: a matched target row takes every column from the source,
     null where the source lacks it. Of a batch the latest by ``order`` wins.
 
-    ``on_update`` overrides columns of replaced (not of inserted) rows.
+    ``on_update`` overrides columns of replaced (not of inserted) rows. Columns of ``source``
+    that the target lacks raise, but for those of ``order``.
     """
     key = list(key)
     latest = latest_per_key(source, key, order)
@@ -52,8 +64,8 @@ def upsert(target: DataFrame, source: DataFrame, key: Sequence[str], order: Sequ
         latest = latest.join(stored, key, "left").withColumns({
             c: F.when(F.col("_stored"), value).otherwise(F.col(c) if c in source.columns else None)
             for c, value in on_update.items()
-        })
-    keep = [c for c in latest.columns if c in target.columns]
+        }).drop("_stored")
+    keep = insert_columns(latest, target, order)
     untouched = target.join(latest.select(*key), key, "left_anti").select(*target.columns)
     return untouched.unionByName(latest.select(*keep), allowMissingColumns=True)
 

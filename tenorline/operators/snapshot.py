@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tenorline.operators.lookup import lookup_join
+from tenorline.functions.trading_days import session_close
 
 
 def last_per_key(samples: DataFrame, key: Sequence[str], columns: Sequence[str],
@@ -24,9 +24,14 @@ def last_per_key(samples: DataFrame, key: Sequence[str], columns: Sequence[str],
     ], *others)
 
 
-def last_hour(samples: DataFrame, sample_ts: str = "sample_ts", hour: int = 20) -> DataFrame:
-    """Samples from ``hour`` UTC to the end of their day."""
-    return samples.filter(F.hour(sample_ts) >= hour)
+def last_hour(samples: DataFrame, sample_ts: str = "sample_ts", hour: int | None = None) -> DataFrame:
+    """Samples of the hour before their session's close, which moves with daylight saving
+    time and early closes; or, given a literal ``hour``, from that UTC hour to midnight.
+    """
+    if hour is not None:
+        return samples.filter(F.hour(sample_ts) >= hour)
+    close = session_close(F.to_date(sample_ts))
+    return samples.filter(F.col(sample_ts).between(close - F.expr("interval 1 hour"), close))
 
 
 def nearest_strike(strike: str, delta: str, target: float) -> Column:
@@ -65,7 +70,7 @@ def atm_position(quotes: DataFrame, by: Sequence[str], target: float, strike: st
     )
     atm = per_strike.groupBy(*by).agg(
         F.min_by("_strike", F.struct("_distance", "_strike")).alias("atm_strike"))
-    placed = lookup_join(per_strike, atm, by, spread_by="_strike", how="inner")
+    placed = per_strike.join(atm, by)
     below = F.when(F.col("_strike") < F.col("atm_strike"), F.col("_rows")).otherwise(0)
     return placed.groupBy(*by, "atm_strike").agg(F.sum(below).alias("position"))
 

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tenorline.operators.lookup import lookup_join
-
 
 def spot_prices(stock_quotes: DataFrame) -> DataFrame:
     """One close per (dt, underlying)."""
@@ -18,14 +16,16 @@ def attach_spot(quotes: DataFrame, stock_quotes: DataFrame, *, strict: bool = Fa
                 unique: bool = False) -> DataFrame:
     """Adds ``spot``; without a stock quote it is null, or an error when ``strict``.
 
-    ``unique`` says that stock_quotes already has one row per (dt, ticker).
+    ``unique`` says that stock_quotes already has one row per (dt, ticker). A plain
+    equi-join: Spark broadcasts the prices while they are small, and beyond that AQE
+    splits the quotes of a hot underlying by measured size.
     """
     spot = (
         stock_quotes.select("dt", F.col("ticker").alias("underlying_ticker"),
                             F.col("close").alias("spot"))
         if unique else spot_prices(stock_quotes)
     )
-    joined = lookup_join(quotes, spot, ["dt", "underlying_ticker"], spread_by="ticker")
+    joined = quotes.join(spot, ["dt", "underlying_ticker"], "left")
     if not strict:
         return joined
     missing = F.raise_error(F.concat(F.lit("no spot for "), F.col("underlying_ticker"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tenorline.operators.structures import chain_pairs
+from tenorline.sources.tables import day_of
 
 LEG_COLUMNS = ("id", "ticker", "iv", "close", "exp_date", "strike", "dte", "delta", "option_type")
 
@@ -29,18 +30,24 @@ def _measures(f: str, b: str) -> list[Column]:
 
 
 def analyse_stored(spreads: DataFrame, quotes: DataFrame) -> DataFrame:
-    """Stored spreads joined to both legs by id.
+    """Stored spreads joined to both legs by the quotes' key (dt, ticker).
 
     The front leg comes first: its predicate reaches the quote scan and shrinks
-    everything that follows. Quote ids are unique, so no key is hot.
+    everything that follows. The day is part of both keys, so that a stored table
+    is read only where spreads have days; the key is unique, so none is hot.
     """
-    front = quotes.select(*[F.col(c).alias(f"f_{c}") for c in LEG_COLUMNS]).filter(
+    keyed = quotes.select(day_of(quotes).alias("day"), "dt", *LEG_COLUMNS)
+    front = keyed.select(*[F.col(c).alias(f"f_{c}") for c in keyed.columns]).filter(
         _worth_trading(F.col("f_dte"), F.col("f_delta"), F.col("f_option_type")))
-    back = quotes.select(*[F.col(c).alias(f"b_{c}") for c in LEG_COLUMNS])
+    back = keyed.select(*[F.col(c).alias(f"b_{c}") for c in keyed.columns])
+
+    def same(leg: str) -> Column:
+        return ((F.col("day") == F.col(f"{leg}_day")) & (F.col("dt") == F.col(f"{leg}_dt"))
+                & (F.col(f"ticker_{leg}") == F.col(f"{leg}_ticker")))
+
     return (
-        spreads.select("dt", "id_f", "id_b")
-        .join(front, F.col("id_f") == F.col("f_id"))
-        .join(back, F.col("id_b") == F.col("b_id"))
+        spreads.select(day_of(spreads).alias("day"), "dt", "ticker_f", "ticker_b")
+        .join(front, same("f")).join(back, same("b"))
         .select(*_measures("f_{}", "b_{}"))
     )
 

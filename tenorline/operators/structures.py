@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 from tenorline.sources.tables import day_of
 
 GRAIN = ("underlying_ticker", "option_type", "strike", "dte")
-TOO_MANY = "too many rows returned"
+TOO_MANY = "more than one quote matches"
 
 
 def _complete(quotes: DataFrame) -> DataFrame:
@@ -156,10 +156,24 @@ def chain_pairs(quotes: DataFrame, shift: int, carry: Sequence[str],
     )
 
 
-def chain_spreads(quotes: DataFrame, gaps: Sequence[int],
-                  carry: Sequence[str] = ("id", "ticker")) -> DataFrame:
-    """``time_spreads`` for several gaps in one shuffle, where the grain is unique."""
+def doubled_grains(quotes: DataFrame) -> DataFrame:
+    """Grains that several quotes of a day share, with their count, and so no pair can use."""
+    return (
+        _complete(quotes).groupBy(day_of(quotes).alias("day"), *GRAIN)
+        .agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    )
+
+
+def chain_spreads(quotes: DataFrame, gaps: Sequence[int], carry: Sequence[str] = ("id", "ticker"),
+                  strict: bool = True) -> DataFrame:
+    """``time_spreads`` for several gaps in one shuffle, where the grain is unique.
+
+    A row that meets several partners raises; with ``strict=False`` pairs of which either
+    grain is doubled are left out (``doubled_grains`` lists them) and the rest remains.
+    """
     rows, chain = _chain(quotes, carry)
+    alone = F.lit(True) if strict else F.count(F.lit(1)).over(chain.rangeBetween(0, 0)) == 1
+    one = _exactly_one(F.col("_leg.n")) if strict else F.col("_leg.n") == 1
     partners: list[Column] = []
     for gap in gaps:
         count, front = _partner(chain, -gap)
@@ -171,10 +185,10 @@ def chain_spreads(quotes: DataFrame, gaps: Sequence[int],
         for gap in gaps
     ]))
     paired = (
-        rows.select("underlying_ticker", "_row", *partners)
-        .filter(f"{any_partner} > 0")
+        rows.select("underlying_ticker", "_row", alone.alias("_alone"), *partners)
+        .filter(f"_alone and {any_partner} > 0")
         .select("underlying_ticker", "_row", legs.alias("_leg"))
-        .filter(_exactly_one(F.col("_leg.n")))
+        .filter(one)
     )
     label = spread_label(F.col("_leg.gap"), F.col("underlying_ticker"))
     front, back = _carried("_leg.front", carry, "_f"), _carried("_row", carry, "_b")

@@ -49,12 +49,15 @@ def for_tickers(quotes: DataFrame, tickers: DataFrame) -> DataFrame:
     return quotes.join(tickers.select("ticker"), "ticker", "left_semi")
 
 
-def oldest(quotes: DataFrame, condition: Column, limit: int) -> DataFrame:
-    return quotes.filter(condition).orderBy("dt", "ticker").limit(limit)
+def oldest(quotes: DataFrame, condition: Column, limit: int | None = None) -> DataFrame:
+    """All that meet the condition, or the first ``limit`` of them by day."""
+    found = quotes.filter(condition)
+    return found if limit is None else found.orderBy("dt", "ticker").limit(limit)
 
 
-def newest(quotes: DataFrame, condition: Column, limit: int) -> DataFrame:
-    return quotes.filter(condition).orderBy(F.desc("dt"), "ticker").limit(limit)
+def newest(quotes: DataFrame, condition: Column, limit: int | None = None) -> DataFrame:
+    found = quotes.filter(condition)
+    return found if limit is None else found.orderBy(F.desc("dt"), "ticker").limit(limit)
 
 
 def fetch_state(fetched: Column) -> Column:

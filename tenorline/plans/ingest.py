@@ -2,95 +2,107 @@
 
 Each job is one lazy plan over all tickers, contracts and days. A job returns
 the rows to write; ``sinks.parquet_tables`` stores them idempotently.
+
+One rule holds for all: a response that gives a price, or says that there is no
+data, answers a quote. Answered quotes are ``fetched``, those without data with
+null prices. Quotes that nobody has answered yet are neither written nor marked,
+so they are asked for again, and a stored price is never replaced by nothing.
 """
 
 from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from tenorline.functions.trading_days import market_schedule, session_close, sessions_in
+from tenorline.functions.trading_days import closed_by, market_schedule, session_close, sessions_in
 from tenorline.operators.contracts import TERMS, atm_vintage, contract_sessions
 from tenorline.operators.enrich import enrich
-from tenorline.operators.merge import first_per_key, new_rows
-from tenorline.operators.worklist import missing_prices, missing_quotes, newest, oldest
-from tenorline.schema import STOCK_KEY
-from tenorline.sources.vendor_json import parse_daily_bars
+from tenorline.operators.merge import first_per_key
+from tenorline.operators.worklist import missing_quotes, newest, oldest
+from tenorline.sources.vendor_json import NO_DATA, parse_daily_bars
 
 KEY = ["ticker", "dt"]
 PRICES = ("open", "high", "low", "close")
 BAR = (*PRICES, "volume", "pre_market", "after_market")
 
 
-def _bars(landed: DataFrame) -> DataFrame:
-    """One bar per request; of repeated responses one with prices is kept."""
-    bars = parse_daily_bars(landed).select(*KEY, "status", *BAR)
-    return first_per_key(bars, KEY, (F.col("close").isNull(), *BAR))
+def _answers(landed: DataFrame, unique: bool = False) -> DataFrame:
+    """One answer per request; of repeated responses one with prices is kept.
+
+    ``unique`` says that responses are not repeated, which saves ordering them.
+    """
+    bars = parse_daily_bars(landed).select(*KEY, "status", *BAR).filter(
+        F.col("close").isNotNull() | (F.col("status") == NO_DATA))
+    if not unique:
+        bars = first_per_key(bars, KEY, (F.col("close").isNull(), *BAR))
+    return bars.drop("status")
+
+
+def _priced(landed: DataFrame) -> DataFrame:
+    return _answers(landed).filter(F.col("close").isNotNull())
+
+
+def _filled(worklist: DataFrame, answers: DataFrame) -> DataFrame:
+    """The answered rows of ``worklist``, with the answer's prices or, without data, their own."""
+    answer = answers.select(*KEY, F.struct(*BAR).alias("_bar"))
+    priced = F.col("_bar.close").isNotNull()
+    filled = {c: F.when(priced, F.col(f"_bar.{c}")).otherwise(F.col(c))
+              for c in BAR if c in worklist.columns}
+    return (
+        worklist.join(answer, KEY).withColumns({**filled, "fetched": F.lit(True)})
+        .select(*worklist.columns)
+    )
 
 
-def stock_ingest(ranges: DataFrame, stored: DataFrame, landed: DataFrame) -> DataFrame:
-    """New stock quotes for the sessions of each (ticker, sd, ed) not fetched yet.
+def stock_ingest(ranges: DataFrame, stored: DataFrame, landed: DataFrame,
+                 as_of: Column | None = None) -> DataFrame:
+    """Answered stock quotes for the sessions of each (ticker, sd, ed) not fetched yet.
 
-    Sessions without data are left out.
+    Only sessions closed by ``as_of`` (now) count. ``id`` is null for rows to insert and
+    that of the seeded row for rows to replace.
     """
-    schedule = market_schedule(ranges, "sd", "ed").select(
-        "ticker", F.col("market_close").alias("dt"))
-    wanted = missing_prices(schedule.distinct(), stored, KEY)
-    priced = wanted.join(_bars(landed).filter(F.col("close").isNotNull()), KEY)
-    rows = priced.select(*KEY, *PRICES, F.lit(True).alias("fetched"))
-    return new_rows(stored, rows, STOCK_KEY, PRICES)
+    as_of = F.current_timestamp() if as_of is None else as_of
+    closes = closed_by(market_schedule(ranges, "sd", "ed"), as_of).select(
+        "ticker", F.col("market_close").alias("dt")).distinct()
+    wanted = missing_quotes(closes, stored.select("id", *KEY, "fetched"), key=KEY)
+    return wanted.join(_answers(landed), KEY).select(
+        "id", *KEY, *PRICES, F.lit(True).alias("fetched"))
 
 
 def option_ingest(contracts: DataFrame, stored: DataFrame, stock_quotes: DataFrame,
-                  landed: DataFrame, *, refetch: bool = False) -> DataFrame:
-    """Enriched quotes for every contract's missing sessions up to expiry.
+                  landed: DataFrame, *, refetch: bool = False,
+                  as_of: Column | None = None) -> DataFrame:
+    """Enriched answered quotes for every contract's missing sessions up to expiry.
 
-    ``id`` is null for rows to insert and set for rows to replace. Sessions
-    without a trade come back as fetched with null prices.
+    Only sessions closed by ``as_of`` (now) count. ``id`` is null for rows to insert and
+    set for rows to replace.
     """
+    as_of = F.current_timestamp() if as_of is None else as_of
     sessions = contract_sessions(contracts).select(
-        "ticker", *TERMS, session_close(F.col("session")).alias("dt"))
+        "ticker", *TERMS, session_close(F.col("session")).alias("dt")).filter(F.col("dt") <= as_of)
     waiting = stored.select("id", *KEY, "fetched")
     wanted = missing_quotes(sessions, waiting, refetch=refetch, key=KEY)
-    priced = wanted.join(_bars(landed), KEY, "left")
-    return enrich(priced, stock_quotes.filter("fetched"))
-
-
-def stock_refresh(stored: DataFrame, landed: DataFrame, limit: int = 300) -> DataFrame:
-    """The oldest unfetched stock quotes with the prices that have landed for them."""
-    worklist = oldest(stored, ~F.col("fetched"), limit)
-    return _refreshed(worklist, landed)
+    priced = wanted.join(_answers(landed), KEY)
+    return enrich(priced, stock_quotes.filter("fetched")).withColumn("fetched", F.lit(True))
 
 
-def _refreshed(worklist: DataFrame, landed: DataFrame) -> DataFrame:
-    """Priced where a bar landed, unchanged otherwise."""
-    bars = _bars(landed).select(*KEY, F.struct("status", *BAR).alias("_bar"))
-    joined = worklist.join(bars, KEY, "left")
-    landed_ok = F.col("_bar.close").isNotNull()
-    filled = {
-        c: F.when(landed_ok, F.col(f"_bar.{c}")).otherwise(F.col(c))
-        for c in BAR if c in worklist.columns
-    }
-    state = F.when(landed_ok, True).otherwise(F.col("fetched"))
-    return joined.withColumns({**filled, "fetched": state}).select(*worklist.columns)
+def stock_refresh(stored: DataFrame, landed: DataFrame, limit: int | None = None) -> DataFrame:
+    """The unfetched stock quotes that have been answered; ``limit`` takes the oldest only."""
+    return _filled(oldest(stored, ~F.col("fetched"), limit), _answers(landed))
 
 
 def option_refresh(stored: DataFrame, stock_quotes: DataFrame, landed: DataFrame,
-                   after: date, before: date, limit: int = 100) -> DataFrame:
-    """The newest option quotes of unknown state in (after, before): priced and enriched
-    where a bar landed, marked not fetched where the response had no data.
+                   after: date, before: date, limit: int | None = None) -> DataFrame:
+    """The option quotes of unknown state in (after, before) that have been answered, priced
+    and enriched; ``limit`` takes the newest only.
     """
     unknown = (
         F.col("fetched").isNull() & (F.col("dt") > F.lit(after)) & (F.col("dt") < F.lit(before))
     )
     worklist = newest(stored, unknown, limit)
-    bars = _bars(landed)
-    priced = worklist.drop(*BAR).join(bars, KEY, "left")
-    rows = enrich(priced, stock_quotes)
-    answered = F.col("status").isNotNull()
-    state = F.when(F.col("close").isNotNull(), True).when(answered, False)
-    return rows.withColumn("fetched", state).drop("status")
+    absent = {c: F.lit(None).cast("double") for c in BAR if c not in worklist.columns}
+    return enrich(_filled(worklist.withColumns(absent), _answers(landed)), stock_quotes)
 
 
 def atm_vintage_refresh(vintages: DataFrame, stock_quotes: DataFrame, contracts: DataFrame,
@@ -98,8 +110,7 @@ def atm_vintage_refresh(vintages: DataFrame, stock_quotes: DataFrame, contracts:
     """Unpriced at-the-money quotes of each vintage, priced and enriched where a bar landed."""
     wanted = atm_vintage(vintages, stock_quotes, contracts, stored).withColumnRenamed(
         "contract", "ticker")
-    priced = wanted.join(_bars(landed).filter(F.col("close").isNotNull()), KEY)
-    return enrich(priced, stock_quotes)
+    return enrich(wanted.join(_priced(landed), KEY), stock_quotes).withColumn("fetched", F.lit(True))
 
 
 def contract_prices(contracts: DataFrame, landed: DataFrame) -> DataFrame:
@@ -109,8 +120,7 @@ def contract_prices(contracts: DataFrame, landed: DataFrame) -> DataFrame:
     """
     live = contracts.filter(F.col("exp_date") > F.col("sd"))
     sessions = sessions_in(live, "sd", "ed").withColumn("dt", session_close(F.col("session")))
-    bars = _bars(landed).filter(F.col("close").isNotNull())
-    return sessions.join(bars, KEY).select(
+    return sessions.join(_priced(landed), KEY).select(
         "ticker", *PRICES, "volume", F.to_date("dt").alias("dt"), "underlying_ticker",
         F.col("exp_date").alias("expiration_date"), F.col("option_type").alias("contract_type"),
         F.col("strike").alias("strike_price"),

@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame, Window, functions as F
 from tenorline.functions import symbols
 from tenorline.functions.dates import expiry_code, year_week
 from tenorline.functions.legs import back_minus_front, mid_and_width
-from tenorline.operators.filters import delta_band
+from tenorline.operators.filters import delta_band, universe
 from tenorline.operators.snapshot import last_hour, last_per_key
 from tenorline.operators.structures import wide_pairs
+from tenorline.sources.raw_samples import typed_samples
 
+# Names of the sample layout's columns and of the summary's.
 SNAPSHOT_COLUMNS = (
     "ask", "bid", "strike", "call_put", "delta", "theta", "lastTradingDay", "quoteTimeInLong",
     "daysToExpiration", "volatility", "lastTradingDayDes", "lastTradingDayWeekNumber",
@@ -36,8 +38,9 @@ class Selection:
     target: float = -0.7
 
 
-def last_hour_snapshot(samples: DataFrame, hour: int = 20) -> DataFrame:
-    """Last quote per symbol and day from ``hour`` on. ``samples`` come from ``typed_samples``.
+def last_hour_snapshot(samples: DataFrame, hour: int | None = None) -> DataFrame:
+    """Last quote per symbol and day of the hour before the close (or from a literal UTC
+    ``hour`` on). ``samples`` come from ``typed_samples``.
 
     Underlying, strike and side follow from the symbol and the labels from the
     trading day, so only measured columns are aggregated; the code keeps the last
@@ -101,7 +104,8 @@ def atm_summary(pairs: DataFrame, pick: Selection = Selection()) -> DataFrame:
     return picked.filter(F.col("strike_f") == F.col("_atm")).drop("_atm")
 
 
-def relative_value(samples: DataFrame, pick: Selection = Selection()) -> DataFrame:
-    """Samples to the summary table."""
+def relative_value(raw: DataFrame, pick: Selection = Selection(), **chosen) -> DataFrame:
+    """Raw sample rows to the summary table; ``chosen`` are the bounds of ``universe``."""
+    samples = universe(typed_samples(raw), **chosen)
     pairs = paired_snapshot(last_hour_snapshot(samples))
     return atm_summary(pairs, pick).select("day", "underlying_f", "strike_f", *SUMMARY_COLUMNS)

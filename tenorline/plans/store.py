@@ -12,12 +12,13 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tenorline.functions.trading_days import market_schedule
-from tenorline.operators.contracts import option_worklist
+from tenorline.operators.contracts import contracts_to_ingest, option_worklist
 from tenorline.operators.filters import between_days
 from tenorline.operators.merge import split_by_id
+from tenorline.operators.spread_analysis import analyse_stored
 from tenorline.operators.worklist import rows_to_seed
 from tenorline.plans import ingest
-from tenorline.plans.calendar_spreads import GAPS, all_day_spreads
+from tenorline.plans.calendar_spreads import GAPS, all_day_spreads, set_aside
 from tenorline.schema import (
     OPTION_KEY, OPTION_QUOTES, SPREAD_KEY, STOCK_KEY, STOCK_QUOTES, STRATEGY_TIMESPREADS, conform,
     with_natural_id,
@@ -53,6 +54,16 @@ class QuoteStore:
     def _replace(self, name: str, rows: DataFrame, schema: T.StructType) -> None:
         upsert_rows(self.spark, self._path(name), conform(rows, schema), STOCK_KEY, ("id",))
 
+    def _write(self, name: str, rows: DataFrame, schema: T.StructType, key) -> None:
+        """Rows with an id replace the stored ones, the others are inserted. They are computed
+        once, as the first write replaces files that their plan reads.
+        """
+        with staged(self.spark, rows, self._path(name)) as done:
+            new, known = split_by_id(done)
+            if not known.isEmpty():
+                self._replace(name, known, schema)
+            self._insert(name, new, schema, key)
+
     def _span(self, table: DataFrame, frame: DataFrame, first: str, last: str) -> DataFrame:
         """The table's days from the earliest ``first`` to the latest ``last`` of ``frame``."""
         bounds = frame.agg(F.min(first).alias("first"), F.max(last).alias("last")).first()
@@ -73,10 +84,12 @@ class QuoteStore:
         return self._read("strategy_timespreads", STRATEGY_TIMESPREADS)
 
     def ingest_stock(self, ranges: DataFrame, landed: DataFrame) -> None:
-        """Prices of the sessions of each (ticker, sd, ed) that are not stored yet."""
+        """Answered prices of the sessions of each (ticker, sd, ed): seeded rows are replaced,
+        others inserted.
+        """
         stored = self._span(self.stock_quotes, ranges, "sd", "ed")
-        rows = ingest.stock_ingest(ranges, stored, landed)
-        self._insert("stock_quotes", rows, STOCK_QUOTES, STOCK_KEY)
+        self._write("stock_quotes", ingest.stock_ingest(ranges, stored, landed),
+                    STOCK_QUOTES, STOCK_KEY)
 
     def seed_stock(self, ranges: DataFrame) -> None:
         """An empty unfetched row for every session without any."""
@@ -85,8 +98,8 @@ class QuoteStore:
         seeds = rows_to_seed(sessions, self._span(self.stock_quotes, ranges, "sd", "ed"))
         self._insert("stock_quotes", seeds, STOCK_QUOTES, STOCK_KEY)
 
-    def refresh_stock(self, landed: DataFrame, limit: int = 300) -> None:
-        """Prices for the oldest unfetched rows."""
+    def refresh_stock(self, landed: DataFrame, limit: int | None = None) -> None:
+        """Prices for the unfetched rows, or the oldest ``limit`` of them."""
         rows = ingest.stock_refresh(self.stock_quotes.drop(DAY), landed, limit)
         self._replace("stock_quotes", rows, STOCK_QUOTES)
 
@@ -100,12 +113,15 @@ class QuoteStore:
             for table in (self.option_quotes, self.stock_quotes)
         )
         rows = ingest.option_ingest(contracts, options, stocks, landed)
-        # Computed once: the first write replaces files that the plan reads.
-        with staged(self.spark, rows) as done:
-            new, known = split_by_id(done)
-            if table_exists(self.spark, self._path("option_quotes")):
-                self._replace("option_quotes", known, OPTION_QUOTES)
-            self._insert("option_quotes", new, OPTION_QUOTES, OPTION_KEY)
+        self._write("option_quotes", rows, OPTION_QUOTES, OPTION_KEY)
+
+    def ingest_selected_options(self, listing: DataFrame, first: date, last: date,
+                                landed: DataFrame) -> None:
+        """``ingest_options`` for the contracts of a listing that are near the money on a priced
+        stock day from ``first`` to ``last`` and expire on a Monday or Friday soon after.
+        """
+        days = between_days(self.stock_quotes, first, last).drop(DAY).filter("close is not null")
+        self.ingest_options(contracts_to_ingest(days, listing), landed)
 
     def seed_options(self, contracts: DataFrame, after: date) -> None:
         """Rows to fetch for the contracts near the money on each stock day after ``after``."""
@@ -114,8 +130,8 @@ class QuoteStore:
         self._insert("option_quotes", seeds, OPTION_QUOTES, OPTION_KEY)
 
     def refresh_options(self, landed: DataFrame, after: date, before: date,
-                        limit: int = 100) -> None:
-        """Prices and derived values for the newest rows of unknown state."""
+                        limit: int | None = None) -> None:
+        """Prices and derived values for the rows of unknown state, or the newest ``limit``."""
         options, stocks = (
             between_days(table, after, before).drop(DAY)
             for table in (self.option_quotes, self.stock_quotes)
@@ -131,11 +147,22 @@ class QuoteStore:
             for table in (self.option_quotes, self.stock_quotes)
         )
         rows = ingest.atm_vintage_refresh(vintages, stocks, contracts, options, landed)
-        once = with_natural_id(rows.drop("sd").dropDuplicates(["ticker", "dt"]), OPTION_KEY)
+        once = with_natural_id(rows.drop("sd", "ed").dropDuplicates(["ticker", "dt"]), OPTION_KEY)
         self._replace("option_quotes", once, OPTION_QUOTES)
 
     def generate_spreads(self, first: date, last: date, gaps=GAPS) -> None:
-        """Calendar spreads of all sessions from ``first`` to ``last``."""
+        """Calendar spreads of all sessions from ``first`` to ``last``, but for those that
+        ``doubled_quotes`` lists.
+        """
         quotes = between_days(self.option_quotes, first, last)
         self._insert("strategy_timespreads", all_day_spreads(quotes, gaps),
                      STRATEGY_TIMESPREADS, SPREAD_KEY)
+
+    def doubled_quotes(self, first: date, last: date) -> DataFrame:
+        """Grains shared by several quotes, of which no spread is made."""
+        return set_aside(between_days(self.option_quotes, first, last))
+
+    def analyse_spreads(self, first: date, last: date) -> DataFrame:
+        """Differences of the stored spreads from ``first`` to ``last``; only those days are read."""
+        return analyse_stored(between_days(self.timespreads, first, last),
+                              between_days(self.option_quotes, first, last))

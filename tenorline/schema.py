@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 PRICE = T.DecimalType(8, 2)
 IV = T.DecimalType(12, 4)
@@ -88,17 +88,33 @@ def with_natural_id(df: DataFrame, key=OPTION_KEY) -> DataFrame:
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Project onto a table layout: absent columns are null, values get the stored scale.
 
-    A value that does not fit its stored type becomes null rather than failing
-    a whole batch.
+    A value that does not fit its stored type raises, as storing it as null would lose it;
+    ``misfits`` finds such rows beforehand.
     """
     have = set(df.columns)
     return df.select(*[
-        (F.col(f.name).try_cast(f.dataType) if f.name in have else F.lit(None).cast(f.dataType))
-        .alias(f.name)
+        (_stored(f) if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name)
         for f in schema.fields
     ])
 
 
+def _does_not_fit(field: T.StructField) -> Column:
+    return F.col(field.name).isNotNull() & F.col(field.name).try_cast(field.dataType).isNull()
+
+
+def _stored(field: T.StructField) -> Column:
+    problem = F.concat(F.lit(f"{field.name} does not fit {field.dataType.simpleString()}: "),
+                       F.col(field.name).cast("string"))
+    return F.when(_does_not_fit(field), F.raise_error(problem)).otherwise(
+        F.col(field.name).try_cast(field.dataType))
+
+
+def misfits(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The rows with a value that its stored type cannot hold, and the names of such columns."""
+    bad = F.array(*[F.when(_does_not_fit(f), f.name) for f in schema.fields if f.name in df.columns])
+    return df.withColumn("columns", F.array_compact(bad)).filter(F.size("columns") > 0)
+
+
 def normalize_layout(old: DataFrame) -> DataFrame:
     """Earliest option_quotes layout -> current one, in a single projection.
 

@@ -9,33 +9,29 @@ from functools import cache
 from pyspark.sql import SparkSession
 
 
-MIN_PARTITION = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
-
-
 def prepare(spark: SparkSession) -> SparkSession:
-    """Settings the engine relies on.
-
-    All stored instants are UTC; date(dt) is only defined under that zone. Worklists
-    explode compact rows into many, so stages that look small after a shuffle keep
-    more tasks than AQE's default of one per megabyte, unless the user chose a size.
+    """The one setting the engine relies on: all stored instants are UTC, and date(dt) is
+    only defined under that zone.
     """
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
-    if spark.conf.get(MIN_PARTITION) in ("1MB", "1m", "1048576b"):
-        spark.conf.set(MIN_PARTITION, "128KB")
     return spark
 
 
 @cache
-def _local_scratch() -> str:
+def _one_machine_folder() -> str:
     return tempfile.mkdtemp(prefix="tenorline-")
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder below the shared folder named by ``spark.checkpoint.dir``.
 
-    Only where the setting is absent, as in tests on one machine, is a temporary
-    folder used in its place.
+    Where the setting is absent a temporary folder serves, but only if everything runs on
+    one machine, as in tests; on a cluster this raises instead.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or _local_scratch()
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = _one_machine_folder()
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -1,20 +1,20 @@
 """Idempotent writes to date-partitioned Parquet tables.
 
 Every write can be repeated after a lost executor or a failed run: appends skip
-keys already stored, and replaced partitions are built beside the table before
-they are swapped in. Incoming rows are written once to the shared scratch folder
-first, so that a merge that reads them several times does not compute them again.
+keys already stored, and Spark builds replaced partitions beside the table before
+it swaps them in. Incoming rows are written once to a folder beside the table first,
+so that a merge that reads them several times does not compute them again.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tenorline.operators.merge import first_per_key, new_rows, upsert
-from tenorline.session import scratch_dir
+from tenorline.operators.merge import first_per_key, insert_columns, latest_per_key, new_rows, upsert
 from tenorline.sources.tables import DAY, with_day
 
 
@@ -24,14 +24,18 @@ def _fs(spark: SparkSession, path: str):
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    fs, jvm_path = _fs(spark, path)
-    return bool(fs.exists(jvm_path))
+    """Whether a write has been committed: its first act is to put day folders in place. What
+    a failed first write leaves behind does not count.
+    """
+    fs, days = _fs(spark, f"{path.rstrip('/')}/{DAY}=*")
+    return bool(fs.globStatus(days))
 
 
 @contextmanager
-def staged(spark: SparkSession, rows: DataFrame) -> Iterator[DataFrame]:
-    """``rows`` as written files, removed when done."""
-    path = scratch_dir(spark, "staging")
+def staged(spark: SparkSession, rows: DataFrame, beside: str) -> Iterator[DataFrame]:
+    """``rows`` as files in a folder next to the table ``beside``, removed when done."""
+    parent, _, name = beside.rstrip("/").rpartition("/")
+    path = f"{parent}/_staging/{name}-{uuid.uuid4().hex}"
     rows.write.parquet(path)
     try:
         yield spark.read.schema(rows.schema).parquet(path)
@@ -64,28 +68,35 @@ def _touched(target: DataFrame, rows: DataFrame) -> DataFrame:
 
 def append_new(spark: SparkSession, path: str, rows: DataFrame, key: Sequence[str],
                order: Sequence[str]) -> None:
-    """Insert-ignore into the stored table, which is created if absent."""
+    """Insert-ignore into the stored table, which is created if absent.
+
+    Columns that the table lacks raise, but for those of ``order``.
+    """
     if not table_exists(spark, path):
         write_table(first_per_key(rows, key, order), path)
         return
-    with staged(spark, with_day(rows)) as incoming:
+    with staged(spark, with_day(rows), path) as incoming:
         target = spark.read.parquet(path)
         fresh = new_rows(_touched(target, incoming).select(*key), incoming, key, order)
-        columns = [c for c in target.columns if c in fresh.columns]
+        columns = insert_columns(fresh, target, order)
         _by_day(fresh.select(*columns)).mode("append").parquet(path)
 
 
 def upsert_rows(spark: SparkSession, path: str, rows: DataFrame, key: Sequence[str],
                 order: Sequence[str]) -> None:
-    """Whole-row upsert that rewrites only the touched day partitions.
+    """Whole-row upsert that rewrites only the touched day partitions; an absent table is
+    created.
 
-    The key must fix the day: a row never moves between partitions.
+    The key must fix the day: a row never moves between partitions. New partitions replace
+    the old ones when all of them are written, so the merge may read what it replaces.
     """
-    with staged(spark, with_day(rows)) as source:
+    if not table_exists(spark, path):
+        write_table(latest_per_key(rows, key, order), path)
+        return
+    with staged(spark, with_day(rows), path) as source:
         target = spark.read.parquet(path)
         touched = _touched(target, source).select(*target.columns)
-        with staged(spark, upsert(touched, source, key, order)) as merged:
-            (
-                _by_day(merged).mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic").parquet(path)
-            )
+        (
+            _by_day(upsert(touched, source, key, order)).mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic").parquet(path)
+        )

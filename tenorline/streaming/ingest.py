@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -15,10 +16,17 @@ STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def _with_disk_state(stream: DataFrame) -> DataFrame:
-    """Keys under a watermark can outgrow executor memory: keep state in RocksDB."""
-    stream.sparkSession.conf.set(STATE_STORE, ROCKSDB)
-    return stream
+@contextmanager
+def _disk_state(spark: SparkSession) -> Iterator[None]:
+    """Keys under a watermark can outgrow executor memory: queries started inside keep their
+    state in RocksDB. A query copies the setting when it starts, so the session gets its own back.
+    """
+    before = spark.conf.get(STATE_STORE, None)
+    spark.conf.set(STATE_STORE, ROCKSDB)
+    try:
+        yield
+    finally:
+        spark.conf.set(STATE_STORE, before) if before else spark.conf.unset(STATE_STORE)
 
 
 def landed_stream(spark: SparkSession, path: str, schema: T.StructType = LANDED_BAR,
@@ -32,11 +40,12 @@ def landed_stream(spark: SparkSession, path: str, schema: T.StructType = LANDED_
 
 def to_files(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Processes what has landed and stops; output files are committed once per batch."""
-    return (
-        _with_disk_state(stream).writeStream.format("parquet").option("path", path)
-        .option("checkpointLocation", checkpoint).outputMode("append")
-        .trigger(availableNow=True).start()
-    )
+    with _disk_state(stream.sparkSession):
+        return (
+            stream.writeStream.format("parquet").option("path", path)
+            .option("checkpointLocation", checkpoint).outputMode("append")
+            .trigger(availableNow=True).start()
+        )
 
 
 def _each_batch(stream: DataFrame, checkpoint: str,
