@@ -15,12 +15,13 @@ from tenorline.operators.structures import (
     friday_friday, friday_friday_wide, friday_monday, friday_monday_wide, match_legs,
     monday_friday, time_spreads, wide_pairs,
 )
-from tenorline.plans.calendar_spreads import all_day_spreads, spreads_to_store
+from tenorline.plans.calendar_spreads import all_day_spreads, set_aside, spreads_to_store
 from tenorline.plans.relative_value import (
     SUMMARY_COLUMNS, Selection, atm_summary, last_hour_snapshot, paired_snapshot, relative_value,
 )
+from tenorline.schema import RAW_SAMPLES
 from tenorline.session import scratch_dir
-from tenorline.sources.raw_samples import typed_samples
+from tenorline.sources.raw_samples import scan_raw, typed_samples
 from tenorline.sources.tables import read_table
 from tenorline.workload.dates import DAYS_SQL
 from tenorline.workload.registry import query
@@ -138,21 +139,46 @@ def spread_analysis_stored(t: Tables):
     return _rounded(analyse_stored(spreads, t.option_quotes))
 
 
-@query("spread_all_days", f"""
-with {DAYS_SQL}, opened as (
-  select q.* from option_quotes q join days on days.d = q.dt where days.is_session)
-""" + " union all ".join(spread_sql(g).replace("option_quotes", "opened") for g in (3, 7, 4)))
+# A second root quotes some grains of the first again.
+ROOTS_SQL = f"""
+{DAYS_SQL}, roots as (
+  select * from option_quotes
+  union all select * replace (concat(ticker, '-W') as ticker, -id as id) from option_quotes
+  where id % 11 = 0),
+counted as (
+  select q.*, count(*) over (partition by q.dt, q.underlying_ticker, q.option_type, q.strike, q.dte)
+    as quotes from roots q join days on days.d = q.dt where days.is_session),
+opened as (select * from counted where quotes = 1)
+"""
+
+
+def two_roots(t: Tables):
+    again = t.option_quotes.filter("id % 11 = 0").withColumns({
+        "ticker": F.concat("ticker", F.lit("-W")), "id": -F.col("id")})
+    return t.option_quotes.unionByName(again)
+
+
+@query("spread_all_days", f"with {ROOTS_SQL}" + " union all ".join(
+    spread_sql(g).replace("option_quotes", "opened") for g in (3, 7, 4)))
 def spread_all_days(t: Tables):
-    return all_day_spreads(t.option_quotes)
+    return all_day_spreads(two_roots(t))
+
+
+@query("spreads_set_aside", f"""
+with {ROOTS_SQL}
+select cast(dt as varchar) as day, underlying_ticker, option_type, cast(strike as bigint) as strike,
+       dte, count(*) as n
+from counted where quotes > 1 group by 1, 2, 3, 4, 5
+""")
+def spreads_set_aside(t: Tables):
+    return set_aside(two_roots(t))
 
 
-@query("spreads_to_store", f"""
-with {DAYS_SQL}, opened as (
-  select q.* from option_quotes q join days on days.d = q.dt where days.is_session)
-""" + " union all ".join(spread_sql(g).replace("option_quotes", "opened") for g in (7, 4)))
+@query("spreads_to_store", f"with {ROOTS_SQL}" + " union all ".join(
+    spread_sql(g).replace("option_quotes", "opened") for g in (7, 4)))
 def spreads_not_stored(t: Tables):
     """The 3-day spreads are stored already; the rest is new."""
-    return spreads_to_store(t.option_quotes, friday_monday(t.option_quotes, unique_grain=True))
+    return spreads_to_store(two_roots(t), friday_monday(t.option_quotes, unique_grain=True))
 
 
 @query("last_quote", """
@@ -258,14 +284,16 @@ def metrics(t: Tables):
     return out.withColumns({f"avg_{m}": F.round(f"avg_{m}", 8) + 0.0 for m in measures})
 
 
-# Relative-value volatility from samples: the last hour holds the second and third
-# sample of a day, and the third one's ask is missing now and then.
+# Relative-value volatility from samples: the last hour holds the second and third sample
+# of a winter day, the first of a summer day and none of a day that closes early; the third
+# one's ask is missing now and then.
 
-SNAPSHOT_SQL = """
-late as (
+SNAPSHOT_SQL = f"""
+{DAYS_SQL}, late as (
   select day, underlying, symbol, bid, ask, delta, theta, volatility, "daysToExpiration" as dte,
          epoch_ms("lastTradingDay") as ltd, "sampleTimeInLong" as sampled
-  from option_samples where hour(epoch_ms("sampleTimeInLong")) >= 20),
+  from option_samples join days on days.d = option_samples.day
+  where epoch_ms("sampleTimeInLong") between close_at - interval 1 hour and close_at),
 snap as (
   select day, underlying, symbol, arg_max(bid, sampled) as bid,
          arg_max(ask, sampled) filter (where ask is not null) as ask, arg_max(delta, sampled) as delta,
@@ -341,9 +369,13 @@ def atm_summary_rows(t: Tables):
     return _summary_columns(atm_summary(pairs, Selection()))
 
 
-@query("relative_value", f"with {SNAPSHOT_SQL} {SUMMARY_SELECT}")
+@query("relative_value", f"with {SNAPSHOT_SQL} {SUMMARY_SELECT} where underlying_f in ('U0', 'U1', 'U2')")
 def relative_value_rows(t: Tables):
-    return _summary_columns(relative_value(typed_samples(t.option_samples)))
+    """From sample files, over a universe of three underlyings."""
+    path = scratch_dir(t.spark, "samples")
+    t.option_samples.select(*RAW_SAMPLES.fieldNames()).write.parquet(path)
+    raw = scan_raw(t.spark, path, RAW_SAMPLES, "*.parquet")
+    return _summary_columns(relative_value(raw, underlyings=("U0", "U1", "U2")))
 
 
 @query("metrics_v1", f"""

@@ -73,43 +73,62 @@ def model_price(t: Tables):
         "id", (F.round("model_price", 4) + 0.0).alias("model_price"))
 
 
+# A volatility comes back from its price unless the price hardly depends on it.
+TOLD_SQL = """
+price_of as (
+  select *, s * n1 - kdf * n2 - case when option_type = 'put' then s - kdf else 0 end as price,
+         s * pdf1 * sqrt(t) as m_vega
+  from n),
+told as (
+  select *, price > 0 and price > case when option_type = 'put' then kdf - s else s - kdf end
+            and 7.5e-8 * (s + kdf) / m_vega <= 1e-3 as told
+  from price_of)
+"""
+
+
+def at_model_price(t: Tables):
+    return with_price(with_spot(t), Terms(), name="close")
+
+
 @query("implied_vol", f"""
-with {MODEL_SQL}
-select id, case when close > greatest(case when option_type = 'put' then kdf - s else s - kdf end, 0)
-                 and close < case when option_type = 'put' then kdf else s end
-           then round(close, 3) end as repriced
-from n
+with {MODEL_SQL}, {TOLD_SQL}
+select id, round(case when told then v end, 4) as iv from told
 """)
 def implied_vol_round_trip(t: Tables):
-    """Every quote's price inverted to a volatility and priced again with it."""
-    solved = add_implied_vol(with_spot(t))
-    return with_price(solved, Terms()).select("id", F.round("model_price", 3).alias("repriced"))
-
-
-ENRICHED_SQL = f"""
-with {MODEL_SQL}
-select q.id, cast(q.dt as timestamp) as dt, q.ticker, true as fetched, s.close as spot,
-       case when not q.fetched then null else q.close end as close,
-       case when not q.fetched then null else q.dte end as dte,
-       case when not q.fetched then null else
-         cast(extract(isodow from q.exp_date) - 1 as int) end as exp_date_weekday,
-       coalesce(q.fetched, true) and n.id is not null
-         and n.close > greatest(case when n.option_type = 'put' then kdf - n.s else n.s - kdf end, 0)
-         as has_iv
+    """Every quote priced at its volatility, and the volatility inverted from that price."""
+    return add_implied_vol(at_model_price(t).drop("iv")).select("id", F.round("iv", 4).alias("iv"))
+
+
+@query("enrich_quotes", f"""
+with {MODEL_SQL}, {TOLD_SQL}
+select q.id, cast(q.dt as timestamp) as dt, q.ticker, s.close as spot,
+       round(case when coalesce(q.fetched, true) then coalesce(n.price, q.close) end, 6) as close,
+       case when coalesce(q.fetched, true) then q.dte end as dte,
+       case when coalesce(q.fetched, true) then cast(extract(isodow from q.exp_date) - 1 as int) end
+         as exp_date_weekday,
+       round(case when {{0}} then v end, 3) as iv,
+       round(case when {{0}} then case when q.option_type = 'put' then n1 - 1 else n1 end end, 3)
+         + 0.0e0 as delta,
+       round(case when {{0}} then pdf1 / (n.s * v * sqrt(n.t)) end, 3) + 0.0e0 as gamma,
+       round(case when {{0}} then m_vega end, 3) + 0.0e0 as vega,
+       round(case when {{0}} then -n.s * pdf1 * v / (2 * sqrt(n.t))
+         + 0.0025e0 * kdf * (case when q.option_type = 'put' then 1 - n2 else -n2 end) end, 3)
+         + 0.0e0 as theta
 from option_quotes q
 left join stock_quotes s on s.dt = q.dt and s.ticker = q.underlying_ticker
-left join n on n.id = q.id
-"""
-
-
-@query("enrich_quotes", ENRICHED_SQL, nullable={"dte": "double", "exp_date_weekday": "double"})
+left join told n on n.id = q.id
+""".replace("{0}", "coalesce(q.fetched, true) and n.told"),
+       nullable={"dte": "double", "exp_date_weekday": "double"})
 def enrich_quotes(t: Tables):
-    """Quotes whose fetch failed count as days without a trade."""
+    """Quotes at their model price; those whose fetch failed have had no trade."""
     traded = F.coalesce(F.col("fetched"), F.lit(True))
-    quotes = t.option_quotes.withColumn("close", F.when(traded, F.col("close")))
+    model = at_model_price(t).select("id", F.col("close").alias("_price"))
+    quotes = (
+        t.option_quotes.join(model, "id", "left")
+        .withColumn("close", F.when(traded, F.coalesce("_price", "close"))).drop("_price")
+    )
     rows = enrich(quotes, t.stock_quotes)
-    complete = F.lit(True)
-    for c in ("iv", "delta", "gamma", "vega", "theta"):
-        complete = complete & F.col(c).isNotNull()
-    return rows.select("id", "dt", "ticker", "fetched", "spot", "close", "dte",
-                       "exp_date_weekday", complete.alias("has_iv"))
+    values = [F.round("iv", 3).alias("iv")] + [
+        (F.round(c, 3) + 0.0).alias(c) for c in ("delta", "gamma", "vega", "theta")]
+    return rows.select("id", "dt", "ticker", "spot", F.round("close", 6).alias("close"), "dte",
+                       "exp_date_weekday", *values)

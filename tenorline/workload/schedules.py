@@ -6,9 +6,11 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, functions as F
 
-from tenorline.functions.trading_days import closed_by, date_chunks, market_schedule
+from tenorline.functions.trading_days import (
+    closed_by, date_chunks, market_schedule, session_close,
+)
 from tenorline.operators.contracts import (
-    atm_vintage, contract_sessions, nth_session, option_worklist,
+    atm_vintage, contract_sessions, contracts_to_ingest, nth_session, option_worklist,
 )
 from tenorline.operators.spot import attach_spot
 from tenorline.operators.worklist import (
@@ -61,68 +63,76 @@ def closed_sessions(t: Tables):
     return done.select("ticker", F.col("market_close").alias("dt"))
 
 
-def mondays(df: DataFrame, start: str, end: str) -> DataFrame:
-    """The weekly sessions of the test views between two dates of a row."""
-    weekly = F.sequence(F.col(start), F.col(end), F.expr("interval 7 days"))
-    return df.filter(F.col(start) <= F.col(end)).withColumn("dt", F.explode(weekly))
-
-
-WEEKLY_SQL = f"""
-{RANGES_SQL}, expected as (
-  select ticker, cast(unnest(generate_series(cast(sd as timestamp), cast(ed as timestamp),
-                                             interval 7 days)) as date) as dt from ranges)
-"""
-
-
-def weekly_stock(t: Tables) -> DataFrame:
-    return mondays(ranges(t), "sd", "ed").select("ticker", F.col("dt").cast("timestamp"))
+def stored_at_close(df: DataFrame) -> DataFrame:
+    """Quotes carry the closing instant of their day."""
+    return df.withColumn("dt", session_close(F.to_date("dt")))
 
 
 @query("missing_stock", f"""
-with {WEEKLY_SQL}
-select ticker, cast(dt as timestamp) as dt from expected e
-where not exists (select 1 from stock_quotes s
-                  where s.ticker = e.ticker and s.dt = e.dt and s.fetched)
+with {DAYS_SQL}, {RANGES_SQL}
+select ticker, close_at as dt from ranges join days on d between sd and ed
+where is_session and not exists (select 1 from stock_quotes s
+                                 where s.ticker = ranges.ticker and s.dt = d and s.fetched)
 """)
 def missing_stock(t: Tables):
-    return missing_prices(weekly_stock(t), t.stock_quotes, ("ticker", "dt")).select("ticker", "dt")
+    return missing_prices(market_closes(t), stored_at_close(t.stock_quotes), ("ticker", "dt")).select(
+        "ticker", "dt")
 
 
-CONTRACT_WEEKS_SQL = """
+CONTRACT_CLOSES_SQL = f"""
+{DAYS_SQL}, bounds as (
+  select c.ticker, c.listed, max(d) as last_session
+  from contracts c join days on d between c.exp_date - 9 and c.exp_date
+  where is_session group by 1, 2),
 expected as (
-  select ticker, cast(unnest(generate_series(cast(listed as timestamp),
-           cast(exp_date - 1 as timestamp), interval 7 days)) as date) as dt from contracts)
+  select ticker, d, close_at from bounds join days on d >= listed and d < last_session
+  where is_session)
 """
 
 
-def contract_weeks(t: Tables) -> DataFrame:
-    live = t.contracts.withColumn("last_day", F.date_sub("exp_date", 1))
-    return mondays(live, "listed", "last_day").select("ticker", F.col("dt").cast("timestamp"))
+def contract_closes(t: Tables) -> DataFrame:
+    return contract_sessions(t.contracts).select("ticker", session_close(F.col("session")).alias("dt"))
 
 
 def waiting(t: Tables) -> DataFrame:
-    return t.option_quotes.select("id", "ticker", "dt", "fetched")
+    return stored_at_close(t.option_quotes.select("id", "ticker", "dt", "fetched"))
 
 
 @query("missing_option_faithful", f"""
-with {CONTRACT_WEEKS_SQL}
-select e.ticker, cast(e.dt as timestamp) as dt, q.id, q.fetched
+with {CONTRACT_CLOSES_SQL}
+select e.ticker, e.close_at as dt, q.id, q.fetched
 from expected e left join option_quotes q
-  on q.ticker = e.ticker and q.dt = e.dt and not coalesce(q.fetched, false)
+  on q.ticker = e.ticker and q.dt = e.d and not coalesce(q.fetched, false)
 """, nullable={"id": "double", "fetched": "string"})
 def missing_option_faithful(t: Tables):
-    return missing_quotes(contract_weeks(t), waiting(t), refetch=True).select(
+    return missing_quotes(contract_closes(t), waiting(t), refetch=True).select(
         "ticker", "dt", "id", "fetched")
 
 
 @query("missing_option", f"""
-with {CONTRACT_WEEKS_SQL}
-select e.ticker, cast(e.dt as timestamp) as dt, q.id, q.fetched
-from expected e left join option_quotes q on q.ticker = e.ticker and q.dt = e.dt
+with {CONTRACT_CLOSES_SQL}
+select e.ticker, e.close_at as dt, q.id, q.fetched
+from expected e left join option_quotes q on q.ticker = e.ticker and q.dt = e.d
 where not coalesce(q.fetched, false)
 """, nullable={"id": "double", "fetched": "string"})
 def missing_option(t: Tables):
-    return missing_quotes(contract_weeks(t), waiting(t)).select("ticker", "dt", "id", "fetched")
+    return missing_quotes(contract_closes(t), waiting(t)).select("ticker", "dt", "id", "fetched")
+
+
+@query("contracts_to_ingest", """
+select c.ticker, c.underlying_ticker, c.option_type, cast(c.strike as bigint) as strike,
+       cast(c.exp_date as varchar) as exp_date, cast(min(s.dt) as varchar) as listed
+from stock_quotes s join contracts c
+  on c.underlying_ticker = s.ticker and c.listed <= s.dt and c.exp_date >= s.dt
+ and c.exp_date <= s.dt + 40
+ and c.strike in (cast(5 * round_even(s.close / 5, 0) as int) - 10,
+                  cast(5 * round_even(s.close / 5, 0) as int) - 5)
+where extract(isodow from c.exp_date) in (1, 5) group by 1, 2, 3, 4, 5
+""")
+def contracts_near_the_money(t: Tables):
+    """The listing arrives on two days; two strikes below the close."""
+    again = t.contracts.withColumn("listed", F.date_add("listed", 1))
+    return contracts_to_ingest(t.stock_quotes, t.contracts.unionByName(again), below=10)
 
 
 @query("attach_spot", """
@@ -176,15 +186,17 @@ def contract_session_rows(t: Tables):
 
 VINTAGES_SQL = """
 vintages as (
-  select distinct ticker, date_trunc('month', dt)::date as sd, date_trunc('month', dt)::date + 100
-    as ed from stock_quotes),
+  select distinct ticker, date_trunc('month', dt)::date as sd,
+         date_trunc('month', dt)::date + (case when part = 1 then 100 else 72 end) as ed
+  from stock_quotes, (values (1), (2)) p(part)),
 days_in as (
   select v.ticker, v.sd, v.ed, s.dt, s.close,
-         row_number() over (partition by v.ticker, v.sd order by s.dt) as n
+         row_number() over (partition by v.ticker, v.sd, v.ed order by s.dt) as n
   from vintages v join stock_quotes s on s.ticker = v.ticker and s.dt between v.sd and v.ed),
 at_money as (
   select a.ticker as underlying_ticker, a.sd, a.ed, round_even(a.close, 0) as atm, b.dt as day11
-  from days_in a join days_in b on a.ticker = b.ticker and a.sd = b.sd and b.n = 11
+  from days_in a join days_in b
+    on a.ticker = b.ticker and a.sd = b.sd and a.ed = b.ed and b.n = 11
   where a.n = 1),
 chosen as (
   select m.underlying_ticker, m.sd, m.ed, m.day11, c.ticker as contract, c.option_type, c.strike,
@@ -195,20 +207,20 @@ chosen as (
 stored as (
   select ticker as contract, dt, case when fetched then close end as close from option_quotes),
 unpriced as (
-  select c.underlying_ticker, c.sd, c.contract, c.option_type, c.strike, c.exp_date, s.dt
+  select c.underlying_ticker, c.sd, c.ed, c.contract, c.option_type, c.strike, c.exp_date, s.dt
   from chosen c join stored s on s.contract = c.contract and s.dt between c.sd and c.ed
   where s.close is null or s.close = 0
   union all
-  select c.underlying_ticker, c.sd, c.contract, c.option_type, c.strike, c.exp_date, c.day11
+  select c.underlying_ticker, c.sd, c.ed, c.contract, c.option_type, c.strike, c.exp_date, c.day11
   from chosen c where not exists (
     select 1 from stored s where s.contract = c.contract and s.dt = c.day11))
 """
 
 
 def vintages(t: Tables) -> DataFrame:
-    """A vintage per ticker and month."""
-    return t.stock_quotes.select("ticker", F.trunc("dt", "MM").alias("sd")).distinct().withColumn(
-        "ed", F.date_add("sd", 100))
+    """Two vintages per ticker and month, with one start and different ends."""
+    months = t.stock_quotes.select("ticker", F.trunc("dt", "MM").alias("sd")).distinct()
+    return months.withColumn("ed", F.explode(F.array(F.date_add("sd", 100), F.date_add("sd", 72))))
 
 
 def partly_priced(t: Tables) -> DataFrame:
@@ -218,13 +230,13 @@ def partly_priced(t: Tables) -> DataFrame:
 
 @query("atm_vintage", f"""
 with {VINTAGES_SQL}
-select underlying_ticker, cast(sd as varchar) as sd, contract, option_type,
-       cast(strike as bigint) as strike, cast(exp_date as varchar) as exp_date,
+select underlying_ticker, cast(sd as varchar) as sd, cast(ed as varchar) as ed, contract,
+       option_type, cast(strike as bigint) as strike, cast(exp_date as varchar) as exp_date,
        cast(dt as timestamp) as dt from unpriced
 """)
 def atm_vintage_rows(t: Tables):
     return atm_vintage(vintages(t), t.stock_quotes, t.contracts, partly_priced(t)).select(
-        "underlying_ticker", "sd", "contract", "option_type", "strike", "exp_date", "dt")
+        "underlying_ticker", "sd", "ed", "contract", "option_type", "strike", "exp_date", "dt")
 
 
 @query("nth_session", """
