@@ -10,6 +10,7 @@ from tenorline.operators.structures import friday_monday
 from tenorline.schema import OPTION_QUOTES, conform
 from tenorline.sources.tables import read_csv
 
+# Two real quotes as they were recorded.
 CSV = """,id,dt,ticker,close,exp_date,dte,strike,underlying_ticker,iv,option_type,fetched
 0,1571,2022-01-21 21:00:00+00:00,O:SPY220128C00460000,0.4,2022-01-28,7,460.0,SPY,0.1928,call,True
 1,1589,2022-01-21 21:00:00+00:00,O:SPY220131C00460000,0.58,2022-01-31,10,460.0,SPY,0.1759,call,True

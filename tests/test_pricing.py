@@ -113,9 +113,9 @@ def test_enrichment(spark):
         "strike double, exp_date date, close double, fetched boolean")
     stock = spark.createDataFrame([(dt, "SPY", 437.98)], "dt timestamp, ticker string, close double")
     a, b, c = enrich(quotes, stock).orderBy("id").collect()
-    assert (a["dte"], a["exp_date_weekday"], round(a["iv"], 4), a["fetched"]) == (7, 4, 0.1928, True)
+    assert (a["dte"], a["exp_date_weekday"], round(a["iv"], 4)) == (7, 4, 0.1928)
     assert a["delta"] is not None and a["vega"] > 0 and a["theta"] < 0
-    assert b["fetched"] is True and b["dte"] is None and b["iv"] is None
+    assert b["dte"] is None and b["iv"] is None
     assert c["spot"] is None and c["iv"] is None and c["dte"] == 7
     try:
         attach_spot(quotes, stock, strict=True).collect()
@@ -133,3 +133,20 @@ def test_elapsed_days_across_the_clock_change(spark):
     stock = spark.createDataFrame([(dt, "SPY", 420.0)], "dt timestamp, ticker string, close double")
     assert enrich(quotes, stock).first()["dte"] == 3
     assert enrich(quotes, stock, elapsed=True).first()["dte"] == 2
+
+
+def test_volatilities_come_back_or_are_null():
+    """Known volatilities over a grid of terms: never a wrong one, and null only where the
+    price hardly moves with it."""
+    import itertools
+    import numpy as np
+    from tenorline.functions.volatility_solver import _call_and_vega, solve_volatility
+    grid = np.array(list(itertools.product((300, 360, 400, 440, 500), (1, 3, 21, 252), (0.1, 0.2, 0.5, 1.0))), float)
+    k, t, sigma = grid[:, 0], grid[:, 1] / 252, grid[:, 2]
+    s, k_df = np.full(len(grid), 402.0), k * np.exp(-0.0025 * t)
+    call, vega = _call_and_vega(s, k_df, np.sqrt(t), sigma)
+    for is_put, price in ((False, call), (True, call - s + k_df)):
+        got = solve_volatility(price, s, k, t, np.full(len(grid), is_put), 0.0025)
+        known = np.isfinite(got)
+        assert np.abs(got[known] - sigma[known]).max() < 1e-3
+        assert (vega[~known] < 0.1).all() and known.mean() > 0.6

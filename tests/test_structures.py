@@ -103,7 +103,7 @@ DUPLICATED = [quote(1, 7), quote(2, 7), quote(3, 10)]
 @pytest.mark.parametrize("unique", [False, True])
 def test_two_fronts_raise(spark, unique):
     quotes = frame(spark, DUPLICATED)
-    with pytest.raises(PySparkException, match="too many rows returned"):
+    with pytest.raises(PySparkException, match="more than one quote matches"):
         time_spreads(quotes, 3, unique_grain=unique).collect()
 
 
