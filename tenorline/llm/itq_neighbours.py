@@ -218,7 +218,8 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, id_col: str = "vec_
              .join(components.select("node", "component").join(smallest, "component"), "node", "left")
              .select("label", "vector", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
                      F.coalesce("component_id", "first").alias("component_id")))
+    known = F.col("vec_id").isNotNull()
     return (rows.join(found, ["label", "vector"], "left")
-            .select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-                    F.coalesce("component_id", "vec_id").alias("component_id"))
+            .select("vec_id", F.when(known, F.coalesce("n_links", F.lit(0))).otherwise(0).cast("long").alias("n_links"),
+                    F.when(known, F.coalesce("component_id", "vec_id")).alias("component_id"))
             .withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id"))))
