@@ -36,7 +36,7 @@ WORD = r"(?<!\p{L})\p{L}{4,}+"
 NEAR = 80
 #: Least texts with entity and term together, disclosure that generalises, and that removes.
 SUPPORT, GENERALISE, REMOVE = 3, 0.8, 0.95
-#: Terms, and documents with terms to treat, are broadcast up to this many.
+#: Hashes of copied texts, and documents with terms to treat, are broadcast up to this many.
 MOST_BROADCAST = 1_000_000
 
 
@@ -85,15 +85,19 @@ def disclosures(docs: DataFrame, text_col: str = "text", support: int = SUPPORT,
         F.regexp_extract_all(around, F.lit(r"(?<=\P{L})\p{L}{4,}+(?=\P{L})"), F.lit(0)), F.lower))
     held = written(found.select("id", "copy", _entity(F.col("s")).alias("entity"), terms.alias("terms")), "entities")
 
-    total = given.agg(F.count_distinct(F.xxhash64("text"))).first()[0]
+    copies = written(given.groupBy(F.xxhash64("text").alias("copy")).count(), "copies")
+    total = copies.count()
     df_e = held.groupBy("entity").agg(F.count_distinct("copy").alias("df_e")).filter(F.col("df_e") >= support)
     pairs = written(held.select("entity", "copy", F.explode("terms").alias("term"))
                     .groupBy("entity", "term").agg(F.count_distinct("copy").alias("df_et"))
                     .filter(F.col("df_et") >= support).join(df_e, "entity"), "pairs")
-    wanted = broadcast_if_small(written(pairs.select("term").distinct(), "terms"), MOST_BROADCAST)
+    # Every distinct text once: those without copies as they are, of the others one each.
+    copied = broadcast_if_small(written(copies.filter("count > 1").select("copy"), "copied"), MOST_BROADCAST)
+    hashed = given.select(F.xxhash64("text").alias("copy"), "text")
+    once = (hashed.join(copied, "copy", "left_anti").select("text").unionByName(
+        hashed.join(copied, "copy", "left_semi").groupBy("copy").agg(F.first("text").alias("text")).select("text")))
     words = F.array_distinct(F.transform(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), F.lower))
-    df_t = (given.select(F.xxhash64("text").alias("copy"), F.explode(words).alias("term"))
-            .join(wanted, "term", "left_semi").groupBy("term").agg(F.count_distinct("copy").alias("df_t")))
+    df_t = once.select(F.explode(words).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df_t"))
     share = (F.ln(F.lit(float(max(total, 1))) * F.col("df_et") / (F.col("df_e") * F.col("df_t")))
              / F.ln(F.lit(float(max(total, 1))) / F.col("df_e")))
     strong = (pairs.filter(F.col("df_e") < total).join(df_t, "term").withColumn("disclosure", share)
