@@ -12,7 +12,7 @@ from tenorline.plans.ingest import (
     stock_ingest, stock_refresh,
 )
 from tenorline.session import scratch_dir
-from tenorline.sinks.csv_export import export_csv
+from tenorline.sinks.csv_export import export_per_underlying
 from tenorline.sources.tables import read_csv
 from tenorline.workload.dates import AS_OF, DAYS_SQL, RANGE
 from tenorline.workload.pricing import MODEL_SQL
@@ -213,20 +213,24 @@ CONTRACT_CSV = T.StructType([
 
 
 @query("contract_price_csv", f"""
-with {DAYS_SQL}
-select c.ticker, q.close as open, q.close, q.volume, cast(q.dt as varchar) as dt,
-       c.underlying_ticker, cast(c.exp_date as varchar) as expiration_date,
-       c.option_type as contract_type, cast(c.strike as bigint) as strike_price
-from contracts c join option_quotes q on q.ticker = c.ticker and q.dt = c.listed
-join days d on d.d = c.listed
-where d.is_session and c.exp_date > c.listed
+with {DAYS_SQL}, prices as (
+  select c.ticker, q.close as open, q.close, q.volume, q.dt, c.underlying_ticker, c.exp_date,
+         c.option_type, c.strike
+  from contracts c join option_quotes q on q.ticker = c.ticker and q.dt = c.listed
+  join days d on d.d = c.listed
+  where d.is_session and c.exp_date > c.listed)
+select ticker, open, close, volume, cast(dt as varchar) as dt, underlying_ticker,
+       cast(exp_date as varchar) as expiration_date, option_type as contract_type,
+       cast(strike as bigint) as strike_price,
+       concat(underlying_ticker, '-', max(dt) over (partition by underlying_ticker), '.csv') as file
+from prices
 """)
 def contract_price_csv(t: Tables):
-    """Every contract on its listing day, exported by underlying and date and read back."""
+    """Every contract on its listing day, exported to a file per underlying and read back."""
     wanted = t.contracts.withColumns({"sd": F.col("listed"), "ed": F.col("listed")})
     prices = contract_prices(wanted, at_close(landed_option_bars(t, F.lit(False))))
     path = scratch_dir(t.spark, "contract-prices")
-    export_csv(prices, path)
+    export_per_underlying(prices, path)
     return read_csv(t.spark, path, CONTRACT_CSV).select(
         "ticker", "open", "close", "volume", "dt", "underlying_ticker", "expiration_date",
-        "contract_type", "strike_price")
+        "contract_type", "strike_price", F.col("_metadata.file_name").alias("file"))

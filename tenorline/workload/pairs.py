@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tenorline.functions.black_scholes import Terms, with_greeks, year_fraction
 from tenorline.functions.dates import year_week
-from tenorline.functions.legs import quote_diffs
+from tenorline.functions.legs import back_minus_front
 from tenorline.operators.filters import delta_band
 from tenorline.operators.snapshot import (
     atm_position, atm_strike, last_hour, last_per_key, metrics_by_week, rows_at_strike,
 )
+from tenorline.operators.spot import attach_spot
 from tenorline.operators.spread_analysis import analyse_chains, analyse_stored
 from tenorline.operators.structures import (
     friday_friday, friday_friday_wide, friday_monday, friday_monday_wide, match_legs,
@@ -24,6 +26,7 @@ from tenorline.session import scratch_dir
 from tenorline.sources.raw_samples import scan_raw, typed_samples
 from tenorline.sources.tables import read_table
 from tenorline.workload.dates import DAYS_SQL
+from tenorline.workload.pricing import MODEL_SQL
 from tenorline.workload.registry import query
 from tenorline.workload.views import Tables
 
@@ -264,24 +267,34 @@ def atm_position_rows(t: Tables):
     return atm_position(puts, ATM_BY, -0.3)
 
 
+MEASURES = ("mid_diff", "iv_diff", "delta_diff", "theta_diff", "vega_diff", "gamma_diff")
+
+
 @query("metrics_by_week", f"""
-with pairs as (
+with {MODEL_SQL}, measured as (
+  select q.*, n.s * n.pdf1 * sqrt(n.t) as vega, n.pdf1 / (n.s * n.v * sqrt(n.t)) as gamma
+  from option_quotes q left join n on n.id = q.id),
+pairs as (
   select strftime(f.exp_date, '%Y-%W') as week, f.dte,
-         cast(round(abs(f.delta) * 10, 0) as int) * 10 as delta_level,
-         b.iv - f.iv as iv_diff, b.delta - f.delta as delta_diff, b.theta - f.theta as theta_diff
-  from option_quotes f join option_quotes b on {SAME_CHAIN} and b.dte = f.dte + 3)
-select week, dte, delta_level, count(*) as n, round(avg(iv_diff), 8) + 0.0e0 as avg_iv_diff,
-       round(avg(delta_diff), 8) + 0.0e0 as avg_delta_diff,
-       round(avg(theta_diff), 8) + 0.0e0 as avg_theta_diff
+         cast(round(abs(f.delta) * 10, 0) as int) * 10 as delta_level, b.close - f.close as mid_diff,
+         b.iv - f.iv as iv_diff, b.delta - f.delta as delta_diff, b.theta - f.theta as theta_diff,
+         b.vega - f.vega as vega_diff, b.gamma - f.gamma as gamma_diff
+  from measured f join measured b on {SAME_CHAIN} and b.dte = f.dte + 3)
+select week, dte, delta_level, count(*) as n,
+       {", ".join(f"round(avg({m}), 6) + 0.0e0 as avg_{m}" for m in MEASURES)}
 from pairs where delta_level in (30, 40, 50, 60, 70) group by 1, 2, 3
 """)
 def metrics(t: Tables):
-    pairs = quote_diffs(wide_pairs(
-        t.option_quotes, 3, "3d", ("iv", "delta", "theta", "dte", "exp_date"), unique_grain=True))
-    measures = ("iv_diff", "delta_diff", "theta_diff")
-    out = metrics_by_week(pairs, year_week(F.col("exp_date_f")), F.col("dte_f"),
-                          F.col("delta_f"), measures)
-    return out.withColumns({f"avg_{m}": F.round(f"avg_{m}", 8) + 0.0 for m in measures})
+    """A quote's close stands for its mid; vega and gamma come from its volatility."""
+    priced = attach_spot(t.option_quotes, t.stock_quotes).withColumn("years", year_fraction(F.col("dte")))
+    greeks = with_greeks(priced.withColumnsRenamed({"delta": "_delta", "theta": "_theta"}), Terms())
+    quotes = greeks.drop("delta", "theta").withColumnsRenamed(
+        {"_delta": "delta", "_theta": "theta", "close": "mid"})
+    legs = ("mid", "iv", "delta", "theta", "vega", "gamma")
+    pairs = back_minus_front(
+        wide_pairs(quotes, 3, "3d", (*legs, "dte", "exp_date"), unique_grain=True), legs)
+    out = metrics_by_week(pairs, year_week(F.col("exp_date_f")), F.col("dte_f"), F.col("delta_f"), MEASURES)
+    return out.withColumns({f"avg_{m}": F.round(f"avg_{m}", 6) + 0.0 for m in MEASURES})
 
 
 # Relative-value volatility from samples: the last hour holds the second and third sample
@@ -386,6 +399,6 @@ select "lastTradingDayWeekNumber_f", mid_diff, volatility_diff, delta_diff, delt
 def metrics_table(t: Tables):
     """The six summary columns, written as a table and read back."""
     path = scratch_dir(t.spark, "metrics_v1")
-    summary = _summary_columns(relative_value(typed_samples(t.option_samples)))
+    summary = _summary_columns(relative_value(t.option_samples))
     summary.select(*SUMMARY_COLUMNS).write.parquet(path)
     return read_table(t.spark, path)
