@@ -198,7 +198,7 @@ select symbol, max(case when bid is not null and rb = 1 then bid end) as bid,
 from ranked group by symbol
 """)
 def last_quote(t: Tables):
-    late = last_hour(t.raw_samples)
+    late = last_hour(t.raw_samples, hour=20)
     return last_per_key(late, ("symbol",), ("bid", "ask"), ("sample_ts", "event_id"))
 
 
