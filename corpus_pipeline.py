@@ -6,11 +6,10 @@ last returns the packing plan, one row per copy of a document.
 
 from __future__ import annotations
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tenorline.llm import language_id, minhash_dedup, mixing, packing, secret_scan
-from tenorline.llm.queries import VOCABULARY, held_out
+from tenorline.llm.queries import held_out, vocabulary
 from tenorline.llm.shared import written
 
 #: Texts whose best language scores less resemble no learned language.
@@ -45,7 +44,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Length buckets and batches for every row."""
-    return packing.pack(packing.token_counts(docs, public_tokenizers.path(VOCABULARY)))
+    return packing.pack(packing.token_counts(docs, vocabulary()))
 
 
 STAGES = [

@@ -223,3 +223,23 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, id_col: str = "vec_
             .select("vec_id", F.when(known, F.coalesce("n_links", F.lit(0))).otherwise(0).cast("long").alias("n_links"),
                     F.when(known, F.coalesce("component_id", "vec_id")).alias("component_id"))
             .withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id"))))
+
+
+#: Every pair of a label compared, and reachability by links, for the test tables.
+ORACLE = """
+with recursive vectors as (
+    select vec_id, label, cast(embedding as double[]) as v from embeddings where label is not null
+), links as (
+    select a.vec_id as x, b.vec_id as y from vectors a join vectors b on a.label = b.label and a.vec_id <> b.vec_id
+    where list_dot_product(a.v, b.v) / sqrt(list_dot_product(a.v, a.v) * list_dot_product(b.v, b.v)) >= 0.98e0
+), reach as (
+    select vec_id, vec_id as other from embeddings
+    union
+    select r.vec_id, l.y from reach r join links l on l.x = r.other
+), counts as (
+    select x, count(*) as n from links group by x
+)
+select r.vec_id, coalesce(any_value(c.n), 0) as n_links, min(r.other) as component_id,
+       r.vec_id = min(r.other) as kept
+from reach r left join counts c on c.x = r.vec_id group by r.vec_id
+"""

@@ -303,3 +303,34 @@ def keep_one(docs: DataFrame, found: DataFrame, id_col: str = "doc_id") -> DataF
             .groupBy(key.alias("_again")).agg(F.min(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias("_row"))
             .select("_row.*"))
     return kept.join(repeated, key == F.col("_again"), "left_anti").unionByName(once)
+
+
+#: Every pair of documents compared, and reachability by links, for the test tables.
+ORACLE = """
+with recursive words as (
+    select doc_id, list_filter(string_split_regex(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as w
+    from documents
+), shingles as (
+    select distinct doc_id, unnest(
+        case when len(w) >= 5 then list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+             when len(w) > 0 then [array_to_string(w, ' ')] else [] end) as s
+    from words
+), sizes as (
+    select doc_id, count(*) as n from shingles group by doc_id
+), pairs as (
+    select a.doc_id as x, b.doc_id as y, count(*) as common
+    from shingles a join shingles b on a.s = b.s and a.doc_id <> b.doc_id group by a.doc_id, b.doc_id
+), links as (
+    select x, y from pairs join sizes a on a.doc_id = x join sizes b on b.doc_id = y
+    where 100 * common >= 85 * (a.n + b.n - common)
+), reach as (
+    select doc_id, doc_id as other from documents
+    union
+    select r.doc_id, l.y from reach r join links l on l.x = r.other
+)
+select r.doc_id, coalesce(any_value(z.n), 0) as n_shingles, min(r.other) as component_id,
+       r.doc_id = min(r.other) as kept
+from reach r left join sizes z on z.doc_id = r.doc_id group by r.doc_id
+"""

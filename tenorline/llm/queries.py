@@ -4,14 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tenorline.llm import fingerprints, itq_neighbours, language_id, mixing, packing, sanitise, secret_scan, site_quality, url_filter
+from tenorline.llm import (
+    fingerprints, itq_neighbours, language_id, minhash_dedup, mixing, packing, sanitise, secret_scan, site_quality,
+    url_filter,
+)
 from tenorline.llm.labelled_urls import LABELLED
-from tenorline.llm.minhash_dedup import near_duplicates
 
-VOCABULARY = "byte_bpe_50k.tiktoken"
+
+def vocabulary() -> str:
+    """The file of the public vocabulary that the queries count tokens with."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,7 +25,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
 def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,7 +38,7 @@ def op3_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return packing.pack(packing.token_counts(docs, public_tokenizers.path(VOCABULARY)))
+    return packing.pack(packing.token_counts(docs, vocabulary()))
 
 
 def op5_itq_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,4 +91,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_poisson_mix": op10_poisson_mix,
 }
 
-ORACLES: dict[str, str] = {"op10_poisson_mix": mixing.ORACLE}
+ORACLES: dict[str, str] = {
+    "op1_minhash_dedup": minhash_dedup.ORACLE,
+    "op5_itq_neighbours": itq_neighbours.ORACLE,
+    "op10_poisson_mix": mixing.ORACLE,
+}

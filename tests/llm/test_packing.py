@@ -7,7 +7,7 @@ from helpers import documents
 from pyspark.sql import functions as F
 
 from tenorline.llm.packing import best_boundaries, pack, token_counts
-from tenorline.llm.queries import QUERIES, VOCABULARY
+from tenorline.llm.queries import QUERIES, vocabulary
 
 SF = "/root/testdata/sf0.01"
 
@@ -55,7 +55,7 @@ def test_query(spark):
     check(rows, 65_536)
     import tiktoken
     from base64 import b64decode
-    ranks = {b64decode(a): int(b) for a, b in map(bytes.split, open(public_tokenizers.path(VOCABULARY), "rb"))}
+    ranks = {b64decode(a): int(b) for a, b in map(bytes.split, open(vocabulary(), "rb"))}
     encoding = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
     assert {r["doc_id"]: r["n_tokens"] for r in rows} == {i: len(encoding.encode_ordinary(t or "")) for i, t in texts.items()}
 
@@ -74,8 +74,8 @@ def test_few_bins_many_shards_and_odd_rows(spark):
 
 def test_null_empty_and_long_texts(spark):
     docs = documents(spark, [(1, None), (2, ""), (3, "word " * 50_000), (4, "a"), (4, "a"), (None, "b c")])
-    counts = token_counts(docs, public_tokenizers.path(VOCABULARY))
+    counts = token_counts(docs, vocabulary())
     check(pack(counts).collect(), 65_536)
     assert {r["doc_id"]: r["n_tokens"] for r in counts.collect()} == {1: 0, 2: 0, 3: 50_001, 4: 1, None: 2}
-    assert pack(token_counts(documents(spark, []), public_tokenizers.path(VOCABULARY))).count() == 0
+    assert pack(token_counts(documents(spark, []), vocabulary())).count() == 0
     assert pack(counts.filter("n_tokens = 0")).filter(F.col("bucket").isNotNull()).count() == 0
