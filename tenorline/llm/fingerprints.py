@@ -18,7 +18,9 @@ K, WIDTH = 128, 5
 #: Bytes of a sketch's hashes as hexadecimal digits.
 _DIGITS = 16
 #: Rows of a range of ids in which neighbours are found.
-RANGE = 20_000
+RANGE = 1_000
+#: Ids per range that the cuts between ranges are taken from.
+DRAWN = 50
 _LEAST, _SPAN = -(2**63), 2.0**64
 
 
@@ -103,13 +105,14 @@ def with_next(docs: DataFrame, prepare: Callable[[DataFrame], DataFrame], rows_p
     that follows by doc_id (null first); the last row is followed by the first.
 
     ``docs`` has doc_id and text; repeated ids follow each other by text. Ids are cut into
-    ranges at approximate quantiles, at most 100,000. Rows move once, to their range; the
+    ranges at approximate quantiles of a sample of ids, at most 100,000. Rows move once, to their range; the
     last one of a range is given the head of the following range by a join.
     """
     rows = docs.count()
     ranges = max(1, min(100_000, -(-rows // rows_per_range)))
-    cuts = docs.agg(F.percentile_approx("doc_id", [k / ranges for k in range(1, ranges)], 10 * ranges)
-                    ).first()[0] if ranges > 1 else []
+    drawn = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int((1 << 30) * min(1.0, DRAWN * ranges / max(rows, 1))))
+    cuts = drawn.agg(F.percentile_approx("doc_id", [k / ranges for k in range(1, ranges)], 10 * ranges)
+                     ).first()[0] if ranges > 1 else []
     at = _range_of(F.col("doc_id"), sorted(set(cuts or [])))
 
     # Heads: the smallest id of each range is found on ids alone, then its text is read.
