@@ -56,34 +56,35 @@ def _filled(worklist: DataFrame, answers: DataFrame) -> DataFrame:
 
 
 def stock_ingest(ranges: DataFrame, stored: DataFrame, landed: DataFrame,
-                 as_of: Column | None = None) -> DataFrame:
+                 as_of: Column | None = None, *, unique: bool = False) -> DataFrame:
     """Answered stock quotes for the sessions of each (ticker, sd, ed) not fetched yet.
 
     Only sessions closed by ``as_of`` (now) count. ``id`` is null for rows to insert and
-    that of the seeded row for rows to replace.
+    that of the seeded row for rows to replace. ``unique`` vouches that no request has
+    been answered twice.
     """
     as_of = F.current_timestamp() if as_of is None else as_of
     closes = closed_by(market_schedule(ranges, "sd", "ed"), as_of).select(
         "ticker", F.col("market_close").alias("dt")).distinct()
     wanted = missing_quotes(closes, stored.select("id", *KEY, "fetched"), key=KEY)
-    return wanted.join(_answers(landed), KEY).select(
+    return wanted.join(_answers(landed, unique), KEY).select(
         "id", *KEY, *PRICES, F.lit(True).alias("fetched"))
 
 
 def option_ingest(contracts: DataFrame, stored: DataFrame, stock_quotes: DataFrame,
                   landed: DataFrame, *, refetch: bool = False,
-                  as_of: Column | None = None) -> DataFrame:
+                  as_of: Column | None = None, unique: bool = False) -> DataFrame:
     """Enriched answered quotes for every contract's missing sessions up to expiry.
 
     Only sessions closed by ``as_of`` (now) count. ``id`` is null for rows to insert and
-    set for rows to replace.
+    set for rows to replace. ``unique`` vouches that no request has been answered twice.
     """
     as_of = F.current_timestamp() if as_of is None else as_of
     sessions = contract_sessions(contracts).select(
         "ticker", *TERMS, session_close(F.col("session")).alias("dt")).filter(F.col("dt") <= as_of)
     waiting = stored.select("id", *KEY, "fetched")
     wanted = missing_quotes(sessions, waiting, refetch=refetch, key=KEY)
-    priced = wanted.join(_answers(landed), KEY)
+    priced = wanted.join(_answers(landed, unique), KEY)
     return enrich(priced, stock_quotes.filter("fetched")).withColumn("fetched", F.lit(True))
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from tenorline.functions.trading_days import market_schedule
 from tenorline.operators.contracts import contracts_to_ingest, option_worklist
 from tenorline.operators.filters import between_days
-from tenorline.operators.merge import split_by_id
+from tenorline.operators.merge import key_violations, split_by_id
 from tenorline.operators.spread_analysis import analyse_stored
 from tenorline.operators.worklist import rows_to_seed
 from tenorline.plans import ingest
@@ -158,6 +158,15 @@ class QuoteStore:
         self._insert("strategy_timespreads", all_day_spreads(quotes, gaps),
                      STRATEGY_TIMESPREADS, SPREAD_KEY)
 
+    def key_violations(self) -> dict[str, DataFrame]:
+        """Per table the keys stored more than once; all empty unless someone wrote beside
+        these jobs.
+        """
+        return {name: key_violations(table, key) for name, table, key in (
+            ("stock_quotes", self.stock_quotes, STOCK_KEY),
+            ("option_quotes", self.option_quotes, OPTION_KEY),
+            ("strategy_timespreads", self.timespreads, SPREAD_KEY))}
+
     def doubled_quotes(self, first: date, last: date) -> DataFrame:
         """Grains shared by several quotes, of which no spread is made."""
         return set_aside(between_days(self.option_quotes, first, last))

@@ -45,7 +45,10 @@ select id, ticker, option_type, cast(strike as bigint) as strike, dte, close, iv
 from option_quotes where underlying_ticker = 'U1' and dt = date '1998-06-01'
 """)
 def scan_quotes_day(t: Tables):
-    return on_day(t.option_quotes, "U1", SAMPLE_DAY).select(*DAY_COLUMNS)
+    """One day's folder of a stored table."""
+    path = scratch_dir(t.spark, "option-quotes")
+    write_table(t.option_quotes, path)
+    return on_day(read_table(t.spark, path), "U1", SAMPLE_DAY).select(*DAY_COLUMNS)
 
 
 # Vendor responses, rendered from the views with the vendor's field names.

@@ -31,7 +31,7 @@ def test_entry_is_the_spread_analysis(spark):
 
 @pytest.mark.parametrize("name", [
     n for n in QUERIES if not n.startswith(("stream_", "store_", "export_", "scan_csv",
-                                            "metrics_v1", "contract_price_csv", "relative_value",
+                                            "metrics_v1", "contract_price_csv", "relative_value", "scan_quotes_day",
                                             "option_ingest", "option_refresh"))])
 def test_no_cross_joins(spark, name):
     df = QUERIES[name](spark, SF)

@@ -98,6 +98,7 @@ def test_option_ingest_and_spreads(spark, store, contracts):
         assert rows.count() == sessions * len(DAYS)  # later sessions have no answer yet
     for _ in range(2):
         store.generate_spreads(DAYS[0], DAYS[-1])
+        assert all(v.isEmpty() for v in store.key_violations().values())
         spreads = store.timespreads
         counts = {r["desc"]: r["count"] for r in spreads.groupBy("desc").count().collect()}
         # Per day, side and strike: 28 Jan/31 Jan, 31 Jan/4 Feb and 28 Jan/4 Feb; one quote
