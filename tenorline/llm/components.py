@@ -4,7 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tenorline.llm.shared import written
+from tenorline.llm.shared import gathered
+
+
+def _only_stars(edges: DataFrame) -> bool:
+    """Whether every node has either one smaller neighbour, without smaller ones itself, or none."""
+    ends = edges.select(F.col("u").alias("x"), F.lit(1).alias("below"), F.lit(0).alias("above")).union(
+        edges.select("v", F.lit(0), F.lit(1)))
+    return (ends.groupBy("x").agg(F.sum("below").alias("below"), F.max("above").alias("above"))
+            .filter("below > 1 or (below = 1 and above = 1)").isEmpty())
 
 
 def connected_components(edges: DataFrame, left: str, right: str) -> DataFrame:
@@ -18,14 +26,9 @@ def connected_components(edges: DataFrame, left: str, right: str) -> DataFrame:
     edge table gives an empty result.
     """
     u, v = F.col(left), F.col(right)
-    now = written(edges.filter(u != v).select(F.greatest(u, v).alias("u"), F.least(u, v).alias("v"))
+    now = gathered(edges.filter(u != v).select(F.greatest(u, v).alias("u"), F.least(u, v).alias("v"))
                   .distinct(), "edges")
-    before = None
-    while True:
-        size = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
-        if size == before or size[0] == 0:
-            break
-        before = size
+    while not _only_stars(now):
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         smallest = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = (both.filter("v > u").join(smallest, "u")
@@ -36,9 +39,9 @@ def connected_components(edges: DataFrame, left: str, right: str) -> DataFrame:
         small = (large.join(smallest, "u").filter("v > m")
                  .select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(smallest.withColumnRenamed("m", "v")).distinct())
-        now = written(small, "edges")
+        now = gathered(small, "edges")
     stars = now.groupBy("u").agg(F.min("v").alias("component"))
-    return written(
+    return gathered(
         stars.select(F.col("u").alias("node"), "component")
         .unionByName(stars.select(F.col("component").alias("node"), "component")).distinct(),
         "components")

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tenorline.llm.components import connected_components
-from tenorline.llm.shared import written
+from tenorline.llm.shared import gathered, written
 from tenorline.llm.sorted_groups import sorted_groups
 
 COSINE = 0.98
@@ -183,7 +183,7 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, id_col: str = "vec_
         vectors.select(F.col(f"`{id_col}`").cast("long").alias("vec_id"), label.alias("label"),
                        F.col(f"`{vector_col}`").cast("array<float>" if dtype == "<f4" else "array<double>").alias("vector"))
         .mapInArrow(_normal(dtype), "vec_id long, label string, vector binary"), "vectors")
-    nodes = written(rows.filter("vector is not null and label is not null and vec_id is not null")
+    nodes = gathered(rows.filter("vector is not null and label is not null and vec_id is not null")
                     .groupBy("label", "vector").agg(F.min("vec_id").alias("first"), F.count(F.lit(1)).alias("copies"))
                     .withColumn("dims", (F.octet_length("vector") / np.dtype(dtype).itemsize).cast("int"))
                     .withColumn("node", F.monotonically_increasing_id()), "nodes")
@@ -203,7 +203,7 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, id_col: str = "vec_
     table = ["label", "dims", "at", "value"]
     buckets = (coded.select("label", "dims", F.posexplode("keys").alias("at", "value")).groupBy(table).count()
                .filter("count > 1").select(*table, F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks")))
-    met = written(
+    met = gathered(
         coded.select("*", F.posexplode("keys").alias("at", "value")).join(buckets, table)
         .withColumn("block", F.pmod(F.xxhash64("vector"), "blocks").cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from tenorline.llm.components import connected_components
-from tenorline.llm.shared import broadcast_if_small, written
+from tenorline.llm.shared import broadcast_if_small, gathered, in_waves, written
 from tenorline.llm.shingles import shingle_set
 from tenorline.llm.sorted_groups import sorted_groups
 
@@ -208,7 +208,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     features = written(docs.mapInArrow(
         _features(width), "doc_id long, n_shingles long, digest binary, signature array<int>"), "features")
-    nodes = written(
+    nodes = gathered(
         features.filter("digest is not null and doc_id is not null").groupBy("digest")
         .agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"),
              F.first("signature").alias("signature"))
@@ -218,7 +218,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     post = nodes.select("rep", "tag", F.posexplode("signature").alias("coordinate", "value")).select(
         "rep", "tag", F.shiftleft(F.col("value").cast("long"), 8).bitwiseOR(F.col("coordinate")).alias("key"))
     lists = post.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    active = written(
+    active = gathered(
         post.join(lists, "key").groupBy("rep", "tag")
         .agg(F.sort_array(F.collect_list(F.struct("size", "key"))).alias("lists"), F.sum("size").alias("central"))
         .filter(F.size("lists") >= matches)
@@ -232,10 +232,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.max(F.struct("central", (-F.col("rep")).alias("low"), "rep", "tag")).alias("p"),
         F.count(F.lit(1)).alias("size")).filter("size > 1")
         .select("key", F.col("p.rep").alias("p_rep"), F.col("p.tag").alias("p_tag")))
-    met = written(merged.join(pivots, "key").select("p_rep", "p_tag", "rep", "tag").distinct(), "met")
+    met = gathered(merged.join(pivots, "key").select("p_rep", "p_tag", "rep", "tag").distinct(), "met")
 
     ids = broadcast_if_small(active.select("rep").distinct(), MOST_BROADCAST)
-    sets = written(
+    sets = gathered(
         docs.join(ids, docs["doc_id"] == ids["rep"], "left_semi")
         .mapInArrow(_sets(width), "rep long, digest binary, hashes binary")
         .withColumn("tag", F.xxhash64("digest"))
@@ -269,7 +269,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     signatures = looked_up.select("rep", "tag", "signature")
     members = members.join(apart, ["p_rep", "p_tag"]).join(signatures, ["rep", "tag"])
     schema = ", ".join(f"{c} long" for c in _MEMBER)
-    left = written(_in_blocks(members.select(*_MEMBER, "signature"))
+    left = gathered(_in_blocks(members.select(*_MEMBER, "signature"))
                    .mapInArrow(_with_partner(percent, matches), schema).distinct(), "left")
     left = left.join(signatures, ["rep", "tag"]).join(sets, ["rep", "tag"])
     ties = _in_blocks(left.select(*_MEMBER, "signature", "hashes")).mapInArrow(_tied(percent, matches), "a long, b long")
@@ -278,10 +278,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     named = nodes.select("digest", "rep").join(joined.withColumnRenamed("node", "rep"), "rep", "left").select(
         "digest", F.coalesce("component", "rep").alias("component_id"))
-    return (features.select("doc_id", "n_shingles", "digest").join(named, "digest", "left")
-            .select("doc_id", "n_shingles",
-                    F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
-            .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
+    found = features.select("doc_id", "n_shingles", "digest").join(named, "digest", "left")
+    return in_waves(
+        found.select("doc_id", "n_shingles",
+                     F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
+        .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
 
 
 def keep_one(docs: DataFrame, found: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -291,10 +292,10 @@ def keep_one(docs: DataFrame, found: DataFrame, id_col: str = "doc_id") -> DataF
     doc_id all stay.
     """
     key = F.col(f"`{id_col}`")
-    gone = broadcast_if_small(written(
+    gone = broadcast_if_small(gathered(
         found.filter("not kept").select(F.col("doc_id").alias("_gone")).distinct(), "gone"), MOST_BROADCAST)
     kept = docs.join(gone, key == F.col("_gone"), "left_anti")
-    repeated = written(found.filter("doc_id is not null").groupBy(F.col("doc_id").alias("_again")).count()
+    repeated = gathered(found.filter("doc_id is not null").groupBy(F.col("doc_id").alias("_again")).count()
                        .filter("count > 1").select("_again"), "repeated")
     if repeated.isEmpty():
         return kept

@@ -12,7 +12,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tenorline.llm.shared import broadcast_if_small, written
+from tenorline.llm.shared import broadcast_if_small, gathered
 
 TEMPERATURE, SEED = 0.5, 7
 #: Sources are broadcast up to this many (about 400 bytes each).
@@ -46,7 +46,7 @@ def repetition_rates(docs: DataFrame, source_col: str = "source", targets: Mappi
     of n documents weighs n ** temperature. All rates together yield ``epochs`` times the
     number of documents. Null is a source of its own.
     """
-    counts = written(docs.groupBy(F.col(f"`{source_col}`").cast("string").alias("source"))
+    counts = gathered(docs.groupBy(F.col(f"`{source_col}`").cast("string").alias("source"))
                      .agg(F.count(F.lit(1)).alias("n")), "sources")
     if targets is None:
         weight = F.pow(F.col("n").cast("double"), F.lit(float(temperature)))
@@ -76,7 +76,7 @@ def poisson_mix(docs: DataFrame, rates: DataFrame, id_col: str = "doc_id", text_
                       F.concat(F.lit("text "), F.md5(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")))))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), name.alias("name"),
                        F.col(f"`{source_col}`").cast("string").alias("source"))
-    steps = broadcast_if_small(written(
+    steps = broadcast_if_small(gathered(
         rates.filter("rate > 0").select(F.col("source").alias("of"), poisson_steps(F.col("rate")).alias("steps")),
         "poisson"), MOST_BROADCAST)
     counted = (rows.join(steps, F.col("source").eqNullSafe(F.col("of")))

@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tenorline.llm.shared import broadcast_if_small, written
+from tenorline.llm.shared import broadcast_if_small, gathered
 from tenorline.llm.spans import count_of, matches, no_spans, replaced, told
 
 KINDS = ("email", "ip", "card", "phone")
@@ -83,16 +83,16 @@ def disclosures(docs: DataFrame, text_col: str = "text", support: int = SUPPORT,
                       F.when(F.col("s.end") + near >= F.length("text"), " ").otherwise(""))
     terms = F.array_distinct(F.transform(
         F.regexp_extract_all(around, F.lit(r"(?<=\P{L})\p{L}{4,}+(?=\P{L})"), F.lit(0)), F.lower))
-    held = written(found.select("id", "copy", _entity(F.col("s")).alias("entity"), terms.alias("terms")), "entities")
+    held = gathered(found.select("id", "copy", _entity(F.col("s")).alias("entity"), terms.alias("terms")), "entities")
 
-    copies = written(given.groupBy(F.xxhash64("text").alias("copy")).count(), "copies")
+    copies = gathered(given.groupBy(F.xxhash64("text").alias("copy")).count(), "copies")
     total = copies.count()
     df_e = held.groupBy("entity").agg(F.count_distinct("copy").alias("df_e")).filter(F.col("df_e") >= support)
-    pairs = written(held.select("entity", "copy", F.explode("terms").alias("term"))
+    pairs = gathered(held.select("entity", "copy", F.explode("terms").alias("term"))
                     .groupBy("entity", "term").agg(F.count_distinct("copy").alias("df_et"))
                     .filter(F.col("df_et") >= support).join(df_e, "entity"), "pairs")
     # Every distinct text once: those without copies as they are, of the others one each.
-    copied = broadcast_if_small(written(copies.filter("count > 1").select("copy"), "copied"), MOST_BROADCAST)
+    copied = broadcast_if_small(gathered(copies.filter("count > 1").select("copy"), "copied"), MOST_BROADCAST)
     hashed = given.select(F.xxhash64("text").alias("copy"), "text")
     once = (hashed.join(copied, "copy", "left_anti").select("text").unionByName(
         hashed.join(copied, "copy", "left_semi").groupBy("copy").agg(F.first("text").alias("text")).select("text")))
@@ -117,7 +117,7 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     strong, held = disclosures(docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`")), text_col,
                                support, threshold)
-    per_doc = broadcast_if_small(written(
+    per_doc = broadcast_if_small(gathered(
         held.distinct().join(strong, "entity").groupBy("id", "term").agg(F.max("disclosure").alias("disclosure"))
         .groupBy(F.col("id").alias("_id")).agg(F.map_from_entries(F.collect_list(F.struct("term", "disclosure"))).alias("_terms")),
         "disclosed"), MOST_BROADCAST)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -28,15 +30,46 @@ def shared_path(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+#: Rows that pass between Spark and Python at once where rows hold whole texts or sets.
+BATCH_ROWS = 512
+#: Tasks per core at most that write the result of a shuffle.
+WAVES = 4
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Jobs that run inside pass at most ``BATCH_ROWS`` rows at once to Python, which bounds what
+    a task holds beside its rows; the session's own setting comes back afterwards."""
+    before = spark.conf.get(_BATCH, None)
+    spark.conf.set(_BATCH, str(BATCH_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(_BATCH, before) if before else spark.conf.unset(_BATCH)
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """``df`` as a table in the shared folder: computed once, without lineage, and still
     readable when executors are lost."""
     spark = df.sparkSession
     path = shared_path(spark, label)
-    df.write.parquet(path)
+    with small_batches(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def in_waves(df: DataFrame) -> DataFrame:
+    """``df``, a result of shuffles, in no more tasks than ``WAVES`` rounds of all cores take, so
+    that a small one is not written as one tiny file per shuffle partition."""
+    return df.coalesce(max(1, WAVES * df.sparkSession.sparkContext.defaultParallelism))
+
+
+def gathered(df: DataFrame, label: str) -> DataFrame:
+    """``written`` for results of shuffles, ``in_waves``."""
+    return written(in_waves(df), label)
+
+
 def broadcast_if_small(table: DataFrame, most_rows: int) -> DataFrame:
     """A written table, marked for broadcast only while it has at most ``most_rows`` rows."""
     return F.broadcast(table) if table.count() <= most_rows else table

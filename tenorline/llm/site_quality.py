@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tenorline.llm.shared import broadcast_if_small, written
+from tenorline.llm.shared import broadcast_if_small, gathered, written
 
 #: Labelled documents that the classifier is fitted on, chosen by a hash of the id.
 SAMPLE, RIDGE, STEPS = 4_000, 1.0, 25
@@ -101,7 +101,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
           label_col: str = "quality", most: int = SAMPLE) -> Classifier:
     """A classifier from at most ``most`` labelled documents (label 1: good, 0: poor, else unused)."""
     known = labels.select(F.col(id_col).alias("_id"), F.col(label_col).alias("_good")).filter("_id is not null and _good in (0, 1)")
-    drawn = written(known.groupBy("_id").agg(F.min("_good").cast("int").alias("_good"))
+    drawn = gathered(known.groupBy("_id").agg(F.min("_good").cast("int").alias("_good"))
                     .orderBy(F.xxhash64("_id"), "_id").limit(most), "labelled")
     rows = (docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
             .join(F.broadcast(drawn), "_id").dropDuplicates(["_id"]).select("_good", "text")
@@ -134,15 +134,15 @@ def _strength(sites: DataFrame, of: Column) -> Column:
 def site_posteriors(judged: DataFrame) -> DataFrame:
     """(host, path, n_host, n_path, prior) from rows of (host, path, p): the shrunken share of
     good documents of each path. Null is a site of its own."""
-    paths = written(judged.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"), F.sum("p").alias("good")), "paths")
+    paths = gathered(judged.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"), F.sum("p").alias("good")), "paths")
     hosts = paths.groupBy("host").agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
     overall = hosts.agg((F.sum("good") / F.sum("n")).alias("share")).first()["share"]
     overall = min(max(overall if overall is not None else 0.5, 1e-4), 1 - 1e-4)
-    hosts = written(hosts, "hosts")
+    hosts = gathered(hosts, "hosts")
     k_host = hosts.agg(_strength(hosts, F.lit(overall)).alias("k")).first()["k"] or STRENGTH[1]
     named = hosts.select(F.col("host").alias("_host"), F.col("n").alias("n_host"),
                          ((F.col("good") + k_host * overall) / (F.col("n") + k_host)).alias("share"))
-    both = written(paths.join(named, F.col("host").eqNullSafe(F.col("_host"))).drop("_host"), "shrunk")
+    both = gathered(paths.join(named, F.col("host").eqNullSafe(F.col("_host"))).drop("_host"), "shrunk")
     k_path = both.agg(_strength(both, F.col("share")).alias("k")).first()["k"] or STRENGTH[1]
     return both.select("host", "path", "n_host", F.col("n").alias("n_path"),
                        ((F.col("good") + k_path * F.col("share")) / (F.col("n") + k_path)).alias("prior"))
@@ -164,7 +164,7 @@ def judge(docs: DataFrame, model: Classifier, id_col: str = "doc_id", text_col:
     judged = written(
         given.mapInArrow(_judged(model), "evidence double, row struct<doc_id:bigint,host:string,path:string>")
         .select("row.*", "evidence").withColumn("p", 1 / (1 + F.exp(-(F.col("evidence") + start)))), "evidence")
-    sites = broadcast_if_small(written(site_posteriors(judged).select(
+    sites = broadcast_if_small(gathered(site_posteriors(judged).select(
         F.col("host").alias("_host"), F.col("path").alias("_path"), "n_host", "n_path", "prior"), "sites"), MOST_BROADCAST)
     score = 1 / (1 + F.exp(-(F.col("evidence") + F.ln(F.col("prior") / (1 - F.col("prior"))))))
     return (judged.join(sites, F.col("host").eqNullSafe(F.col("_host")) & F.col("path").eqNullSafe(F.col("_path")))
