@@ -18,7 +18,7 @@ import pyarrow as pa
 import tiktoken
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from tenorline.llm.shared import written
+from tenorline.llm.shared import in_waves, written
 
 BUCKETS, BATCH_TOKENS = 16, 65_536
 #: Resolution of the histogram: boundaries are multiples of its step, which is 1 up to this length.
@@ -118,7 +118,7 @@ def pack(sized: DataFrame, buckets: int = BUCKETS, batch_tokens: int = BATCH_TOK
                 .join(offsets, F.col("bucket").eqNullSafe(F.col("_bucket")) & (F.col("_shard") == F.col("_of")))
                 .withColumn("_at", F.col("_before") + F.col("_place") - 1)
                 .withColumn("_fit", F.greatest(F.lit(1), F.floor(F.lit(batch_tokens) / F.col("bucket_tokens")))))
-    return numbered.select(
+    return in_waves(numbered).select(
         *[F.col(f"`{c}`") for c in kept], F.col("bucket").cast("int").alias("bucket"), "bucket_tokens",
         F.when(F.col("bucket").isNotNull(), F.floor(F.col("_at") / F.col("_fit"))).alias("batch"),
         F.when(F.col("bucket").isNotNull(), F.col("_at") % F.col("_fit")).alias("slot"))
