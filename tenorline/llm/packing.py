@@ -1,7 +1,7 @@
 """Packing by optimal length buckets.
 
 Every document is padded to the upper boundary of its length bucket. Dynamic programming
-over the global histogram of lengths chooses the boundaries with the least padding, and
+over the count of every length chooses the boundaries with the least padding, and
 batches of a fixed token budget form inside each bucket.
 """
 
@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import cache
+from itertools import accumulate
 
 import base64
 import uuid
@@ -21,8 +22,6 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from tenorline.llm.shared import in_waves, written
 
 BUCKETS, BATCH_TOKENS = 16, 65_536
-#: Resolution of the histogram: boundaries are multiples of its step, which is 1 up to this length.
-MOST_BINS = 4096
 #: Documents of one numbering shard.
 SHARD = 50_000
 # Fixed value: how the public byte-level vocabulary splits text before merging.
@@ -57,21 +56,31 @@ def token_counts(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_
 
 def best_boundaries(lengths: list[int], counts: list[int], buckets: int) -> list[int]:
     """Ascending upper boundaries, at most ``buckets`` of them and all out of ``lengths``
-    (ascending), for which the sum over documents of boundary - length is least."""
+    (ascending, each with a count of at least 1), for which the sum over documents of
+    boundary - length is least. Exact, in time proportional to buckets times lengths."""
     n = len(lengths)
     if n <= buckets:
         return list(lengths)
-    edge = np.array(lengths, float)
-    below = np.concatenate(([0.0], np.cumsum(np.array(counts, float))))
-    cost = edge * below[1:]  # padded tokens of the first j lengths in one bucket
-    choice = np.zeros((buckets, n), np.int64)
+    below = [0, *accumulate(counts)]
+    cost = [edge * docs for edge, docs in zip(lengths, below[1:])]  # padded tokens of the first lengths in one bucket
+    choice = np.zeros((buckets, n), np.int32)
     for b in range(1, buckets):
-        now = cost.copy()
+        # With the last split after k lengths the cost at an edge is a line in the edge. Slopes fall
+        # with k and edges rise, so the lines that are least somewhere are passed in order.
+        now, at, slopes, starts, splits = cost[:1], 0, [], [], []
         for j in range(1, n):
-            split = cost[:j] + edge[j] * (below[j + 1] - below[1:j + 1])
-            k = int(split.argmin())
-            if split[k] < now[j]:
-                now[j], choice[b, j] = split[k], k + 1
+            slope, start = -below[j], cost[j - 1]
+            while len(slopes) - at > 1 and ((start - starts[-2]) * (slopes[-2] - slopes[-1])
+                                            <= (starts[-1] - starts[-2]) * (slopes[-2] - slope)):
+                slopes.pop(), starts.pop(), splits.pop()
+            slopes.append(slope), starts.append(start), splits.append(j)
+            edge = lengths[j]
+            while at + 1 < len(slopes) and starts[at + 1] + slopes[at + 1] * edge < starts[at] + slopes[at] * edge:
+                at += 1
+            split = starts[at] + slopes[at] * edge + edge * below[j + 1]
+            now.append(min(split, cost[j]))
+            if split < cost[j]:
+                choice[b, j] = splits[at]
         cost = now
     out, j = [], n
     for b in range(buckets - 1, -1, -1):
@@ -83,14 +92,14 @@ def best_boundaries(lengths: list[int], counts: list[int], buckets: int) -> list
 
 
 def pack(sized: DataFrame, buckets: int = BUCKETS, batch_tokens: int = BATCH_TOKENS,
-         most_bins: int = MOST_BINS, shard: int = SHARD) -> DataFrame:
+         most_bins: int | None = None, shard: int = SHARD) -> DataFrame:
     """``sized`` (with n_tokens) plus bucket, bucket_tokens, batch and slot.
 
     ``bucket_tokens`` is the length all of a bucket is padded to; a batch of a bucket holds
     as many documents as fit into ``batch_tokens`` at that length, at least one, and only
-    the last batch of a bucket may hold fewer. The histogram has at most ``most_bins`` bins;
-    up to that length the boundaries are exactly optimal, beyond it optimal among multiples
-    of the bins' width, the longest length included. Documents without tokens (null or
+    the last batch of a bucket may hold fewer. The boundaries are exactly optimal over the
+    distinct lengths, which the driver holds, one number and count each; ``most_bins`` is
+    kept for callers and has no effect. Documents without tokens (null or
     empty texts) are in no batch: the four columns are null. Repeated rows are packed each.
     An empty table gives an empty result.
 
@@ -100,12 +109,9 @@ def pack(sized: DataFrame, buckets: int = BUCKETS, batch_tokens: int = BATCH_TOK
     kept = [c for c in sized.columns if c not in ("bucket", "bucket_tokens", "batch", "slot")]
     sized = written(sized.select(*[F.col(f"`{c}`") for c in kept], F.col("n_tokens").alias("_length"),
                                  F.monotonically_increasing_id().alias("_row")), "lengths")
-    top = sized.agg(F.max("_length"), F.count(F.lit(1))).first()
-    longest, rows = top[0] or 0, top[1]
-    step = max(1, -(-longest // most_bins))
-    bins = (sized.filter("_length > 0").groupBy(F.least(F.ceil(F.col("_length") / step) * step, F.lit(longest)).alias("top"))
-            .count().orderBy("top").collect())
-    edges = best_boundaries([r["top"] for r in bins], [r["count"] for r in bins], buckets) or [0]
+    rows = sized.count()
+    sizes = sized.filter("_length > 0").groupBy("_length").count().toArrow().sort_by("_length")
+    edges = best_boundaries(sizes["_length"].to_pylist(), sizes["count"].to_pylist(), buckets) or [0]
 
     tops = F.lit(edges)
     placed = (sized.withColumn("bucket", F.when(F.col("_length") > 0, F.size(F.filter(tops, lambda t: t < F.col("_length")))))

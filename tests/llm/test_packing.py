@@ -79,3 +79,35 @@ def test_null_empty_and_long_texts(spark):
     assert {r["doc_id"]: r["n_tokens"] for r in counts.collect()} == {1: 0, 2: 0, 3: 50_001, 4: 1, None: 2}
     assert pack(token_counts(documents(spark, []), vocabulary())).count() == 0
     assert pack(counts.filter("n_tokens = 0")).filter(F.col("bucket").isNotNull()).count() == 0
+
+
+def least_padding(lengths, counts, buckets):
+    """By the plain recurrence over all splits."""
+    below = [0]
+    for n in counts:
+        below.append(below[-1] + n)
+    cost = [k * n for k, n in zip(lengths, below[1:])]
+    for _ in range(buckets - 1):
+        cost = [min([cost[j]] + [cost[k] + e * (below[j + 1] - below[k + 1]) for k in range(j)]) for j, e in enumerate(lengths)]
+    return cost[-1] - sum(k * n for k, n in zip(lengths, counts))
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_boundaries_of_many_lengths(seed):
+    rng = random.Random(seed)
+    lengths = sorted(rng.sample(range(1, 3_000), 200)) + [rng.randrange(10**6, 10**7)]
+    counts = [rng.choice([1, 1, 2, 50, 10**6]) for _ in lengths]
+    for buckets in (2, 5, 16):
+        edges = best_boundaries(lengths, counts, buckets)
+        assert edges[-1] == lengths[-1] and len(edges) <= buckets
+        assert padding(lengths, counts, edges) == least_padding(lengths, counts, buckets)
+
+
+def test_one_very_long_row_leaves_the_other_boundaries_exact(spark):
+    rng = random.Random(4)
+    lengths = [rng.randrange(1, 490) for _ in range(3_000)] + [2_000_000]
+    rows = pack(spark.createDataFrame(list(enumerate(lengths)), "doc_id long, n_tokens long")).collect()
+    check(rows, 65_536)
+    distinct = sorted(set(lengths))
+    counts = [lengths.count(k) for k in distinct]
+    assert sum(r["bucket_tokens"] - r["n_tokens"] for r in rows) == least_padding(distinct, counts, 16)
