@@ -7,8 +7,8 @@ strongly a term t reveals an entity e is estimated from the corpus: the share
     disclosure(e, t) = PMI(e; t) / IC(e) = log(N df(e, t) / (df(e) df(t))) / log(N / df(e))
 
 of the entity's information content that t gives away, over N distinct texts, where df(e, t)
-counts texts with t near e. It is 1 if t occurs nowhere but near e and always with it, and 0
-if both are independent. In texts that hold e, terms whose disclosure reaches a threshold
+counts whole texts that hold both, wherever in them. It is 1 if t occurs in no text without e,
+and 0 if both are independent. In texts that hold e, terms whose disclosure reaches a threshold
 are generalised to a placeholder, and those that reveal all but nothing else are removed.
 
 Exact copies of a text count once, so copies do not pose as evidence.
@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tenorline.llm.shared import broadcast_if_small, gathered
+from tenorline.llm.shared import broadcast_if_small, gathered, written
 from tenorline.llm.spans import count_of, matches, no_spans, replaced, told
 
 KINDS = ("email", "ip", "card", "phone")
@@ -32,11 +32,9 @@ CARD = r"[0-9]++(?:[\x20-][0-9]++)*+"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 #: A term: a word of at least four letters.
 WORD = r"(?<!\p{L})\p{L}{4,}+"
-#: Code points on either side of an entity in which terms are near it.
-NEAR = 80
 #: Least texts with entity and term together, disclosure that generalises, and that removes.
 SUPPORT, GENERALISE, REMOVE = 3, 0.8, 0.95
-#: Hashes of copied texts, and documents with terms to treat, are broadcast up to this many.
+#: Hashes of copied texts, terms, and documents with terms to treat, are broadcast up to this many.
 MOST_BROADCAST = 1_000_000
 
 
@@ -64,45 +62,55 @@ def _entity(span: Column) -> Column:
     return F.concat_ws(":", span["kind"], value)
 
 
+def _most(df_e: Column, n: float, threshold: float) -> Column:
+    """The most texts a term may be in that reaches the threshold with an entity, rounding included."""
+    return df_e * F.pow(n / df_e, F.lit(1.0 - threshold)) * (1 + 1e-9)
+
+
 def disclosures(docs: DataFrame, text_col: str = "text", support: int = SUPPORT,
-                threshold: float = GENERALISE, near: int = NEAR) -> tuple[DataFrame, DataFrame]:
+                threshold: float = GENERALISE) -> tuple[DataFrame, DataFrame]:
     """(entity, term, disclosure) for all pairs that reach ``threshold`` with at least
-    ``support`` distinct texts, and (id, entity) for every row that holds an entity.
+    ``support`` distinct texts, and (id, entities, terms) for every row that holds an entity.
 
-    ``docs`` has an ``id`` column besides the text.
+    ``docs`` has an ``id`` column besides the text. As df(e, t) is at most df(e), a pair reaches
+    the threshold only if df(t) is at most df(e) (N / df(e))^(1 - threshold). Terms beyond that for
+    the most frequent entity never meet entities, nor do others those entities they are too frequent for.
     """
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     given = docs.select("id", text.alias("text"))
-    found = (given.withColumn("spans", base_spans(F.col("text"))).filter(F.size("spans") > 0)
-             .select("id", F.xxhash64("text").alias("copy"), "text", F.explode("spans").alias("s")))
-    # Words cut off at an end of the neighbourhood have nothing but letters there; the text's own ends count as blanks.
-    before = F.substring("text", F.greatest(F.lit(0), F.col("s.start") - near).cast("int") + 1,
-                         F.least(F.col("s.start"), F.lit(near)).cast("int"))
-    after = F.substring("text", F.col("s.end").cast("int") + 1, F.lit(near))
-    around = F.concat(F.when(F.col("s.start") <= near, " ").otherwise(""), before, F.lit(" "), after,
-                      F.when(F.col("s.end") + near >= F.length("text"), " ").otherwise(""))
-    terms = F.array_distinct(F.transform(
-        F.regexp_extract_all(around, F.lit(r"(?<=\P{L})\p{L}{4,}+(?=\P{L})"), F.lit(0)), F.lower))
-    held = gathered(found.select("id", "copy", _entity(F.col("s")).alias("entity"), terms.alias("terms")), "entities")
+    words = F.array_distinct(F.transform(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), F.lower))
+    holding = written(given.withColumn("spans", base_spans(F.col("text"))).filter(F.size("spans") > 0).select(
+        "id", F.xxhash64("text").alias("copy"), F.array_distinct(F.transform("spans", _entity)).alias("entities"),
+        words.alias("terms")), "holding")
 
     copies = gathered(given.groupBy(F.xxhash64("text").alias("copy")).count(), "copies")
     total = copies.count()
-    df_e = held.groupBy("entity").agg(F.count_distinct("copy").alias("df_e")).filter(F.col("df_e") >= support)
-    pairs = gathered(held.select("entity", "copy", F.explode("terms").alias("term"))
-                    .groupBy("entity", "term").agg(F.count_distinct("copy").alias("df_et"))
-                    .filter(F.col("df_et") >= support).join(df_e, "entity"), "pairs")
+    n = float(max(total, 1))
+    held = holding.select("copy", F.explode("entities").alias("entity")).distinct()
+    df_e = gathered(held.groupBy("entity").agg(F.count(F.lit(1)).alias("df_e"))
+                    .filter(F.col("df_e").between(support, total - 1)), "df_e")
+    most = df_e.agg(F.max(_most(F.col("df_e"), n, threshold))).first()[0] or 0.0
     # Every distinct text once: those without copies as they are, of the others one each.
     copied = broadcast_if_small(gathered(copies.filter("count > 1").select("copy"), "copied"), MOST_BROADCAST)
     hashed = given.select(F.xxhash64("text").alias("copy"), "text")
     once = (hashed.join(copied, "copy", "left_anti").select("text").unionByName(
         hashed.join(copied, "copy", "left_semi").groupBy("copy").agg(F.first("text").alias("text")).select("text")))
-    words = F.array_distinct(F.transform(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), F.lower))
-    df_t = once.select(F.explode(words).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df_t"))
-    share = (F.ln(F.lit(float(max(total, 1))) * F.col("df_et") / (F.col("df_e") * F.col("df_t")))
-             / F.ln(F.lit(float(max(total, 1))) / F.col("df_e")))
-    strong = (pairs.filter(F.col("df_e") < total).join(df_t, "term").withColumn("disclosure", share)
+    df_t = gathered(once.select(F.explode(words).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df_t"))
+                    .filter(F.col("df_t") >= support), "df_t")
+
+    frequent = broadcast_if_small(gathered(df_t.filter(F.col("df_t") > most).select("term"), "frequent"), MOST_BROADCAST)
+    supported = gathered(held.join(df_e, "entity"), "supported")
+    bearing = holding.join(supported.select("copy").distinct(), "copy", "left_semi")
+    beside = (bearing.select("copy", F.explode("terms").alias("term")).join(frequent, "term", "left_anti").distinct()
+              .join(df_t.filter(F.col("df_t") <= most), "term"))
+    pairs = (supported.join(beside, "copy").filter(F.col("df_t") <= _most(F.col("df_e"), n, threshold))
+             .groupBy("entity", "term").agg(F.count(F.lit(1)).alias("df_et"), F.first("df_e").alias("df_e"),
+                                            F.first("df_t").alias("df_t"))
+             .filter(F.col("df_et") >= support))
+    share = F.ln(n * F.col("df_et") / (F.col("df_e") * F.col("df_t"))) / F.ln(n / F.col("df_e"))
+    strong = (pairs.withColumn("disclosure", share)
               .filter(F.col("disclosure") >= threshold).select("entity", "term", "disclosure"))
-    return strong, held.select("id", "entity")
+    return strong, holding.select("id", "entities", "terms")
 
 
 def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -115,10 +123,16 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     doc_id share the terms of all its texts; rows without one get base spans only. Columns of
     ``docs`` named like the two new ones are replaced. An empty table gives an empty result.
     """
-    strong, held = disclosures(docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`")), text_col,
-                               support, threshold)
+    strong, holding = disclosures(docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`")), text_col,
+                                  support, threshold)
+    strong = gathered(strong, "strong")
+    # Only what a document holds itself meets its entities, so a frequent entity's terms are not multiplied by its texts.
+    some = broadcast_if_small(gathered(strong.select("term").distinct(), "strong-terms"), MOST_BROADCAST)
+    owned = holding.filter("id is not null")
+    present = owned.select("id", F.explode("terms").alias("term")).join(some, "term", "left_semi").distinct()
     per_doc = broadcast_if_small(gathered(
-        held.distinct().join(strong, "entity").groupBy("id", "term").agg(F.max("disclosure").alias("disclosure"))
+        owned.select("id", F.explode("entities").alias("entity")).distinct().join(present, "id")
+        .join(strong, ["entity", "term"]).groupBy("id", "term").agg(F.max("disclosure").alias("disclosure"))
         .groupBy(F.col("id").alias("_id")).agg(F.map_from_entries(F.collect_list(F.struct("term", "disclosure"))).alias("_terms")),
         "disclosed"), MOST_BROADCAST)
     kept = [c for c in docs.columns if c not in ("base", "spans")]

@@ -120,6 +120,45 @@ def test_disclosing_terms(spark):
         assert abs(got["email:sam@lake.org", word] - want) < 1e-9
 
 
+def test_terms_far_from_their_entity(spark):
+    """All pairs against counts over whole texts, with terms thousands of characters away."""
+    import random
+    from collections import Counter
+    from math import log
+    rng = random.Random(8)
+    rows = []
+    for k in range(120):
+        mails = [f"p{m}@lake.org" for m in range(9) if rng.random() < 0.15]
+        words = [f"{m}word" for m in "abcdefghijkl" if rng.random() < 0.1] + ["zephyr"] * ("p3@lake.org" in mails)
+        filler = ["common"] * 300 + [f"text{'x' * k}"]
+        rows.append((k, " ".join(mails + filler + words)))
+    rows += [(500 + k, rows[0][1]) for k in range(4)]
+    docs = documents(spark, rows)
+    strong, _ = sanitise.disclosures(docs.select(F.col("doc_id").alias("id"), "text"), threshold=0.3)
+    got = {(r["entity"], r["term"]): r["disclosure"] for r in strong.collect()}
+
+    texts = {t for _, t in rows}
+    n, df, both = len(texts), Counter(), Counter()
+    for t in texts:
+        entities, terms = {w for w in t.split() if "@" in w}, set(re.findall(r"[a-z]{4,}", t))
+        df.update(entities | terms)
+        both.update((e, w) for e in entities for w in terms)
+    want = {}
+    for (e, w), c in both.items():
+        if c >= 3 and df[e] < n and (share := log(n * c / (df[e] * df[w])) / log(n / df[e])) >= 0.3:
+            want["email:" + e, w] = share
+    assert got.keys() == want.keys() and len({w for _, w in want}) > 1
+    assert all(abs(got[k] - want[k]) < 1e-9 for k in want) and abs(want["email:p3@lake.org", "zephyr"] - 1) < 1e-9
+
+    found = sanitise.find_personal_data(docs).collect()
+    for r in found:
+        mails = {s["value"] for s in r["base"]}
+        terms = {s["value"] for s in r["spans"] if s["kind"] == "term"}
+        text = next(t for i, t in rows if i == r["doc_id"])
+        assert terms == {w for (e, w), share in want.items() if share >= 0.8 and e[6:] in mails
+                         and w in set(re.findall(r"[a-z]{4,}", re.sub("[^ ]+@[^ ]+", "", text)))}
+
+
 def test_markov_models(spark):
     import random
     rng = random.Random(3)
