@@ -3,25 +3,27 @@
 A document's signature holds the minimum of its shingle hashes under each of
 ``COORDINATES`` hash functions. Documents are posted under every (coordinate, value)
 pair; two documents collide once for each pair they share. Pairs with at least
-``MATCHES`` collisions are retained and then confirmed on their full shingle sets.
+``matches`` collisions are retained and then confirmed on their full shingle sets.
 
 * Prefix: with all documents' pairs in one global order, rarest list first, documents that
-  share MATCHES of COORDINATES pairs share one of their first COORDINATES - MATCHES + 1.
+  share M of COORDINATES pairs share one of their first COORDINATES - M + 1.
   Only this prefix is merged.
-* Skip: lists of one document are never merged, a document with fewer than MATCHES longer
+* Skip: lists of one document are never merged, a document with fewer than M longer
   lists is skipped altogether, and the long lists behind the prefix are not merged but
   looked up in the signatures of the candidates that the prefix gave.
 * Copies: equal shingle sets are one node from the start, and in each merged list all
   documents are first compared with its most central one. Only documents which that leaves
   in different components are compared among themselves, in blocks of bounded size.
 
-At a similarity of 0.85 a pair has fewer than 88 of 128 collisions with probability 1e-6,
-and the more alike it is the less; that is the chance to lose a link.
+M follows from the similarity: a pair right at it has fewer than M of 128 collisions with
+probability ``MISSED`` at most (88 at 0.85, 79 at 0.80), and the more alike it is the less;
+that is the chance to lose a link.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +36,9 @@ from tenorline.llm.shingles import shingle_set
 from tenorline.llm.sorted_groups import sorted_groups
 
 WIDTH, PERCENT = 5, 85
-COORDINATES, MATCHES = 128, 88
+COORDINATES = 128
+#: Chance at most to miss a pair whose similarity is exactly the threshold.
+MISSED = 1.1e-6
 #: Members of one block when documents of a list are compared among themselves.
 BLOCK = 256
 #: Ids of documents with candidates are broadcast up to this many (8 bytes each).
@@ -45,6 +49,17 @@ _FACTORS = (_seeds.integers(0, 2**32, COORDINATES, dtype=np.uint64) | np.uint64(
 _OFFSETS = _seeds.integers(0, 2**32, COORDINATES, dtype=np.uint64).astype(np.uint32)
 
 
+def matches_for(percent: int) -> int:
+    """The most collisions that a pair of ``percent`` similarity has with all but ``MISSED`` probability."""
+    p, below, matches = percent / 100, 0.0, 0
+    while matches < COORDINATES:
+        below += comb(COORDINATES, matches) * p**matches * (1 - p)**(COORDINATES - matches)
+        if below > MISSED:
+            break
+        matches += 1
+    return max(1, matches)
+
+
 def signature(hashes: np.ndarray, step: int = 2048) -> np.ndarray:
     """Minimum of the hashes under each coordinate's function, as signed 32-bit values."""
     high = (hashes >> np.uint64(32)).astype(np.uint32)
@@ -193,11 +208,12 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    percent: int = PERCENT, matches: int = MATCHES, width: int = WIDTH) -> DataFrame:
+                    percent: int = PERCENT, matches: int | None = None, width: int = WIDTH) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row per row of ``docs``.
 
     Two documents are linked if 100 * intersection >= ``percent`` * union of their shingle
     sets; a component is named by its smallest doc_id and ``kept`` marks that document.
+    ``matches`` is ``matches_for(percent)`` unless given.
 
     Null and empty texts, and texts of white space only, have no shingles: each is a
     component of its own. Equal texts are always linked. Rows that repeat a doc_id are one
@@ -205,6 +221,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     linked with nothing: component_id is null, kept is true. Other columns of ``docs`` are
     not read, so their names cannot clash. An empty table gives an empty result.
     """
+    matches = matches or matches_for(percent)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     features = written(docs.mapInArrow(
         _features(width), "doc_id long, n_shingles long, digest binary, signature array<int>"), "features")

@@ -5,7 +5,7 @@ import pytest
 from helpers import Groups, documents, jaccard, shingles
 
 from tenorline.llm.components import connected_components
-from tenorline.llm.minhash_dedup import COORDINATES, keep_one, near_duplicates, signature
+from tenorline.llm.minhash_dedup import COORDINATES, keep_one, matches_for, near_duplicates, signature
 from tenorline.llm.shingles import shingle_set
 
 
@@ -106,3 +106,20 @@ def test_components_of_long_chains_and_hubs(spark):
     assert len(got) == len({r["node"] for r in got})
     assert {r["node"]: r["component"] for r in got} == {
         x: groups.find(x) for a, b in edges if a is not None and a != b for x in (a, b)}
+
+
+def test_matches_follow_the_similarity():
+    assert [matches_for(p) for p in (80, 85, 100)] == [79, 88, COORDINATES]
+    assert sorted(map(matches_for, range(50, 101))) == [matches_for(p) for p in range(50, 101)]
+
+
+def test_pairs_at_the_threshold_of_four_fifths(spark):
+    """4,000 pairs of 45 shingles each, 40 of them common: exactly 0.8. 200 more are just below."""
+    rows = []
+    for k in range(4_200):
+        words = [f"w{k}x{n}" for n in range(49)]
+        changed = 5 if k < 4_000 else 6
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(words[:-changed] + [f"n{k}y{n}" for n in range(changed)]))]
+    assert jaccard(shingles(rows[0][1]), shingles(rows[1][1])) == 0.8 > jaccard(shingles(rows[-2][1]), shingles(rows[-1][1]))
+    got = near_duplicates(documents(spark, rows), percent=80).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == {i: i - i % 2 if i < 8_000 else i for i, _ in rows}
