@@ -6,6 +6,9 @@ last returns the packing plan, one row per copy of a document.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tenorline.llm import language_id, minhash_dedup, mixing, packing, secret_scan
@@ -14,8 +17,22 @@ from tenorline.llm.shared import written
 
 #: Texts whose best language scores less resemble no learned language.
 LEAST_SCORE = 0.05
+#: Columns of documents that stages read; all others pass through them under other names.
+OWN = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def carrying(stage: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """``stage`` for documents with further columns, whose names then clash with none that the stage makes."""
+
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        given = docs.toDF(*[c if c in OWN else f"_carried{k}" for k, c in enumerate(docs.columns)])
+        return stage(spark, given, sf_dir).toDF(*docs.columns)
+
+    return run
 
 
+@carrying
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops texts that are null, have no letter or resemble no learned language; fills in
     ``lang`` where it is null. Learns from the rows that op8 learns from."""
@@ -25,18 +42,21 @@ def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return known.withColumn("lang", F.coalesce("lang", "lang_pred")).select(docs.columns)
 
 
+@carrying
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each component of near duplicates."""
     return minhash_dedup.keep_one(docs, minhash_dedup.near_duplicates(docs))
 
 
+@carrying
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Exchanges every secret for a mark and counts the characters anew; all documents stay."""
     model = secret_scan.train(secret_scan.labelled_samples(docs))
-    clean = secret_scan.redact(secret_scan.scan(docs.select("doc_id", "text", "lang", "source", "n_chars"), model))
+    clean = secret_scan.redact(secret_scan.scan(docs, model))
     return clean.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
 
 
+@carrying
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeats or drops documents so that sources meet their weights, in shuffled order."""
     return mixing.poisson_mix(docs, mixing.repetition_rates(docs)).select(docs.columns)

@@ -53,3 +53,18 @@ def test_run(spark):
 def test_empty_documents(spark, tmp_path):
     spark.read.parquet(f"{SF}/documents.parquet").filter("false").write.parquet(str(tmp_path / "documents.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_extra_and_clashing_columns_pass_through(spark):
+    names = ["lang_pred", "score", "base", "spans", "copy", "shuffle_key", "row", "_row", "_gone", "name", "count", "a.b", "Kept"]
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    given = docs.select(F.array(F.col("doc_id")).alias("first"), *docs.columns,
+                        *[F.concat(F.lit(f"{n} "), F.col("doc_id").cast("string")).alias(n) for n in names])
+    before = given
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        after = written(stage(spark, before, SF), name)
+        assert after.columns == given.columns and after.schema.simpleString() == given.schema.simpleString()
+        rows = after.collect()
+        assert rows and all(r["first"] == [r["doc_id"]] and r[n] == f"{n} {r['doc_id']}" for r in rows for n in names)
+        before = after
+    assert corpus_pipeline.pack(spark, before, SF).count() == len(rows)
