@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tenorline.llm import (
-    fingerprints, itq_neighbours, language_id, minhash_dedup, mixing, packing, sanitise, secret_scan, site_quality,
+    fingerprints, itq_neighbours, language_id, merkle_manifest, minhash_dedup, mixing, packing, sanitise, secret_scan, site_quality,
     url_filter,
 )
 from tenorline.llm.labelled_urls import LABELLED
@@ -78,6 +79,17 @@ def op10_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.poisson_mix(docs, mixing.repetition_rates(docs))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest, and every proof folded from a leaf that a fifth of the texts no longer match."""
+    docs = table(spark, sf_dir, "documents")
+    columns = ["doc_id", "source", "lang", "n_chars", "text"]
+    tampered = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
+    lowered = F.translate("text", ascii_uppercase, ascii_lowercase)
+    text = F.when(tampered, lowered).otherwise(F.col("text"))
+    claimed = merkle_manifest.leaf_digest([F.col(c) for c in columns[:-1]] + [text])
+    return merkle_manifest.verified(merkle_manifest.manifest(docs, columns, "source", "doc_id", claimed))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_fingerprints": op2_fingerprints,
@@ -89,10 +101,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_url_filter": op9_url_filter,
     "op10_poisson_mix": op10_poisson_mix,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 ORACLES: dict[str, str] = {
     "op1_minhash_dedup": minhash_dedup.ORACLE,
     "op5_itq_neighbours": itq_neighbours.ORACLE,
     "op10_poisson_mix": mixing.ORACLE,
+    "op13_merkle_manifest": merkle_manifest.ORACLE,
 }
