@@ -8,7 +8,7 @@ from string import ascii_lowercase, ascii_uppercase
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tenorline.llm import (
-    fingerprints, itq_neighbours, language_id, merkle_manifest, minhash_dedup, mixing, packing, sanitise, secret_scan, site_quality,
+    fingerprints, itq_neighbours, language_id, merkle_manifest, minhash_dedup, mixing, packing, phrase_mining, sanitise, secret_scan, site_quality,
     url_filter,
 )
 from tenorline.llm.labelled_urls import LABELLED
@@ -79,6 +79,10 @@ def op10_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.poisson_mix(docs, mixing.repetition_rates(docs))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrase_mining.collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The manifest, and every proof folded from a leaf that a fifth of the texts no longer match."""
     docs = table(spark, sf_dir, "documents")
@@ -101,6 +105,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_url_filter": op9_url_filter,
     "op10_poisson_mix": op10_poisson_mix,
+    "op11_collocations": op11_collocations,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
@@ -108,5 +113,6 @@ ORACLES: dict[str, str] = {
     "op1_minhash_dedup": minhash_dedup.ORACLE,
     "op5_itq_neighbours": itq_neighbours.ORACLE,
     "op10_poisson_mix": mixing.ORACLE,
+    "op11_collocations": phrase_mining.ORACLE,
     "op13_merkle_manifest": merkle_manifest.ORACLE,
 }
