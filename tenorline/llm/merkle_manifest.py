@@ -264,11 +264,12 @@ def manifest(docs: DataFrame, columns: list[str], group: str, order: str, claime
     return Manifest(blocks, roots, above)
 
 
-def _with_paths(built: list[DataFrame], top_paths: DataFrame) -> DataFrame:
+def _with_paths(built: list[DataFrame], top_paths: DataFrame | None) -> DataFrame:
     """The subtrees of the lowest layer with their paths to the root of all: from the layer above
     all others down, each subtree's path is that of its leaf in the layer above. ``top_paths``
-    has (tree, path) for the trees' own roots."""
-    whole = [b.filter(f"n <= {BLOCK}").select("tree", "block").join(top_paths, "tree") for b in built]
+    has (tree, path) for the trees' own roots; without it these are the root of all."""
+    whole = [b.filter(f"n <= {BLOCK}").select("tree", "block") for b in built]
+    whole = [w.withColumn("path", F.array().cast(_PATH)) if top_paths is None else w.join(top_paths, "tree") for w in whole]
     now = whole[-1]
     for k in range(len(built) - 2, -1, -1):
         upper = built[k + 1].join(now, ["tree", "block"])
@@ -282,8 +283,7 @@ def proofs(m: Manifest) -> DataFrame:
     ``proof_sha256`` is the digest of all siblings on the way from the leaf to the root, level by
     level and left to right; ``folded_root`` the root that the claimed digest leads to.
     """
-    whole = m.roots.sparkSession.range(1).select(F.lit(0).cast("long").alias("tree"), F.array().cast(_PATH).alias("path"))
-    of_roots = written(_with_paths(m.above, whole).mapInArrow(_paths_below(True), _PATHS).drop("block"), "root-paths")
+    of_roots = written(_with_paths(m.above, None).mapInArrow(_paths_below(True), _PATHS).drop("block"), "root-paths")
     paths = _with_paths(m.blocks, of_roots).join(m.roots.select("tree", F.col("root").alias("subroot")), "tree")
     return paths.mapInArrow(_proofs, "id long, leaf string, subroot string, proof_sha256 string, folded_root string")
 

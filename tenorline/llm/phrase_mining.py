@@ -28,9 +28,9 @@ from tenorline.llm.shared import written
 
 LONGEST, LEAST, BEST = 5, 100, 2000
 #: Words of one language in a shard at most, beyond its last document.
-SHARD_WORDS = 1 << 21
-#: Rows order by this many symbols, which suffices for phrases up to this length.
-DEPTH = 8
+SHARD_WORDS = 1 << 20
+#: Rows order by this many symbols at least, which suffices for phrases up to this length.
+DEPTH = 6
 #: Bits of a Bloom filter per entry, and at most (32 MB).
 FILTER_BITS, MOST_BITS = 16, 1 << 28
 
@@ -39,24 +39,26 @@ _CLEAN = bytes(10 if c in b".,;:!?\n\x0b\x0c\r" else 32 if c == 9 else c + 32 if
 _MIX, _STEP = np.uint64(0xD6E8FEB86659FD93), np.uint64(0x9E3779B97F4A7C15)
 
 
-def pieces(text: bytes) -> Iterator[list[bytes]]:
-    """Words of each piece of an UTF-8 text, A-Z in lower case."""
-    for piece in text.translate(_CLEAN).split(b"\n"):
-        words = piece.split(b" ")
-        words = [w for w in words if w] if b"" in words else words
-        if words:
-            yield words
+def tokens(text: bytes) -> Iterator[bytes]:
+    """Words of an UTF-8 text, A-Z in lower case, and a line feed after each piece."""
+    return filter(None, (text.translate(_CLEAN) + b"\n").replace(b"\n", b" \n ").split(b" "))
 
 
 def rows_in_order(text: np.ndarray) -> np.ndarray:
     """Positions of ``text`` ordered by the ``DEPTH`` symbols from there on (past the end: 0)."""
+
+    def ahead(of: np.ndarray, by: int) -> np.ndarray:
+        return np.concatenate((of[by:], np.zeros(min(by, len(of)), np.int64)))
+
     rank, length = text.astype(np.int64), 1
     while True:
-        ahead = np.zeros_like(rank)
-        ahead[:-length] = rank[length:]
-        key = rank * (int(rank.max()) + 1) + ahead
-        length *= 2
-        order = np.argsort(key, kind="stable")
+        base = int(rank.max()) + 1
+        key = rank * base + ahead(rank, length)
+        if length == 1 and base**3 < 2**63:  # the first time three symbols at once, if they fit
+            key, length = key * base + ahead(rank, 2), 3
+        else:
+            length *= 2
+        order = np.argsort(key)
         if length >= DEPTH:
             return order
         changed = np.concatenate(([0], np.diff(key[order]) != 0))
@@ -69,27 +71,33 @@ def bwt(text: np.ndarray) -> np.ndarray:
     return text[rows_in_order(text) - 1].astype(np.int32)
 
 
+class _Numbers(dict):
+    """Words by their number, new ones the next."""
+
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self)
+        return number
+
+
 class _Shard:
     """Words of one language while a task reads its documents. Number 0 ends every piece."""
 
     def __init__(self):
-        self.numbers: dict[bytes, int] = {}
+        self.numbers = _Numbers({b"\n": 0})
         self.text = array("i", [0])
 
     def add(self, text: bytes) -> int:
         before = len(self.text)
-        numbers, out = self.numbers, self.text
-        for words in pieces(text):
-            out.extend([numbers.setdefault(w, len(numbers) + 1) for w in words])
-            out.append(0)
+        self.text.extend(map(self.numbers.__getitem__, tokens(text)))
         return len(self.text) - before
 
     def row(self, lang: str) -> pa.RecordBatch:
         # Words are numbered in byte order, so that intervals follow the order of phrases.
-        words = sorted(self.numbers)
+        words = sorted(w for w in self.numbers if w != b"\n")
         new = np.zeros(len(words) + 1, np.int32)
         new[[self.numbers[w] for w in words]] = np.arange(1, len(words) + 1)
         text = new[np.frombuffer(self.text, np.int32)]
+        text = text[np.concatenate(([True], (text[1:] != 0) | (text[:-1] != 0)))]
         counts = np.bincount(text, minlength=len(words) + 1)
         return pa.RecordBatch.from_pydict({
             "lang": [lang], "words": pa.array([[w.decode() for w in words]], pa.list_(pa.string())),
@@ -201,8 +209,8 @@ class Index:
         self.last, self.next = self._steps(forward), self._steps(backward)
 
     def _steps(self, symbols: np.ndarray) -> np.ndarray:
-        steps = np.empty(len(symbols), np.int64)
-        steps[np.argsort(symbols, kind="stable")] = np.arange(len(symbols))
+        steps, rows = np.empty(len(symbols), np.int64), np.arange(len(symbols))
+        steps[np.argsort((symbols.astype(np.int64) << 32) | rows)] = rows
         return steps
 
     def words(self, wanted: np.ndarray) -> Intervals:
@@ -228,7 +236,7 @@ class Index:
         rows = np.flatnonzero(group >= 0)
         g, symbol = group[rows], before[rows]
         # Symbols of each interval in order: what is smaller comes first in the other index.
-        order = np.argsort(g * len(self.first) + symbol, kind="stable")
+        order = np.argsort(g * len(self.first) + symbol)
         g, symbol, rows = g[order], symbol[order], rows[order]
         start = np.flatnonzero(np.concatenate(([True], (g[1:] != g[:-1]) | (symbol[1:] != symbol[:-1])))) if len(g) else np.zeros(0, np.int64)
         count = np.diff(np.concatenate((start, [len(g)])))
@@ -296,7 +304,7 @@ def frequent_phrases(docs: DataFrame, lang_col: str = "lang", text_col: str = "t
     shards = written(given.mapInArrow(_indexed(shard_words), _SHARDS), "shards")
     seen = shards.select("lang", F.explode(F.arrays_zip("words", F.slice("counts", 2, 2**31 - 1).alias("n"))).alias("w"))
     totals = shards.select("lang", F.expr("aggregate(counts, 0L, (a, c) -> a + c) - counts[0]").alias("total"))
-    totals = written(totals.groupBy("lang").agg(F.sum("total").alias("total")), "totals")
+    totals = written(totals.groupBy("lang").agg(F.sum("total").alias("total")).filter("total > 0"), "totals")
     schema = "lang string, phrase string, n long"
 
     def summed(counted: DataFrame, label: str) -> DataFrame:
