@@ -282,12 +282,12 @@ def _counts(shards: Iterator[pa.RecordBatch], words: Filter, pairs: Filter | Non
                 if not len(now.count):
                     break
                 if length > 2 or pairs is None:
-                    for at in range(0, len(now.count), 50_000):
-                        rows = now.words[at:at + 50_000].tolist()
+                    for at in range(0, len(now.count), 20_000):
+                        rows = now.words[at:at + 20_000].tolist()
                         phrases = [" ".join([names[w - 1] for w in row]) for row in rows]
                         yield pa.RecordBatch.from_arrays(
                             [pa.array([lang] * len(rows)), pa.array(phrases),
-                             pa.array(now.count[at:at + 50_000], pa.int64())], names=["lang", "phrase", "n"])
+                             pa.array(now.count[at:at + 20_000], pa.int64())], names=["lang", "phrase", "n"])
 
 
 def frequent_phrases(docs: DataFrame, lang_col: str = "lang", text_col: str = "text",
@@ -308,7 +308,8 @@ def frequent_phrases(docs: DataFrame, lang_col: str = "lang", text_col: str = "t
     schema = "lang string, phrase string, n long"
 
     def summed(counted: DataFrame, label: str) -> DataFrame:
-        return written(counted.groupBy("lang", "phrase").agg(F.sum("n").alias("n")).filter(F.col("n") >= least), label)
+        # A row of a shard is megabytes, so Python gets one at a time.
+        return written(counted.groupBy("lang", "phrase").agg(F.sum("n").alias("n")).filter(F.col("n") >= least), label, 1)
 
     words = summed(seen.select("lang", F.col("w.words").alias("phrase"), "w.n"), "words")
     word_filter = frequent_filter(words)

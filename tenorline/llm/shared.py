@@ -38,23 +38,23 @@ _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 @contextmanager
-def small_batches(spark: SparkSession) -> Iterator[None]:
-    """Jobs that run inside pass at most ``BATCH_ROWS`` rows at once to Python, which bounds what
+def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> Iterator[None]:
+    """Jobs that run inside pass at most ``rows`` rows at once to Python, which bounds what
     a task holds beside its rows; the session's own setting comes back afterwards."""
     before = spark.conf.get(_BATCH, None)
-    spark.conf.set(_BATCH, str(BATCH_ROWS))
+    spark.conf.set(_BATCH, str(rows))
     try:
         yield
     finally:
         spark.conf.set(_BATCH, before) if before else spark.conf.unset(_BATCH)
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
+def written(df: DataFrame, label: str, batch_rows: int = BATCH_ROWS) -> DataFrame:
     """``df`` as a table in the shared folder: computed once, without lineage, and still
-    readable when executors are lost."""
+    readable when executors are lost. Python sees ``batch_rows`` rows at once."""
     spark = df.sparkSession
     path = shared_path(spark, label)
-    with small_batches(spark):
+    with small_batches(spark, batch_rows):
         df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
