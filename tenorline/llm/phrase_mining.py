@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from array import array
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +29,7 @@ from tenorline.llm.shared import written
 
 LONGEST, LEAST, BEST = 5, 100, 2000
 #: Words of one language in a shard at most, beyond its last document.
-SHARD_WORDS = 1 << 20
+SHARD_WORDS = 1 << 19
 #: Rows order by this many symbols at least, which suffices for phrases up to this length.
 DEPTH = 6
 #: Bits of a Bloom filter per entry, and at most (32 MB).
@@ -190,68 +191,70 @@ def frequent_filter(frequent: DataFrame) -> Filter:
     return Filter(found)
 
 
+@dataclass(frozen=True)
 class Intervals:
-    """All phrases of one length in a shard, in the order of the text's index: ``row_group`` gives
-    the phrase of each row (-1: none), ``low`` its first row, ``back`` its first row in the index
-    of the reversed text, ``count`` their number, ``words`` its word numbers."""
+    """Phrases of one length in a shard: ``low`` is a phrase's first row in the text's index, ``back``
+    its first row in that of the reversed text, ``count`` its rows in either, ``words`` its numbers."""
 
-    def __init__(self, row_group, low, back, count, words):
-        self.row_group, self.low, self.back, self.count, self.words = row_group, low, back, count, words
+    low: np.ndarray
+    back: np.ndarray
+    count: np.ndarray
+    words: np.ndarray
 
 
 class Index:
-    """Both indexes of a shard. Row i of one starts with a symbol; ``before[i]`` is the symbol in
-    front of it and ``last[i]`` the row that starts there."""
+    """Both indexes of a shard. ``before`` has the symbol in front of each row and ``last`` the row
+    that starts there; ``behind`` and ``next`` are the same of the reversed text."""
 
     def __init__(self, forward: np.ndarray, backward: np.ndarray, symbols: int):
         self.before, self.behind = forward, backward
-        self.first = np.concatenate(([0], np.cumsum(np.bincount(forward, minlength=symbols))))
+        self.first = np.concatenate(([0], np.cumsum(np.bincount(forward, minlength=symbols)))).astype(np.int32)
         self.last, self.next = self._steps(forward), self._steps(backward)
 
     def _steps(self, symbols: np.ndarray) -> np.ndarray:
-        steps, rows = np.empty(len(symbols), np.int64), np.arange(len(symbols))
+        rows = np.arange(len(symbols), dtype=np.int32)
+        steps = np.empty_like(rows)
         steps[np.argsort((symbols.astype(np.int64) << 32) | rows)] = rows
         return steps
 
+    def _groups(self, low: np.ndarray, count: np.ndarray) -> np.ndarray:
+        """For every row the number of the interval that it is in, or -1."""
+        groups, total = np.full(len(self.before), -1, np.int32), int(count.sum())
+        starts = np.cumsum(count) - count
+        groups[np.repeat(low - starts, count) + np.arange(total)] = np.repeat(np.arange(len(count), dtype=np.int32), count)
+        return groups
+
     def words(self, wanted: np.ndarray) -> Intervals:
         """Single words, of which ``wanted`` is a flag per symbol. Both indexes hold a word at the
         same rows, as they hold the same symbols."""
-        numbers = np.flatnonzero(wanted)
-        groups = np.full(len(wanted), -1)
-        groups[numbers] = np.arange(len(numbers))
+        numbers = np.flatnonzero(wanted).astype(np.int32)
         low = self.first[numbers]
-        count = self.first[numbers + 1] - low
-        return Intervals(np.repeat(groups, np.diff(self.first)), low, low.copy(), count, numbers[:, None])
+        return Intervals(low, low.copy(), self.first[numbers + 1] - low, numbers[:, None])
 
     def extended(self, now: Intervals, allowed, left: bool) -> Intervals:
         """Phrases one word longer. ``allowed`` says for arrays of phrases and new symbols which to
         keep. Extending to the right is the same step with the two indexes exchanged."""
         before, step = (self.before, self.last) if left else (self.behind, self.next)
         low, back = (now.low, now.back) if left else (now.back, now.low)
-        group = now.row_group
-        if not left:
-            group = np.full(len(before), -1)
-            rows = np.repeat(low - np.concatenate(([0], np.cumsum(now.count)[:-1])), now.count) + np.arange(now.count.sum())
-            group[rows] = np.repeat(np.arange(len(now.count)), now.count)
-        rows = np.flatnonzero(group >= 0)
-        g, symbol = group[rows], before[rows]
+        group = self._groups(low, now.count)
+        rows = np.flatnonzero(group >= 0).astype(np.int32)
+        if not len(rows):
+            return Intervals(low, back, now.count, np.empty((0, now.words.shape[1] + 1), np.int32))
         # Symbols of each interval in order: what is smaller comes first in the other index.
-        order = np.argsort(g * len(self.first) + symbol)
-        g, symbol, rows = g[order], symbol[order], rows[order]
-        start = np.flatnonzero(np.concatenate(([True], (g[1:] != g[:-1]) | (symbol[1:] != symbol[:-1])))) if len(g) else np.zeros(0, np.int64)
-        count = np.diff(np.concatenate((start, [len(g)])))
-        of, new = g[start], symbol[start]
-        begins = np.searchsorted(g, of, side="left")
-        other = back[of] + start - begins
-        here = np.minimum.reduceat(step[rows], start) if len(start) else start
-        keep = (new > 0) & allowed(of, new) if len(start) else np.zeros(0, np.bool_)
-        of, new, count, here, other = of[keep], new[keep], count[keep], here[keep], other[keep]
-        parts = (new[:, None], now.words[of]) if left else (now.words[of], new[:, None])
+        key = group[rows] * np.int64(len(self.first)) + before[rows]
+        order = np.argsort(key)
+        key, rows = key[order], rows[order]
+        start = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+        count = np.diff(np.append(start, len(key))).astype(np.int32)
+        of, new = np.divmod(key[start], len(self.first))
+        here = np.minimum.reduceat(step[rows], start)
+        interval = np.cumsum(now.count) - now.count
+        other = back[of] + (start - interval[of]).astype(np.int32)
+        keep = np.flatnonzero((new > 0) & allowed(of, new))
+        of, new, here, other = of[keep], new[keep].astype(np.int32)[:, None], here[keep], other[keep]
+        words = np.concatenate((new, now.words[of]) if left else (now.words[of], new), axis=1)
         low, back = (here, other) if left else (other, here)
-        row_group = np.full(len(before), -1)
-        rows = np.repeat(low - np.concatenate(([0], np.cumsum(count)[:-1])), count) + np.arange(count.sum()) if len(count) else []
-        row_group[rows] = np.repeat(np.arange(len(count)), count)
-        return Intervals(row_group, low, back, count, np.concatenate(parts, axis=1))
+        return Intervals(low, back, count[keep], words)
 
 
 def _counts(shards: Iterator[pa.RecordBatch], words: Filter, pairs: Filter | None) -> Iterator[pa.RecordBatch]:
