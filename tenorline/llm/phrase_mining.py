@@ -7,11 +7,12 @@ of the rows of an interval extends all phrases of a length at once, to the left
 index and to the right through the other, and either step moves both intervals. Counts are
 interval lengths; they are summed across shards.
 
-Only phrases whose words are frequent overall are counted with two words, and only those
-whose pairs of neighbours are frequent overall are extended, as no phrase is more frequent
-than its parts. What is frequent reaches the shards as a Bloom filter of bounded size: its
-errors let more phrases be counted than need be, and the sums decide, so no phrase is lost
-at any size.
+No phrase is more frequent than its parts, so pairs are counted only of words that are
+frequent overall, and longer phrases only where all pairs of neighbours are. What is frequent
+reaches the shards as a Bloom filter of bounded size. Most pairs are rare: before pairs are
+counted by name, all shards add theirs to hashed counters, and only pairs whose counter is
+large enough follow. Errors of filters and counters let more phrases be counted than need
+be, and the sums decide, so no phrase is lost at any size.
 """
 
 from __future__ import annotations
@@ -34,6 +35,10 @@ SHARD_WORDS = 1 << 19
 DEPTH = 6
 #: Bits of a Bloom filter per entry, and at most (32 MB).
 FILTER_BITS, MOST_BITS = 16, 1 << 28
+#: Shards, megabytes each, that Python gets at once.
+SHARDS_AT_ONCE = 2
+#: Words per hashed counter of pairs, and counters that one task adds up at once.
+COUNTER_WORDS, COUNTERS = 16, 1 << 16
 
 #: Ends of pieces become line feeds, tabs become blanks, A-Z lower case.
 _CLEAN = bytes(10 if c in b".,;:!?\n\x0b\x0c\r" else 32 if c == 9 else c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -191,6 +196,41 @@ def frequent_filter(frequent: DataFrame) -> Filter:
     return Filter(found)
 
 
+class Counters:
+    """One bit per hashed counter of pairs, set where it reached the least count."""
+
+    def __init__(self, bits: np.ndarray):
+        self.bits = bits
+
+    def maybe(self, hashes: np.ndarray) -> np.ndarray:
+        place = _mixed(hashes) & np.uint64(len(self.bits) * 8 - 1)
+        return (self.bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1
+
+
+def _added_up(least: int):
+    """(part, bits): counters of each part, from rows (part, gaps, counts) sorted by part."""
+
+    def bits(part: int, counters: np.ndarray) -> pa.RecordBatch:
+        reached = np.packbits(counters >= least, bitorder="little").tobytes()
+        return pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "bits": [reached]})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, counters = None, np.zeros(COUNTERS, np.int64)
+        for batch in batches:
+            for part, gaps, counts in zip(*batch.columns):
+                if part.as_py() != now:
+                    if now is not None:
+                        yield bits(now, counters)
+                    now, counters = part.as_py(), np.zeros(COUNTERS, np.int64)
+                # Gaps lead from one counter to the next, so no counter occurs twice in a row.
+                places = np.cumsum(np.frombuffer(gaps.as_buffer(), np.uint16), dtype=np.int64)
+                counters[places] += np.frombuffer(counts.as_buffer(), np.uint8)
+        if now is not None:
+            yield bits(now, counters)
+
+    return run
+
+
 @dataclass(frozen=True)
 class Intervals:
     """Phrases of one length in a shard: ``low`` is a phrase's first row in the text's index, ``back``
@@ -257,8 +297,9 @@ class Index:
         return Intervals(low, back, count[keep], words)
 
 
-def _counts(shards: Iterator[pa.RecordBatch], words: Filter, pairs: Filter | None) -> Iterator[pa.RecordBatch]:
-    """(lang, phrase, n): all phrases of two words, or with a filter of pairs those of three and more."""
+def _opened(shards: Iterator[pa.RecordBatch], words: Filter) -> Iterator[tuple]:
+    """Of each shard: language, words, their hashes (that of number 0 first), which of them may be
+    frequent, and the index."""
     for batch in shards:
         of = {c: batch.column(c) for c in batch.schema.names}
         for k in range(batch.num_rows):
@@ -267,30 +308,72 @@ def _counts(shards: Iterator[pa.RecordBatch], words: Filter, pairs: Filter | Non
             wanted = np.concatenate(([False], words.maybe(hashes[1:])))
             index = Index(np.frombuffer(of["forward"][k].as_buffer(), np.int32),
                           np.frombuffer(of["backward"][k].as_buffer(), np.int32), len(names) + 1)
+            yield lang, names, hashes, wanted, index
+
+
+def _pair_counters(words: Filter, size: int):
+    """(part, gaps, counts): for each shard and part of the counters what its pairs add to them.
+    A shard adds 255 to a counter at most, more than any pair needs to be counted by name."""
+
+    def run(shards: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, _, hashes, wanted, index in _opened(shards, words):
+            pairs = index.extended(index.words(wanted), lambda group, new: wanted[new], True)
+            place = _mixed(_pairs(hashes[pairs.words[:, 0]], hashes[pairs.words[:, 1]])) & np.uint64(size - 1)
+            place, of = np.unique(place.astype(np.int64), return_inverse=True)
+            count = np.minimum(np.bincount(of, pairs.count, len(place)), 255).astype(np.uint8)
+            part = place // COUNTERS
+            start = np.flatnonzero(np.diff(part, prepend=-1))
+            rows = []
+            for a, b in zip(start, np.append(start[1:], len(place))):
+                gaps = np.diff(place[a:b] % COUNTERS, prepend=0).astype(np.uint16)
+                rows.append({"part": int(part[a]), "gaps": gaps.tobytes(), "counts": count[a:b].tobytes()})
+            yield pa.RecordBatch.from_pylist(rows, pa.schema([("part", pa.int32()), ("gaps", pa.binary()), ("counts", pa.binary())]))
+
+    return run
+
+
+def large_counters(shards: DataFrame, words: Filter, total: int, least: int) -> Counters:
+    """The counters of pairs that reach ``least``. There is one for every ``COUNTER_WORDS`` of the
+    ``total`` words, up to ``MOST_BITS``; the driver gets one bit of each."""
+    size = COUNTERS
+    while size < min(MOST_BITS, total // COUNTER_WORDS):
+        size *= 2
+    parts = (shards.mapInArrow(_pair_counters(words, size), "part int, gaps binary, counts binary")
+             .repartition("part").sortWithinPartitions("part").mapInArrow(_added_up(min(least, 255)), "part int, bits binary"))
+    bits = np.zeros(size // 8, np.uint8)
+    for part, reached in zip(*written(parts, "counters", SHARDS_AT_ONCE).toArrow().columns):
+        at = part.as_py() * COUNTERS // 8
+        bits[at:at + COUNTERS // 8] = np.frombuffer(reached.as_buffer(), np.uint8)
+    return Counters(bits)
+
+
+def _counts(words: Filter, pairs: Filter | Counters, longest: int):
+    """(lang, phrase, n): all phrases of two words that may be frequent, or with a longer ``longest``
+    those of three and more."""
+
+    def run(shards: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for lang, names, hashes, wanted, index in _opened(shards, words):
 
             def allowed(now: Intervals, left: bool):
                 def check(group, new):
-                    ok = wanted[new]
-                    if pairs is not None:
-                        side = now.words[group, 0 if left else -1]
-                        a, b = (new, side) if left else (side, new)
-                        ok = ok & pairs.maybe(_pairs(hashes[a], hashes[b]))
-                    return ok
+                    side = now.words[group, 0 if left else -1]
+                    a, b = (new, side) if left else (side, new)
+                    return wanted[new] & pairs.maybe(_pairs(hashes[a], hashes[b]))
+
                 return check
 
             now, left = index.words(wanted), True
-            for length in range(2, LONGEST + 1 if pairs is not None else 3):
+            for length in range(2, longest + 1):
                 now = index.extended(now, allowed(now, left), left)
                 left = not left
-                if not len(now.count):
-                    break
-                if length > 2 or pairs is None:
-                    for at in range(0, len(now.count), 20_000):
-                        rows = now.words[at:at + 20_000].tolist()
-                        phrases = [" ".join([names[w - 1] for w in row]) for row in rows]
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array([lang] * len(rows)), pa.array(phrases),
-                             pa.array(now.count[at:at + 20_000], pa.int64())], names=["lang", "phrase", "n"])
+                for at in range(0, len(now.count) if length > 2 or longest == 2 else 0, 20_000):
+                    rows = now.words[at:at + 20_000].tolist()
+                    phrases = [" ".join([names[w - 1] for w in row]) for row in rows]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([lang] * len(rows)), pa.array(phrases),
+                         pa.array(now.count[at:at + 20_000], pa.int64())], names=["lang", "phrase", "n"])
+
+    return run
 
 
 def frequent_phrases(docs: DataFrame, lang_col: str = "lang", text_col: str = "text",
@@ -311,14 +394,14 @@ def frequent_phrases(docs: DataFrame, lang_col: str = "lang", text_col: str = "t
     schema = "lang string, phrase string, n long"
 
     def summed(counted: DataFrame, label: str) -> DataFrame:
-        # A row of a shard is megabytes, so Python gets one at a time.
-        return written(counted.groupBy("lang", "phrase").agg(F.sum("n").alias("n")).filter(F.col("n") >= least), label, 1)
+        return written(counted.groupBy("lang", "phrase").agg(F.sum("n").alias("n")).filter(F.col("n") >= least), label, SHARDS_AT_ONCE)
 
     words = summed(seen.select("lang", F.col("w.words").alias("phrase"), "w.n"), "words")
     word_filter = frequent_filter(words)
-    pairs = summed(shards.mapInArrow(lambda b: _counts(b, word_filter, None), schema), "pairs")
-    pair_filter = frequent_filter(pairs)
-    longer = summed(shards.mapInArrow(lambda b: _counts(b, word_filter, pair_filter), schema), "longer")
+    total = totals.agg(F.sum("total")).first()[0] or 0
+    counters = large_counters(shards, word_filter, total, least)
+    pairs = summed(shards.mapInArrow(_counts(word_filter, counters, 2), schema), "pairs")
+    longer = summed(shards.mapInArrow(_counts(word_filter, frequent_filter(pairs), LONGEST), schema), "longer")
     found = words.unionByName(pairs).unionByName(longer)
     return found.select("lang", "phrase", F.size(F.split("phrase", " ")).alias("size"), "n"), totals
 
