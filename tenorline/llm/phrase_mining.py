@@ -7,12 +7,12 @@ of the rows of an interval extends all phrases of a length at once, to the left
 index and to the right through the other, and either step moves both intervals. Counts are
 interval lengths; they are summed across shards.
 
-No phrase is more frequent than its parts, so pairs are counted only of words that are
-frequent overall, and longer phrases only where all pairs of neighbours are. What is frequent
-reaches the shards as a Bloom filter of bounded size. Most pairs are rare: before pairs are
-counted by name, all shards add theirs to hashed counters, and only pairs whose counter is
-large enough follow. Errors of filters and counters let more phrases be counted than need
-be, and the sums decide, so no phrase is lost at any size.
+No phrase is more frequent than its parts, so a phrase is counted only if its words are
+frequent overall, longer ones only if all their pairs and triples of neighbours are. What is
+frequent reaches the shards as a Bloom filter of bounded size. Most pairs and triples are
+rare: before they are counted by name, all shards add theirs to hashed counters, and only
+those whose counter is large enough follow. Errors of filters and counters let more phrases
+be counted than need be, and the sums decide, so no phrase is lost at any size.
 """
 
 from __future__ import annotations
@@ -37,7 +37,7 @@ DEPTH = 6
 FILTER_BITS, MOST_BITS = 16, 1 << 28
 #: Shards, megabytes each, that Python gets at once.
 SHARDS_AT_ONCE = 2
-#: Words per hashed counter of pairs, and counters that one task adds up at once.
+#: Words per hashed counter of pairs or triples, and counters that one task adds up at once.
 COUNTER_WORDS, COUNTERS = 16, 1 << 16
 
 #: Ends of pieces become line feeds, tabs become blanks, A-Z lower case.
@@ -167,8 +167,12 @@ def _places(hashes: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     return _mixed(hashes) & mask, _mixed(hashes + _STEP) & mask
 
 
-def _pairs(first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    return _mixed(first) * _STEP + second
+def _phrase_hashes(parts: list[np.ndarray]) -> np.ndarray:
+    """Hashes of phrases from those of their words, one array per word."""
+    h = parts[0]
+    for part in parts[1:]:
+        h = _mixed(h) * _STEP + part
+    return h
 
 
 def frequent_filter(frequent: DataFrame) -> Filter:
@@ -183,7 +187,7 @@ def frequent_filter(frequent: DataFrame) -> Filter:
             hashes = []
             for lang, phrase in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 each = _word_hashes(lang, phrase.split(" "))
-                hashes.append(each[0] if len(each) == 1 else _pairs(each[:1], each[1:])[0])
+                hashes.append(_phrase_hashes([each[k:k + 1] for k in range(len(each))])[0])
             places = np.concatenate(_places(np.array(hashes, np.uint64), size))
             word, value = places >> np.uint64(6), np.uint64(1) << (places & np.uint64(63))
             yield pa.RecordBatch.from_arrays([pa.array(word.astype(np.int64)), pa.array(value.view(np.int64))],
@@ -197,7 +201,7 @@ def frequent_filter(frequent: DataFrame) -> Filter:
 
 
 class Counters:
-    """One bit per hashed counter of pairs, set where it reached the least count."""
+    """One bit per hashed counter of phrases, set where it reached the least count."""
 
     def __init__(self, bits: np.ndarray):
         self.bits = bits
@@ -311,16 +315,42 @@ def _opened(shards: Iterator[pa.RecordBatch], words: Filter) -> Iterator[tuple]:
             yield lang, names, hashes, wanted, index
 
 
-def _pair_counters(words: Filter, size: int):
-    """(part, gaps, counts): for each shard and part of the counters what its pairs add to them.
-    A shard adds 255 to a counter at most, more than any pair needs to be counted by name."""
+def _grown(opened: tuple, pairs, triples, longest: int) -> Iterator[Intervals]:
+    """The phrases of two words, of three and so on, whose words may be frequent and whose pairs
+    and triples, if given, may be. Steps to the left and to the right take turns."""
+    _, _, hashes, wanted, index = opened
+
+    def allowed(now: Intervals, left: bool):
+        def check(group, new):
+            ends = now.words[group, :2] if left else now.words[group, -2:]
+            words = [new, *ends.T] if left else [*ends.T, new]
+            ok = wanted[new]
+            if pairs is not None:
+                ok = ok & pairs.maybe(_phrase_hashes([hashes[w] for w in (words[:2] if left else words[-2:])]))
+            if triples is not None and len(words) == 3:
+                ok = ok & triples.maybe(_phrase_hashes([hashes[w] for w in words]))
+            return ok
+
+        return check
+
+    now, left = index.words(wanted), True
+    for _ in range(2, longest + 1):
+        now = index.extended(now, allowed(now, left), left)
+        left = not left
+        yield now
+
+
+def _added(words: Filter, pairs: Filter | None, length: int, size: int):
+    """(part, gaps, counts): for each shard and part of the counters what its phrases of ``length``
+    words add to them. A shard adds 255 to a counter at most, which is enough for any phrase."""
 
     def run(shards: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, _, hashes, wanted, index in _opened(shards, words):
-            pairs = index.extended(index.words(wanted), lambda group, new: wanted[new], True)
-            place = _mixed(_pairs(hashes[pairs.words[:, 0]], hashes[pairs.words[:, 1]])) & np.uint64(size - 1)
+        for opened in _opened(shards, words):
+            hashes = opened[2]
+            *_, now = _grown(opened, pairs, None, length)
+            place = _mixed(_phrase_hashes([hashes[w] for w in now.words.T])) & np.uint64(size - 1)
             place, of = np.unique(place.astype(np.int64), return_inverse=True)
-            count = np.minimum(np.bincount(of, pairs.count, len(place)), 255).astype(np.uint8)
+            count = np.minimum(np.bincount(of, now.count, len(place)), 255).astype(np.uint8)
             part = place // COUNTERS
             start = np.flatnonzero(np.diff(part, prepend=-1))
             rows = []
@@ -332,13 +362,13 @@ def _pair_counters(words: Filter, size: int):
     return run
 
 
-def large_counters(shards: DataFrame, words: Filter, total: int, least: int) -> Counters:
-    """The counters of pairs that reach ``least``. There is one for every ``COUNTER_WORDS`` of the
-    ``total`` words, up to ``MOST_BITS``; the driver gets one bit of each."""
+def large_counters(shards: DataFrame, words: Filter, pairs: Filter | None, length: int, total: int, least: int) -> Counters:
+    """The counters of phrases of ``length`` words that reach ``least``. There is one for every
+    ``COUNTER_WORDS`` of the ``total`` words, up to ``MOST_BITS``; the driver gets one bit of each."""
     size = COUNTERS
     while size < min(MOST_BITS, total // COUNTER_WORDS):
         size *= 2
-    parts = (shards.mapInArrow(_pair_counters(words, size), "part int, gaps binary, counts binary")
+    parts = (shards.mapInArrow(_added(words, pairs, length, size), "part int, gaps binary, counts binary")
              .repartition("part").sortWithinPartitions("part").mapInArrow(_added_up(min(least, 255)), "part int, bits binary"))
     bits = np.zeros(size // 8, np.uint8)
     for part, reached in zip(*written(parts, "counters", SHARDS_AT_ONCE).toArrow().columns):
@@ -347,26 +377,16 @@ def large_counters(shards: DataFrame, words: Filter, total: int, least: int) ->
     return Counters(bits)
 
 
-def _counts(words: Filter, pairs: Filter | Counters, longest: int):
-    """(lang, phrase, n): all phrases of two words that may be frequent, or with a longer ``longest``
-    those of three and more."""
+def _counts(words: Filter, pairs: Filter | Counters, triples: Counters | None):
+    """(lang, phrase, n): all phrases of two words that may be frequent, or with ``triples`` those of
+    three and more."""
 
     def run(shards: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for lang, names, hashes, wanted, index in _opened(shards, words):
-
-            def allowed(now: Intervals, left: bool):
-                def check(group, new):
-                    side = now.words[group, 0 if left else -1]
-                    a, b = (new, side) if left else (side, new)
-                    return wanted[new] & pairs.maybe(_pairs(hashes[a], hashes[b]))
-
-                return check
-
-            now, left = index.words(wanted), True
-            for length in range(2, longest + 1):
-                now = index.extended(now, allowed(now, left), left)
-                left = not left
-                for at in range(0, len(now.count) if length > 2 or longest == 2 else 0, 20_000):
+        for opened in _opened(shards, words):
+            lang, names = opened[:2]
+            for now in _grown(opened, pairs, triples, 2 if triples is None else LONGEST):
+                wanted = triples is None or now.words.shape[1] > 2
+                for at in range(0, len(now.count) if wanted else 0, 20_000):
                     rows = now.words[at:at + 20_000].tolist()
                     phrases = [" ".join([names[w - 1] for w in row]) for row in rows]
                     yield pa.RecordBatch.from_arrays(
@@ -399,9 +419,11 @@ def frequent_phrases(docs: DataFrame, lang_col: str = "lang", text_col: str = "t
     words = summed(seen.select("lang", F.col("w.words").alias("phrase"), "w.n"), "words")
     word_filter = frequent_filter(words)
     total = totals.agg(F.sum("total")).first()[0] or 0
-    counters = large_counters(shards, word_filter, total, least)
-    pairs = summed(shards.mapInArrow(_counts(word_filter, counters, 2), schema), "pairs")
-    longer = summed(shards.mapInArrow(_counts(word_filter, frequent_filter(pairs), LONGEST), schema), "longer")
+    pair_counters = large_counters(shards, word_filter, None, 2, total, least)
+    pairs = summed(shards.mapInArrow(_counts(word_filter, pair_counters, None), schema), "pairs")
+    pair_filter = frequent_filter(pairs)
+    triple_counters = large_counters(shards, word_filter, pair_filter, 3, total, least)
+    longer = summed(shards.mapInArrow(_counts(word_filter, pair_filter, triple_counters), schema), "longer")
     found = words.unionByName(pairs).unionByName(longer)
     return found.select("lang", "phrase", F.size(F.split("phrase", " ")).alias("size"), "n"), totals
 
