@@ -20,6 +20,7 @@ from __future__ import annotations
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -30,13 +31,13 @@ from tenorline.llm.shared import written
 
 LONGEST, LEAST, BEST = 5, 100, 2000
 #: Words of one language in a shard at most, beyond its last document.
-SHARD_WORDS = 1 << 17
+SHARD_WORDS = 1 << 18
 #: Rows order by this many symbols at least, which suffices for phrases up to this length.
 DEPTH = 6
 #: Bits of a Bloom filter per entry, and at most (32 MB).
 FILTER_BITS, MOST_BITS = 16, 1 << 28
 #: Shards, a megabyte each, that Python gets at once.
-SHARDS_AT_ONCE = 8
+SHARDS_AT_ONCE = 4
 #: Words per hashed counter of pairs or triples, and counters that one task adds up at once.
 COUNTER_WORDS, COUNTERS = 16, 1 << 16
 
@@ -253,7 +254,14 @@ class Index:
     def __init__(self, forward: np.ndarray, backward: np.ndarray, symbols: int):
         self.before, self.behind = forward, backward
         self.first = np.concatenate(([0], np.cumsum(np.bincount(forward, minlength=symbols)))).astype(np.int32)
-        self.last, self.next = self._steps(forward), self._steps(backward)
+
+    @cached_property
+    def last(self) -> np.ndarray:
+        return self._steps(self.before)
+
+    @cached_property
+    def next(self) -> np.ndarray:
+        return self._steps(self.behind)
 
     def _steps(self, symbols: np.ndarray) -> np.ndarray:
         rows = np.arange(len(symbols), dtype=np.int32)

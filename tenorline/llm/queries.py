@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tenorline.llm import (
     fingerprints, itq_neighbours, language_id, merkle_manifest, minhash_dedup, mixing, packing, phrase_mining, sanitise, secret_scan, site_quality,
-    url_filter,
+    substring_dedup, url_filter,
 )
 from tenorline.llm.labelled_urls import LABELLED
 
@@ -83,6 +83,10 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrase_mining.collocations(table(spark, sf_dir, "documents"))
 
 
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The manifest, and every proof folded from a leaf that a fifth of the texts no longer match."""
     docs = table(spark, sf_dir, "documents")
@@ -106,6 +110,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_url_filter": op9_url_filter,
     "op10_poisson_mix": op10_poisson_mix,
     "op11_collocations": op11_collocations,
+    "op12_substring_dedup": op12_substring_dedup,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
@@ -114,5 +119,6 @@ ORACLES: dict[str, str] = {
     "op5_itq_neighbours": itq_neighbours.ORACLE,
     "op10_poisson_mix": mixing.ORACLE,
     "op11_collocations": phrase_mining.ORACLE,
+    "op12_substring_dedup": substring_dedup.ORACLE,
     "op13_merkle_manifest": merkle_manifest.ORACLE,
 }
