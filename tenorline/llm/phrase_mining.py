@@ -31,13 +31,13 @@ from tenorline.llm.shared import written
 
 LONGEST, LEAST, BEST = 5, 100, 2000
 #: Words of one language in a shard at most, beyond its last document.
-SHARD_WORDS = 1 << 18
+SHARD_WORDS = 1 << 19
 #: Rows order by this many symbols at least, which suffices for phrases up to this length.
 DEPTH = 6
 #: Bits of a Bloom filter per entry, and at most (32 MB).
 FILTER_BITS, MOST_BITS = 16, 1 << 28
-#: Shards, a megabyte each, that Python gets at once.
-SHARDS_AT_ONCE = 4
+#: Shards, megabytes each, that Python gets at once.
+SHARDS_AT_ONCE = 2
 #: Words per hashed counter of pairs or triples, and counters that one task adds up at once.
 COUNTER_WORDS, COUNTERS = 16, 1 << 16
 

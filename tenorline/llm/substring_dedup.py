@@ -31,7 +31,7 @@ from hashlib import sha256
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tenorline.llm.shared import broadcast_if_small, written
 
@@ -329,11 +329,6 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["first", "own_tag", "n_removed", "kept"])
 
 
-def _moved(spans, start) -> Column:
-    """Spans within a segment as spans of the document."""
-    return F.transform(spans, lambda s: F.struct((start + s["first"]).alias("first"), (start + s["behind"]).alias("behind"))).cast(_SPANS)
-
-
 def _texts(docs: DataFrame, keys: DataFrame) -> DataFrame:
     """(doc_id, tag, text) of the documents that ``keys`` (doc_id, tag), a written table, names, once each."""
     few = broadcast_if_small(keys.select("doc_id", "tag").distinct(), MOST_BROADCAST)
@@ -377,15 +372,21 @@ def duplicate_spans(docs: DataFrame, most_segments: int = MOST_SEGMENTS) -> tupl
     matched = (windows.join(earliest, "digest").filter("earliest < doc_id")
                .select("doc_id", "anchor", "segment",
                        F.array(F.struct(F.col("at").alias("first"), (F.col("at") + WINDOW).alias("behind"))).cast(_SPANS).alias("spans")))
-    found = parsed.unionByName(matched).groupBy("doc_id", "anchor", "segment").agg(F.flatten(F.collect_list("spans")).alias("spans"))
-    found = written(found, "found")
-
-    # Spans of the first document of a segment, wherever it stands there, and of all later ones.
-    later = distinct.filter("again").select("anchor", "segment", F.col("doc_id").alias("_first"))
-    whole = placed.join(later, ["anchor", "segment"]).filter("doc_id > _first").select(
-        "doc_id", "tag", _moved(F.array(F.struct(F.lit(0).alias("first"), F.col("words").alias("behind"))), F.col("start")).alias("spans"))
-    in_first = placed.join(found, ["doc_id", "anchor", "segment"]).select("doc_id", "tag", _moved(F.col("spans"), F.col("start")).alias("spans"))
-    spans = whole.unionByName(in_first).groupBy("doc_id", "tag").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    found = written(parsed.unionByName(matched), "found")
+
+    # The first document of a segment loses what was found there, wherever the segment stands in
+    # it, and all later documents the whole segment.
+    nothing = F.array().cast(_SPANS)
+    later = distinct.filter("again").select("doc_id", "anchor", "segment", nothing.alias("spans"))
+    marked = later.unionByName(found).groupBy("anchor", "segment").agg(
+        F.min("doc_id").alias("_first"), F.flatten(F.collect_list("spans")).alias("_spans"))
+    whole = F.array(F.struct(F.lit(0).alias("first"), F.col("words").alias("behind"))).cast(_SPANS)
+    spans = (placed.join(marked, ["anchor", "segment"])
+             .select("doc_id", "tag", "start", F.when(F.col("doc_id") > F.col("_first"), whole).otherwise(F.col("_spans")).alias("spans"))
+             .filter(F.size("spans") > 0)
+             .select("doc_id", "tag", F.transform("spans", lambda s: F.struct(
+                 (F.col("start") + s["first"]).alias("first"), (F.col("start") + s["behind"]).alias("behind"))).cast(_SPANS).alias("spans"))
+             .groupBy("doc_id", "tag").agg(F.flatten(F.collect_list("spans")).alias("spans")))
     return named, written(spans, "spans")
 
 
