@@ -1,11 +1,14 @@
-"""New York session rules as column expressions over a date.
+"""Session calendars: New York by rule, any other exchange by its list of days.
 
-Sessions are decided by rule, so a calendar needs no join: explode a date range
-and filter. Valid from 1995 on; early closes and unscheduled closures as known.
+New York sessions are decided by column expressions over a date, so that calendar needs no
+join: explode a date range and filter. Valid from 1995 on; early closes and unscheduled
+closures as known. ``ExchangeCalendar`` has closures and short days as tables.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 ZONE = "America/New_York"
@@ -98,9 +101,9 @@ def _close_minute(d: Column) -> Column:
     return minute.otherwise(CLOSE_MINUTE)
 
 
-def _instant(d: Column, minute: Column) -> Column:
+def _instant(d: Column, minute: Column, zone: str = ZONE) -> Column:
     local = F.timestamp_seconds(F.unix_date(d).cast("long") * 86_400 + minute * 60)
-    return F.to_utc_timestamp(local, ZONE)
+    return F.to_utc_timestamp(local, zone)
 
 
 def session_open(d: Column) -> Column:
@@ -120,19 +123,51 @@ def last_session_on_or_before(d: Column) -> Column:
     return F.when(_session_rule(d), d).otherwise(F.array_max(F.filter(earlier, _session_rule)))
 
 
-def sessions_in(ranges: DataFrame, start: str, end: str, name: str = "session") -> DataFrame:
+@dataclass(frozen=True)
+class ExchangeCalendar:
+    """An exchange whose calendar is data: ``closures`` (day) are dates without a session besides the
+    ``weekend`` (Monday = 0), ``short_days`` (day, minute) close at another minute after local
+    midnight. Both hold one row per such date, a few hundred in all; repeated rows count once.
+    """
+
+    zone: str
+    open_minute: int
+    close_minute: int
+    closures: DataFrame
+    short_days: DataFrame
+    weekend: tuple[int, ...] = (5, 6)
+
+    def sessions(self, days: DataFrame, name: str) -> DataFrame:
+        """The rows of ``days`` whose date in column ``name`` is a session."""
+        closed = self.closures.select(F.col("day").cast("date").alias(name))
+        return days.filter(~F.weekday(name).isin(*self.weekend)).join(closed, name, "left_anti").select(*days.columns)
+
+    def with_instants(self, sessions: DataFrame, name: str) -> DataFrame:
+        short = self.short_days.groupBy(F.col("day").cast("date").alias(name)).agg(F.min("minute").alias("_minute"))
+        minute = F.coalesce("_minute", F.lit(self.close_minute))
+        return sessions.join(short, name, "left").select(
+            *sessions.columns, _instant(F.col(name), F.lit(self.open_minute), self.zone).alias("market_open"),
+            _instant(F.col(name), minute, self.zone).alias("market_close"))
+
+
+def sessions_in(ranges: DataFrame, start: str, end: str, name: str = "session",
+                calendar: ExchangeCalendar | None = None) -> DataFrame:
     """Each row of ``ranges`` repeated for its sessions, both ends included.
 
-    A narrow explode-and-filter: no shuffle, no join, no driver loop.
+    By the New York rule a narrow explode-and-filter: no shuffle, no join, no driver loop.
+    With a ``calendar`` the days also meet its closures.
     """
     ok = ranges.filter(F.col(start) <= F.col(end))
     days = ok.withColumn(name, F.explode(F.sequence(F.to_date(start), F.to_date(end))))
-    return days.filter(_session_rule(F.col(name)))
+    return calendar.sessions(days, name) if calendar else days.filter(_session_rule(F.col(name)))
 
 
-def market_schedule(ranges: DataFrame, start: str, end: str) -> DataFrame:
+def market_schedule(ranges: DataFrame, start: str, end: str, calendar: ExchangeCalendar | None = None) -> DataFrame:
     """``sessions_in`` plus the opening and closing instants."""
-    return sessions_in(ranges, start, end).withColumns({
+    sessions = sessions_in(ranges, start, end, calendar=calendar)
+    if calendar:
+        return calendar.with_instants(sessions, "session")
+    return sessions.withColumns({
         "market_open": session_open(F.col("session")),
         "market_close": session_close(F.col("session")),
     })

@@ -70,6 +70,21 @@ def upsert(target: DataFrame, source: DataFrame, key: Sequence[str], order: Sequ
     return untouched.unionByName(latest.select(*keep), allowMissingColumns=True)
 
 
+def patch(target: DataFrame, source: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Field-by-field upsert: a matched target row takes each field that the source gives and
+    keeps the stored one where the source is null or lacks the column. Rows with a new key are
+    added. Of a batch the latest value by ``order`` that is not null wins, per field.
+
+    Columns of ``source`` that the target lacks raise, but for those of ``order``.
+    """
+    key, at = list(key), F.struct(*order)
+    fields = [c for c in insert_columns(source, target, order) if c not in key]
+    given = source.groupBy(*key).agg(*[
+        F.max_by(c, F.when(F.col(c).isNotNull(), at)).alias(f"_given_{c}") for c in fields] or [F.count(F.lit(1)).alias("_n")])
+    return target.join(given, key, "full_outer").select(*[
+        F.coalesce(f"_given_{c}", c).alias(c) if c in fields else c for c in target.columns])
+
+
 def split_by_id(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rows without an id, to insert; rows with one, to upsert)."""
     return rows.filter(F.col("id").isNull()).drop("id"), rows.filter(F.col("id").isNotNull())

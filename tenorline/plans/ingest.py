@@ -7,6 +7,9 @@ One rule holds for all: a response that gives a price, or says that there is no
 data, answers a quote. Answered quotes are ``fetched``, those without data with
 null prices. Quotes that nobody has answered yet are neither written nor marked,
 so they are asked for again, and a stored price is never replaced by nothing.
+
+A quote may be priced before the price of its underlying has landed. It is stored without
+derived values, and ``late_spot`` gives them once the underlying's price is there.
 """
 
 from __future__ import annotations
@@ -114,6 +117,16 @@ def atm_vintage_refresh(vintages: DataFrame, stock_quotes: DataFrame, contracts:
     return enrich(wanted.join(_priced(landed), KEY), stock_quotes).withColumn("fetched", F.lit(True))
 
 
+def late_spot(stored: DataFrame, stock_quotes: DataFrame) -> DataFrame:
+    """Stored option quotes that are priced but have no derived values, with those that the
+    underlying's price, now known, gives. Quotes still without one, or whose price gives no
+    volatility, are not among them, so a second run finds nothing.
+    """
+    pending = stored.filter("fetched and close is not null and iv is null")
+    known = stock_quotes.filter("fetched and close is not null")
+    return enrich(pending, known).filter("iv is not null")
+
+
 def contract_prices(contracts: DataFrame, landed: DataFrame) -> DataFrame:
     """Daily bars of unexpired contracts with their terms, ready for the CSV export.
 

@@ -150,6 +150,12 @@ class QuoteStore:
         once = with_natural_id(rows.drop("sd", "ed").dropDuplicates(["ticker", "dt"]), OPTION_KEY)
         self._replace("option_quotes", once, OPTION_QUOTES)
 
+    def derive_late(self, first: date, last: date) -> None:
+        """Derived values for the quotes from ``first`` to ``last`` that were priced before their
+        underlying."""
+        options, stocks = (between_days(table, first, last).drop(DAY) for table in (self.option_quotes, self.stock_quotes))
+        self._replace("option_quotes", ingest.late_spot(options, stocks), OPTION_QUOTES)
+
     def generate_spreads(self, first: date, last: date, gaps=GAPS) -> None:
         """Calendar spreads of all sessions from ``first`` to ``last``, but for those that
         ``doubled_quotes`` lists.

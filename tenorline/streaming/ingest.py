@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
+from datetime import UTC, datetime, time, timedelta
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from tenorline.sinks.parquet_tables import append_new, upsert_rows
-from tenorline.sources.vendor_json import LANDED_BAR
+from tenorline.operators.contracts import TERMS
+from tenorline.sinks.parquet_tables import append_new, patch_rows, upsert_rows
+from tenorline.sources.vendor_json import LANDED_BAR, parse_contracts
 
 
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
@@ -70,6 +74,46 @@ def upsert_into(stream: DataFrame, path: str, key: Sequence[str], order: Sequenc
         batch.sparkSession, path, batch, key, order))
 
 
+def patch_into(stream: DataFrame, path: str, key: Sequence[str], order: Sequence[str],
+               checkpoint: str) -> StreamingQuery:
+    """Field-by-field upsert of every batch; a replay writes the same fields again."""
+    return _each_batch(stream, checkpoint, lambda batch: patch_rows(
+        batch.sparkSession, path, batch, key, order))
+
+
+LANDED_CONTRACTS = T.StructType([T.StructField("dt", T.DateType()), T.StructField("body", T.StringType())])
+LISTED = "ticker string, underlying_ticker string, option_type string, strike double, exp_date date, listed date"
+_KEPT = timedelta(days=1)
+
+
+def _first_listing(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """Keeps the earliest day a contract was listed on, until it has expired."""
+    if state.hasTimedOut:
+        state.remove()
+        return
+    earliest = min(batch["listed"].min() for batch in batches)
+    if state.exists and state.get[0] <= earliest:
+        return
+    state.update((earliest,))
+    expired = datetime.combine(key[-1] or earliest, time.min, UTC) + _KEPT
+    state.setTimeoutTimestamp(max(int(expired.timestamp() * 1000), state.getCurrentWatermarkMs() + 1))
+    yield pd.DataFrame([(*key, earliest)], columns=["ticker", *TERMS, "listed"])
+
+
+def first_listings(landed: DataFrame, delay: str = "10 days") -> DataFrame:
+    """Contract-list responses (dt, body) as a stream to (ticker, terms, listed): a contract is
+    given out once, when its first listing arrives, and again only if one of an earlier day
+    arrives after it, so the least ``listed`` of what was given out is the first.
+
+    State is one day per contract, forgotten once the watermark, ``delay`` behind the latest
+    listing, has passed its expiry.
+    """
+    listings = (parse_contracts(landed).withColumnRenamed("dt", "listed")
+                .withColumn("_at", F.col("listed").cast("timestamp")).withWatermark("_at", delay))
+    return listings.groupBy("ticker", *TERMS).applyInPandasWithState(
+        _first_listing, LISTED, "listed date", "append", GroupStateTimeout.EventTimeTimeout)
+
+
 def dedupe(stream: DataFrame, key: Sequence[str], event_time: str, delay: str) -> DataFrame:
     """First arrival per key; keys are forgotten once the watermark has passed them."""
     return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(key))

@@ -32,6 +32,19 @@ SHORT_SQL = "(values " + ", ".join(
         ("2000-11-24", 780), ("2001-07-03", 780), ("2001-11-23", 780), ("2001-12-24", 780),
     )) + ")"
 
+# London bank holidays of the same years, and days that close at 12:30.
+LONDON_CLOSED = """
+1994-12-26 1994-12-27
+1995-01-02 1995-04-14 1995-04-17 1995-05-08 1995-05-29 1995-08-28 1995-12-25 1995-12-26
+1996-01-01 1996-04-05 1996-04-08 1996-05-06 1996-05-27 1996-08-26 1996-12-25 1996-12-26
+1997-01-01 1997-03-28 1997-03-31 1997-05-05 1997-05-26 1997-08-25 1997-12-25 1997-12-26
+1998-01-01 1998-04-10 1998-04-13 1998-05-04 1998-05-25 1998-08-31 1998-12-25 1998-12-28
+1999-01-01 1999-04-02 1999-04-05 1999-05-03 1999-05-31 1999-08-30 1999-12-27 1999-12-28 1999-12-31
+2000-01-03 2000-04-21 2000-04-24 2000-05-01 2000-05-29 2000-08-28 2000-12-25 2000-12-26
+2001-01-01 2001-04-13 2001-04-16 2001-05-07 2001-05-28 2001-08-27 2001-12-25 2001-12-26
+""".split()
+LONDON_SHORT = "1996-12-24 1996-12-31 1997-12-24 1997-12-31 1998-12-24 1998-12-31 1999-12-24 2001-12-24".split()
+
 # Every day of the tables' years: session or not, and its closing instant in UTC.
 DAYS_SQL = f"""
 days as (

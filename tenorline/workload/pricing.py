@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tenorline.functions import sql
 from tenorline.functions.black_scholes import Terms, with_greeks, with_price, year_fraction
 from tenorline.operators.enrich import add_implied_vol, enrich
 from tenorline.operators.spot import attach_spot
@@ -99,6 +100,19 @@ def implied_vol_round_trip(t: Tables):
     return add_implied_vol(at_model_price(t).drop("iv")).select("id", F.round("iv", 4).alias("iv"))
 
 
+@query("sql_implied_vol", f"""
+with {MODEL_SQL}, {TOLD_SQL}
+select id, round(case when told then v end, 4) as iv from told
+""")
+def sql_implied_vol(t: Tables):
+    """The same inversion, called from SQL text."""
+    sql.register(t.spark)
+    quotes = at_model_price(t).select("id", "close", "spot", "strike", "years", "option_type")
+    return t.spark.sql("""
+        select id, round(implied_vol(double(close), double(spot), double(strike), double(years), option_type), 4) as iv
+        from {quotes}""", quotes=quotes)
+
+
 @query("enrich_quotes", f"""
 with {MODEL_SQL}, {TOLD_SQL}
 select q.id, cast(q.dt as timestamp) as dt, q.ticker, s.close as spot,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tenorline.functions import dates, strikes, symbols, values
+from tenorline.functions import dates, sql, strikes, symbols, values
 from tenorline.functions.legs import mid_and_width, quote_diffs
 from tenorline.functions.trading_days import session_close
 from tenorline.operators.contracts import contracts_on_days
@@ -52,6 +52,28 @@ def year_week(t: Tables):
     return order_day(t).select("o_orderkey", dates.year_week(F.col("d")).alias("year_week"))
 
 
+@query("sql_functions", """
+select event_id, strftime(ts, '%Y-%W') as year_week,
+       cast(cast(ceil((day(ts) + extract(isodow from date_trunc('month', ts)) % 7) / 7.0) as int) as varchar)
+         as week_of_month,
+       case extract(isodow from ts) when 1 then 'A' when 2 then 'B' when 3 then 'C' when 4 then 'D' when 5 then 'EW' end
+         || cast(cast(ceil((day(ts) + extract(isodow from date_trunc('month', ts)) % 7) / 7.0) as int) as varchar)
+         as expiry_code,
+       date_trunc('milliseconds', ts) as at_ms,
+       split_part(symbol, '_', 1) as underlying, cast(substring(split_part(symbol, '_', 2), 8) as double) as strike,
+       lower(substring(split_part(symbol, '_', 2), 7, 1)) as call_put
+from (select r.*, e.ts from raw_samples r join events e on e.event_id = r.event_id) x
+""")
+def sql_functions(t: Tables):
+    """The functions called from SQL text."""
+    sql.register(t.spark)
+    return t.spark.sql("""
+        select event_id, year_week(cast(sample_ts as date)) as year_week, week_of_month(cast(sample_ts as date)) as week_of_month,
+               expiry_code(cast(sample_ts as date)) as expiry_code, from_epoch_ms(unix_millis(cast(sample_ts as timestamp))) as at_ms,
+               symbol_underlying(symbol) as underlying, symbol_strike(symbol) as strike, symbol_call_put(symbol) as call_put
+        from {samples}""", samples=t.raw_samples)
+
+
 @query("epoch_ms_columns", """
 select symbol, epoch_ms("expirationDate") as "expirationDate",
        epoch_ms("lastTradingDay") as "lastTradingDay",

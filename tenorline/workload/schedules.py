@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, functions as F
 
 from tenorline.functions.trading_days import (
-    closed_by, date_chunks, market_schedule, session_close,
+    ExchangeCalendar, closed_by, date_chunks, market_schedule, session_close,
 )
 from tenorline.operators.contracts import (
     atm_vintage, contract_sessions, contracts_to_ingest, nth_session, option_worklist,
@@ -18,7 +18,7 @@ from tenorline.operators.worklist import (
 )
 from tenorline.operators.merge import new_rows
 from tenorline.schema import OPTION_KEY
-from tenorline.workload.dates import AS_OF, DAYS_SQL, RANGE
+from tenorline.workload.dates import AS_OF, DAYS_SQL, LONDON_CLOSED, LONDON_SHORT, RANGE
 from tenorline.workload.registry import query
 from tenorline.workload.views import Tables
 
@@ -43,6 +43,31 @@ def market_calendar(t: Tables):
         "ticker", "session", "market_open", "market_close")
 
 
+def london(t: Tables) -> ExchangeCalendar:
+    days = lambda names: t.spark.createDataFrame([(d,) for d in names], "day string")
+    return ExchangeCalendar("Europe/London", 8 * 60, 16 * 60 + 30, days(LONDON_CLOSED),
+                            days(LONDON_SHORT).withColumn("minute", F.lit(12 * 60 + 30)))
+
+
+def _days(names) -> str:
+    return ", ".join(f"date '{d}'" for d in names)
+
+
+@query("market_calendar_london", f"""
+with {RANGES_SQL}, days as (
+  select cast(g as date) as d,
+         cast(timezone('UTC', timezone('Europe/London', g + to_minutes(480))) as timestamp) as market_open,
+         cast(timezone('UTC', timezone('Europe/London', g + to_minutes(
+           case when cast(g as date) in ({_days(LONDON_SHORT)}) then 750 else 990 end))) as timestamp) as market_close
+  from generate_series(timestamp '1994-12-20', timestamp '2001-12-31', interval 1 day) t(g)
+  where extract(isodow from g) < 6 and cast(g as date) not in ({_days(LONDON_CLOSED)}))
+select ticker, cast(d as varchar) as session, market_open, market_close from ranges join days on d between sd and ed
+""")
+def market_calendar_london(t: Tables):
+    """Another exchange, whose closures and short days are tables."""
+    return market_schedule(ranges(t), "sd", "ed", london(t)).select("ticker", "session", "market_open", "market_close")
+
+
 @query("market_closes", f"""
 with {DAYS_SQL}, {RANGES_SQL}
 select ticker, close_at as dt from ranges join days on d between sd and ed where is_session

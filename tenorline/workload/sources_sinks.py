@@ -8,11 +8,11 @@ from tenorline.functions.dates import exp_weekday
 from tenorline.operators.bars import aggregate_bars
 from tenorline.operators.contracts import terms_as_of
 from tenorline.operators.filters import on_day
-from tenorline.operators.merge import insert_ignore, key_violations, split_by_id, upsert
+from tenorline.operators.merge import insert_ignore, key_violations, patch, split_by_id, upsert
 from tenorline.schema import normalize_layout
 from tenorline.session import scratch_dir
 from tenorline.sinks.csv_export import export_csv
-from tenorline.sinks.parquet_tables import append_new, upsert_rows, write_table
+from tenorline.sinks.parquet_tables import append_new, patch_rows, upsert_rows, write_table
 from tenorline.sources.raw_samples import scan_raw
 from tenorline.sources.tables import read_csv, read_table
 from tenorline.sources.vendor_json import parse_aggregate_bars, parse_contracts, parse_daily_bars
@@ -168,11 +168,48 @@ from ticks t join lasts l on t.ticker = l.ticker and t.dt = l.dt
 group by t.ticker, t.dt
 """)
 def agg_bars(t: Tables):
-    ticks = t.table("events").select(
+    return aggregate_bars(ticks(t), "hour", 4).withColumn(
+        "volume_weighted_price", F.round("volume_weighted_price", 6))
+
+
+def ticks(t: Tables):
+    return t.table("events").select(
         F.col("event_type").alias("ticker"), "ts", F.col("event_id").alias("tick_id"),
         F.col("value").alias("price"), (F.col("user_id") % 10 + 1).alias("size"))
-    return aggregate_bars(ticks, "hour", 4).withColumn(
-        "volume_weighted_price", F.round("volume_weighted_price", 6))
+
+
+#: Time spans with a multiplier, and the start of a bar on the exchange's clock in SQL.
+SPANS = {
+    ("minute", 30): "timezone('UTC', time_bucket(interval '30 minutes', ts))",
+    ("hour", 1): "timezone('UTC', date_trunc('hour', ts))",
+    ("day", 1): "timezone('America/New_York', date_trunc('day', local))",
+    ("week", 1): "timezone('America/New_York', date_trunc('week', local))",
+    ("week", 2): "timezone('America/New_York', time_bucket(interval '14 days', local, timestamp '1970-01-05'))",
+    ("month", 1): "timezone('America/New_York', date_trunc('month', local))",
+    ("quarter", 1): "timezone('America/New_York', date_trunc('quarter', local))",
+    ("quarter", 2): "timezone('America/New_York', time_bucket(interval '6 months', local, timestamp '1970-01-01'))",
+    ("year", 1): "timezone('America/New_York', date_trunc('year', local))",
+}
+
+
+@query("agg_bars_calendar", f"""
+with ticks as (
+  select event_type as ticker, ts, timezone('America/New_York', timezone('UTC', ts)) as local, event_id,
+         value as price, user_id % 10 + 1 as size from events),
+spread as (
+  {" union all ".join(f"select '{n} {span}' as span, {start} as dt, * from ticks" for (span, n), start in SPANS.items())})
+select span, ticker, cast(timezone('UTC', dt) as timestamp) as dt, cast(sum(size) as bigint) as volume,
+       round(sum(price * size) / sum(size), 6) as volume_weighted_price,
+       arg_max(price, (ts, event_id)) as close, count(*) as transaction_number
+from spread group by span, ticker, dt
+""")
+def agg_bars_calendar(t: Tables):
+    """Bars of all time spans; those of the calendar follow New York across clock changes."""
+    bars = [aggregate_bars(ticks(t), span, n).withColumn("span", F.lit(f"{n} {span}")) for span, n in SPANS]
+    together = bars[0]
+    for more in bars[1:]:
+        together = together.unionByName(more)
+    return together.withColumn("volume_weighted_price", F.round("volume_weighted_price", 6))
 
 
 # Target and batch for the merges: quotes not known to be pending are stored, quotes
@@ -221,6 +258,38 @@ def upsert_full_row(t: Tables):
     return upsert(target_rows(t).select(*columns), source, ("id",), ("attempt",))
 
 
+# Patches: the first attempt brings a close, the second only a volume, neither has a volatility.
+
+PATCHED_SQL = f"""
+with target as ({TARGET_SQL}), batch as ({BATCH_SQL})
+select coalesce(t.id, b.id) as id, cast(coalesce(t.dt, b.dt) as timestamp) as dt, coalesce(t.ticker, b.ticker) as ticker,
+       coalesce(round(b.close + 1, 2), t.close) as close, t.iv, coalesce(b.volume + 2, t.volume) as volume
+from target t full join batch b on b.id = t.id
+"""
+PATCHED = ["id", "dt", "ticker", "close", "iv", "volume"]
+
+
+def patches(t: Tables):
+    first = F.col("attempt") == 1
+    return batch_rows(t).select(
+        "id", "dt", "ticker", F.when(first, F.col("close")).alias("close"),
+        F.when(~first, F.col("volume") + 2).alias("volume"), "attempt")
+
+
+@query("upsert_patch", PATCHED_SQL)
+def upsert_patch(t: Tables):
+    return patch(target_rows(t).select(*PATCHED), patches(t), ("id", "dt", "ticker"), ("attempt",))
+
+
+@query("store_patch", PATCHED_SQL)
+def store_patch(t: Tables):
+    """The same through a stored table, a day's partition at a time."""
+    path = scratch_dir(t.spark, "option-quotes")
+    write_table(target_rows(t).select(*PATCHED), path)
+    patch_rows(t.spark, path, patches(t), ("id", "dt", "ticker"), ("attempt",))
+    return read_table(t.spark, path).select(*PATCHED)
+
+
 @query("split_write", f"""
 with target as ({TARGET_SQL}), batch as ({BATCH_SQL})
 select cast(dt as timestamp) as dt, ticker, close, volume from target where fetched

@@ -4,16 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from tenorline.operators.contracts import listed_once
 from tenorline.session import scratch_dir
 from tenorline.sinks.parquet_tables import write_table
 from tenorline.sources.tables import read_table
 from tenorline.sources.vendor_json import parse_daily_bars
 from tenorline.streaming.ingest import (
-    dedupe, hourly_last_quote, insert_ignore_into, landed_stream, to_files, upsert_into,
+    LANDED_CONTRACTS, dedupe, first_listings, hourly_last_quote, insert_ignore_into, landed_stream, patch_into,
+    to_files, upsert_into,
 )
 from tenorline.workload.registry import query
 from tenorline.workload.sources_sinks import (
-    BATCH_SQL, TARGET_SQL, batch_rows, landed_bars, target_rows,
+    BATCH_SQL, PATCHED, PATCHED_SQL, TARGET_SQL, batch_rows, landed_bars, landed_contracts, patches, target_rows,
 )
 from tenorline.workload.views import RAW_SAMPLES, Tables
 
@@ -84,6 +86,31 @@ def stream_upsert(t: Tables):
     return read_table(t.spark, path).select(*STORED)
 
 
+@query("stream_patch", PATCHED_SQL)
+def stream_patch(t: Tables):
+    path, landed = scratch_dir(t.spark, "stream-patches"), scratch_dir(t.spark, "landed-patches")
+    rows = patches(t)
+    write_table(target_rows(t).select(*PATCHED), path)
+    rows.write.json(landed)
+    patch_into(landed_stream(t.spark, landed, rows.schema), path, ("id", "dt", "ticker"), ("attempt",),
+               scratch_dir(t.spark, "patch-checkpoint")).awaitTermination()
+    return read_table(t.spark, path).select(*PATCHED)
+
+
+@query("stream_contracts", """
+select ticker, underlying_ticker, option_type, cast(strike as double) as strike,
+       cast(exp_date as varchar) as exp_date, cast(listed as varchar) as listed
+from contracts
+""")
+def stream_contracts(t: Tables):
+    """Every contract is listed again two days after its first listing."""
+    path = scratch_dir(t.spark, "landed-contracts")
+    again = F.explode(F.array(F.col("dt"), F.date_add("dt", 2)))
+    landed_contracts(t).withColumn("dt", again).write.json(path)
+    given = run_to_table(first_listings(landed_stream(t.spark, path, LANDED_CONTRACTS)), t, "stream-contracts")
+    return listed_once(given)
+
+
 def event_stream(t: Tables) -> DataFrame:
     # As a pattern, so that the table may be one file or a folder of files.
     pattern = f"{t.sf_dir}/{{events.parquet}}"

@@ -3,7 +3,7 @@ from datetime import date, datetime
 from pyspark.sql import functions as F
 
 from tenorline.functions.trading_days import (
-    closed_by, date_chunks, easter, is_session, last_session_on_or_before, market_schedule,
+    ExchangeCalendar, closed_by, date_chunks, easter, is_session, last_session_on_or_before, market_schedule,
     session_close, sessions_in,
 )
 
@@ -77,3 +77,45 @@ def test_chunks_cover_a_range_once(spark):
     assert [(r["sd"], r["ed"]) for r in rows] == [
         (date(2022, 6, 3), date(2022, 6, 22)), (date(2022, 6, 23), date(2022, 7, 12)),
         (date(2022, 7, 13), date(2022, 8, 1))]
+
+
+def test_calendar_as_data(spark):
+    days = lambda *d: spark.createDataFrame([(x,) for x in d], "day string")
+    calendar = ExchangeCalendar("Asia/Tokyo", 9 * 60, 15 * 60, days("2022-05-03", "2022-05-03", "2022-05-04"),
+                                days("2022-05-02").withColumn("minute", F.lit(11 * 60 + 30)))
+    week = spark.createDataFrame([("X", date(2022, 4, 29), date(2022, 5, 6)), ("Y", date(2022, 5, 7), date(2022, 5, 1))],
+                                 "ticker string, sd date, ed date")
+    rows = market_schedule(week, "sd", "ed", calendar).orderBy("session").collect()
+    assert [(r["ticker"], r["session"].day, r["market_open"].hour, r["market_close"]) for r in rows] == [
+        ("X", 29, 0, datetime(2022, 4, 29, 6)), ("X", 2, 0, datetime(2022, 5, 2, 2, 30)),
+        ("X", 5, 0, datetime(2022, 5, 5, 6)), ("X", 6, 0, datetime(2022, 5, 6, 6))]
+    assert rows[0].asDict().keys() == market_schedule(week, "sd", "ed").first().asDict().keys()
+    gulf = ExchangeCalendar("Asia/Riyadh", 600, 900, days(), days().withColumn("minute", F.lit(0)), weekend=(4, 5))
+    assert [r["session"].day for r in sessions_in(week, "sd", "ed", calendar=gulf).orderBy("session").collect()] == [1, 2, 3, 4, 5]
+
+
+def test_the_rule_needs_no_join_and_prunes(spark):
+    ranges = spark.createDataFrame([(date(2022, 1, 1), date(2022, 1, 31))], "sd date, ed date")
+    plan = market_schedule(ranges, "sd", "ed")._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan
+
+
+def test_bars_follow_the_exchange_clock(spark):
+    from tenorline.operators.bars import aggregate_bars
+    at = ["2022-03-12 04:59:00", "2022-03-12 05:00:00", "2022-03-14 03:59:00", "2022-03-14 04:00:00",
+          "2022-04-01 03:59:59", "2022-04-01 04:00:00", "2023-01-01 04:59:00"]
+    ticks = spark.createDataFrame([("X", a, float(k), 1, k) for k, a in enumerate(at)],
+                                  "ticker string, at string, price double, size int, tick_id int").withColumn("ts", F.col("at").cast("timestamp"))
+
+    def starts(span, n=1):
+        return [(r["dt"].strftime("%Y-%m-%d %H"), r["transaction_number"]) for r in aggregate_bars(ticks, span, n).orderBy("dt").collect()]
+
+    # 13 March 2022 has 23 hours in New York.
+    assert starts("day")[:4] == [("2022-03-11 05", 1), ("2022-03-12 05", 1), ("2022-03-13 05", 1), ("2022-03-14 04", 1)]
+    assert starts("week")[:2] == [("2022-03-07 05", 3), ("2022-03-14 04", 1)]
+    assert starts("month") == [("2022-03-01 05", 5), ("2022-04-01 04", 1), ("2022-12-01 05", 1)]
+    assert starts("quarter") == [("2022-01-01 05", 5), ("2022-04-01 04", 1), ("2022-10-01 04", 1)]
+    assert starts("year") == [("2022-01-01 05", 7)]
+    assert starts("month", 2) == [("2022-03-01 05", 6), ("2022-11-01 04", 1)]
+    with __import__("pytest").raises(ValueError):
+        aggregate_bars(ticks, "fortnight")

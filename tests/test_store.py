@@ -292,3 +292,30 @@ def test_vintages_with_one_start_and_two_ends(spark):
     stored = spark.createDataFrame([], "ticker string, dt timestamp, close double")
     rows = atm_vintage(vintages, stock, contracts, stored, session=3)
     assert [(r["ed"], r["dt"]) for r in rows.collect()] == [(DAYS[3], closing(DAYS[2]))]
+
+
+def test_a_price_that_lands_before_its_underlying(spark, ranges, contracts):
+    """Bar first, spot later: the quote is stored and gets its derived values afterwards."""
+    late = QuoteStore(spark, scratch_dir(spark, "store"))
+    landed = option_bars(spark, contracts, DAYS, {("c435-2022-01-28", DAYS[1])})
+    late.ingest_options(contracts, landed)
+    rows = late.option_quotes
+    assert rows.filter("fetched and close is not null").count() == contracts.count() * len(DAYS) - 1
+    assert rows.filter("iv is not null").isEmpty()
+    late.derive_late(DAYS[0], DAYS[-1])
+    assert late.option_quotes.filter("iv is not null").isEmpty()
+    late.ingest_stock(ranges, spark.createDataFrame([bar("SPY", d, SPOT) for d in DAYS[:2]], LANDED))
+    for _ in range(2):
+        late.derive_late(DAYS[0], DAYS[-1])
+        derived = late.option_quotes.filter("iv is not null and delta is not null")
+        assert {r["dt"] for r in derived.collect()} == {closing(d) for d in DAYS[:2]}
+        assert late.option_quotes.count() == contracts.count() * len(DAYS)
+    late.ingest_stock(ranges, spark.createDataFrame([bar("SPY", d, SPOT) for d in DAYS], LANDED))
+    late.derive_late(DAYS[0], DAYS[-1])
+    # As if the prices had landed in order.
+    inorder = QuoteStore(spark, scratch_dir(spark, "store"))
+    inorder.ingest_stock(ranges, spark.createDataFrame([bar("SPY", d, SPOT) for d in DAYS], LANDED))
+    inorder.ingest_options(contracts, landed)
+    read = lambda s: sorted(map(str, s.option_quotes.drop("d").collect()))
+    assert read(late) == read(inorder)
+    assert all(v.isEmpty() for v in late.key_violations().values())

@@ -1,9 +1,11 @@
-from datetime import datetime
+import json
+from datetime import date, datetime
 
+from tenorline.operators.contracts import listed_once
 from tenorline.session import scratch_dir
 from tenorline.sinks.parquet_tables import write_table
 from tenorline.sources.tables import read_table
-from tenorline.streaming.ingest import hourly_last_quote, insert_ignore_into, landed_stream, to_files
+from tenorline.streaming.ingest import LANDED_CONTRACTS, first_listings, hourly_last_quote, insert_ignore_into, landed_stream, to_files
 
 SCHEMA = "id long, dt timestamp, ticker string, close double"
 KEY = ("dt", "ticker")
@@ -54,3 +56,58 @@ def test_late_samples_are_dropped(spark):
         (20, "S", 1.0)]
     assert land((4, at(20, 55), "S", 9.0), (5, at(22, 30), "S", 6.0)) == [
         (20, "S", 1.0), (21, "S", 5.0)]
+
+
+def test_a_contract_is_given_out_at_its_first_listing(spark):
+    landed = scratch_dir(spark, "landed-contracts")
+    out, checkpoint = scratch_dir(spark, "listings"), scratch_dir(spark, "checkpoint")
+
+    def land(day, *tickers, exp="2022-03-18"):
+        listed = [{"ticker": c, "underlying_ticker": "SPY", "contract_type": "call", "strike_price": 440.0,
+                   "expiration_date": exp} for c in tickers]
+        spark.createDataFrame([(day, json.dumps({"results": listed}))], "dt date, body string").write.mode("append").json(landed)
+
+    def run(out, checkpoint):
+        stream = first_listings(landed_stream(spark, landed, LANDED_CONTRACTS))
+        to_files(stream, out, checkpoint).awaitTermination()
+        return spark.read.schema(stream.schema).parquet(out)
+
+    def content(df):
+        return sorted((r["ticker"], r["listed"].day) for r in df.collect())
+
+    land(date(2022, 1, 5), "A")
+    land(date(2022, 1, 3), "A", "B")
+    assert content(run(out, checkpoint)) == [("A", 3), ("B", 3)]
+    land(date(2022, 1, 10), "A", "B", "C")  # only C is new
+    land(date(2022, 1, 11))
+    assert content(run(out, checkpoint)) == [("A", 3), ("B", 3), ("C", 10)]
+    land(date(2022, 1, 7), "C")  # an earlier day arrives late: C is given out again
+    given = run(out, checkpoint)
+    assert content(given) == [("A", 3), ("B", 3), ("C", 7), ("C", 10)]
+    assert content(listed_once(given)) == [("A", 3), ("B", 3), ("C", 7)]
+    # A lost checkpoint replays everything and comes to the same contracts.
+    again = run(scratch_dir(spark, "listings"), scratch_dir(spark, "checkpoint"))
+    assert content(listed_once(again)) == [("A", 3), ("B", 3), ("C", 7)]
+
+
+def test_expired_contracts_leave_the_state(spark):
+    landed, out, checkpoint = (scratch_dir(spark, n) for n in ("landed-contracts", "listings", "checkpoint"))
+
+    def land(day, ticker, exp):
+        body = json.dumps({"results": [{"ticker": ticker, "underlying_ticker": "SPY", "contract_type": "call",
+                                        "strike_price": 440.0, "expiration_date": exp}]})
+        spark.createDataFrame([(day, body)], "dt date, body string").write.mode("append").json(landed)
+        stream = first_listings(landed_stream(spark, landed, LANDED_CONTRACTS), delay="1 day")
+        query = to_files(stream, out, checkpoint)
+        query.awaitTermination()
+        return max(op["numRowsTotal"] for p in query.recentProgress for op in p["stateOperators"][-1:])
+
+    assert land(date(2022, 1, 3), "A", "2022-01-05") == 1
+    assert land(date(2022, 2, 3), "B", "2022-03-18") == 2
+    land(date(2022, 2, 4), "C", "2022-03-18")
+    stream = first_listings(landed_stream(spark, landed, LANDED_CONTRACTS), delay="1 day")
+    query = to_files(stream, out, checkpoint)
+    query.awaitTermination()
+    assert sorted(r["ticker"] for r in spark.read.schema(stream.schema).parquet(out).collect()) == ["A", "B", "C"]
+    progress = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+    assert not progress or progress[-1] == 2
