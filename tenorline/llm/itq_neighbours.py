@@ -186,7 +186,8 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, id_col: str = "vec_
     nodes = gathered(rows.filter("vector is not null and label is not null and vec_id is not null")
                     .groupBy("label", "vector").agg(F.min("vec_id").alias("first"), F.count(F.lit(1)).alias("copies"))
                     .withColumn("dims", (F.octet_length("vector") / np.dtype(dtype).itemsize).cast("int"))
-                    .withColumn("node", F.monotonically_increasing_id()), "nodes")
+                    .withColumn("node", F.monotonically_increasing_id()), "nodes", rows.count())
+    size = nodes.count()
 
     codes = {}
     for r in nodes.groupBy("dims").count().collect():
@@ -210,9 +211,9 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, id_col: str = "vec_
         .withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
         .select(*table, "i", "j", "block", "node", "copies", "vector", "keys")
         .repartition(*table, "i", "j").sortWithinPartitions(*table, "i", "j")
-        .mapInArrow(_meet(cosine, dtype), "node long, tied long, links long"), "links")
+        .mapInArrow(_meet(cosine, dtype), "node long, tied long, links long"), "links", size)
     links = met.groupBy("node").agg(F.sum("links").alias("links"))
-    components = connected_components(met, "node", "tied").join(nodes.select("node", "first"), "node")
+    components = connected_components(met, "node", "tied", size).join(nodes.select("node", "first"), "node")
     smallest = components.groupBy("component").agg(F.min("first").alias("component_id"))
     found = (nodes.select("label", "vector", "first", "node", "copies").join(links, "node", "left")
              .join(components.select("node", "component").join(smallest, "component"), "node", "left")

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from tenorline.llm.components import connected_components
-from tenorline.llm.shared import broadcast_if_small, gathered, in_waves, written
+from tenorline.llm.shared import broadcast_if_small, gathered, in_tasks, written
 from tenorline.llm.shingles import shingle_set
 from tenorline.llm.sorted_groups import sorted_groups
 
@@ -41,6 +41,8 @@ COORDINATES = 128
 MISSED = 1.1e-6
 #: Members of one block when documents of a list are compared among themselves.
 BLOCK = 256
+#: Keys that the members of one pivot are spread over.
+SALTS = 32
 #: Ids of documents with candidates are broadcast up to this many (8 bytes each).
 MOST_BROADCAST = 4_000_000
 
@@ -189,9 +191,12 @@ def _tied(percent: int, matches: int):
 
 def _in_blocks(members: DataFrame) -> DataFrame:
     """Members of each pivot dealt to blocks, and blocks to pairs of blocks: n members make
-    about (n / BLOCK)^2 / 2 groups of at most two blocks."""
-    blocks = members.groupBy("p_rep", "p_tag").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    return (members.join(blocks, ["p_rep", "p_tag"])
+    about (n / BLOCK)^2 / 2 groups of at most two blocks. Members meet their pivot's number of
+    blocks under one of ``SALTS`` keys, so those of a large group do so in several tasks."""
+    blocks = (members.groupBy("p_rep", "p_tag").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+              .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))))
+    salted = members.withColumn("salt", F.pmod(F.xxhash64("tag", "rep"), F.lit(SALTS)).cast("int"))
+    return (salted.join(blocks, ["p_rep", "p_tag", "salt"]).drop("salt")
             .withColumn("block", F.pmod(F.xxhash64("rep", "tag"), "blocks").cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
             .withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
@@ -225,11 +230,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     features = written(docs.mapInArrow(
         _features(width), "doc_id long, n_shingles long, digest binary, signature array<int>"), "features")
+    rows = features.count()
     nodes = gathered(
         features.filter("digest is not null and doc_id is not null").groupBy("digest")
         .agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"),
              F.first("signature").alias("signature"))
-        .withColumn("tag", F.xxhash64("digest")), "nodes")
+        .withColumn("tag", F.xxhash64("digest")), "nodes", rows)
 
     # Postings under every (coordinate, value), and the lists with at least two documents.
     post = nodes.select("rep", "tag", F.posexplode("signature").alias("coordinate", "value")).select(
@@ -241,7 +247,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .filter(F.size("lists") >= matches)
         .withColumn("prefix", F.slice("lists", F.lit(1), F.size("lists") - matches + 1)["key"])
         .select("rep", "tag", "central", "prefix")
-        .join(nodes.select("rep", "tag", "n", "signature"), ["rep", "tag"]), "active")
+        .join(nodes.select("rep", "tag", "n", "signature"), ["rep", "tag"]), "active", rows)
 
     # Within each prefix list everything meets its most central document.
     merged = active.select("rep", "tag", "central", F.explode("prefix").alias("key"))
@@ -249,7 +255,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.max(F.struct("central", (-F.col("rep")).alias("low"), "rep", "tag")).alias("p"),
         F.count(F.lit(1)).alias("size")).filter("size > 1")
         .select("key", F.col("p.rep").alias("p_rep"), F.col("p.tag").alias("p_tag")))
-    met = gathered(merged.join(pivots, "key").select("p_rep", "p_tag", "rep", "tag").distinct(), "met")
+    met = gathered(merged.join(pivots, "key").select("p_rep", "p_tag", "rep", "tag").distinct(), "met", rows)
 
     ids = broadcast_if_small(active.select("rep").distinct(), MOST_BROADCAST)
     sets = gathered(
@@ -257,7 +263,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .mapInArrow(_sets(width), "rep long, digest binary, hashes binary")
         .withColumn("tag", F.xxhash64("digest"))
         .join(active.select("rep", "tag"), ["rep", "tag"], "left_semi")
-        .select("rep", "tag", "hashes").dropDuplicates(["rep", "tag"]), "sets")
+        .select("rep", "tag", "hashes").dropDuplicates(["rep", "tag"]), "sets", rows)
 
     looked_up = active.select("rep", "tag", "n", "signature")
     first = (met.filter("not (p_rep = rep and p_tag = tag)")
@@ -275,7 +281,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 .join(features.select("doc_id", "digest"), "doc_id")
                 .join(nodes.select("digest", "rep"), "digest")
                 .select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))
-    with_pivots = connected_components(_links(first, sets, percent).unionByName(repeated), "a", "b")
+    with_pivots = connected_components(_links(first, sets, percent).unionByName(repeated), "a", "b", rows)
 
     # What the pivots left apart meets in blocks, first by signature, then the rest by full sets.
     members = (met.join(looked_up.select("rep", "tag", "n"), ["rep", "tag"])
@@ -287,19 +293,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members = members.join(apart, ["p_rep", "p_tag"]).join(signatures, ["rep", "tag"])
     schema = ", ".join(f"{c} long" for c in _MEMBER)
     left = gathered(_in_blocks(members.select(*_MEMBER, "signature"))
-                   .mapInArrow(_with_partner(percent, matches), schema).distinct(), "left")
+                   .mapInArrow(_with_partner(percent, matches), schema).distinct(), "left", rows)
     left = left.join(signatures, ["rep", "tag"]).join(sets, ["rep", "tag"])
     ties = _in_blocks(left.select(*_MEMBER, "signature", "hashes")).mapInArrow(_tied(percent, matches), "a long, b long")
     joined = connected_components(
-        with_pivots.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(ties), "a", "b")
+        with_pivots.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(ties), "a", "b", rows)
 
     named = nodes.select("digest", "rep").join(joined.withColumnRenamed("node", "rep"), "rep", "left").select(
         "digest", F.coalesce("component", "rep").alias("component_id"))
     found = features.select("doc_id", "n_shingles", "digest").join(named, "digest", "left")
-    return in_waves(
+    return in_tasks(
         found.select("doc_id", "n_shingles",
                      F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
-        .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
+        .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))), rows)
 
 
 def keep_one(docs: DataFrame, found: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -308,12 +314,12 @@ def keep_one(docs: DataFrame, found: DataFrame, id_col: str = "doc_id") -> DataF
     Of rows that repeat a kept doc_id the smallest, column by column, stays. Rows without a
     doc_id all stay.
     """
-    key = F.col(f"`{id_col}`")
+    key, rows = F.col(f"`{id_col}`"), docs.count()
     gone = broadcast_if_small(gathered(
-        found.filter("not kept").select(F.col("doc_id").alias("_gone")).distinct(), "gone"), MOST_BROADCAST)
+        found.filter("not kept").select(F.col("doc_id").alias("_gone")).distinct(), "gone", rows), MOST_BROADCAST)
     kept = docs.join(gone, key == F.col("_gone"), "left_anti")
     repeated = gathered(found.filter("doc_id is not null").groupBy(F.col("doc_id").alias("_again")).count()
-                       .filter("count > 1").select("_again"), "repeated")
+                       .filter("count > 1").select("_again"), "repeated", rows)
     if repeated.isEmpty():
         return kept
     repeated = broadcast_if_small(repeated, MOST_BROADCAST)

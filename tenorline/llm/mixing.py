@@ -24,10 +24,17 @@ def uniform(*parts: Column) -> Column:
     return F.conv(F.substring(F.md5(F.concat_ws(":", *parts)), 1, 13), 16, 10).cast("double") / float(2**52)
 
 
+def least_count(rate: Column) -> Column:
+    """Counts below this have a probability under 1e-16 in all: 12 deviations and more below the mean."""
+    return F.greatest(F.lit(0), F.floor(rate - 12 * F.sqrt(rate) - 24)).cast("int")
+
+
 def poisson_steps(rate: Column) -> Column:
-    """Cumulative Poisson probabilities of 0, 1, 2, ... until the rest is below 1e-16."""
-    last = F.ceil(rate + 12 * F.sqrt(rate) + 24).cast("int")
-    start = F.struct(F.lit(0.0).alias("log_k"), F.lit(0.0).alias("sum"),
+    """Cumulative Poisson probabilities from ``least_count`` on until the rest is below 1e-16;
+    their number grows with the root of the rate."""
+    first, last = least_count(rate), F.ceil(rate + 12 * F.sqrt(rate) + 24).cast("int")
+    log_first = F.aggregate(F.sequence(F.lit(0), first), F.lit(0.0), lambda s, k: s + F.when(k > 1, F.ln((k - 1).cast("double"))).otherwise(0.0))
+    start = F.struct(log_first.alias("log_k"), F.lit(0.0).alias("sum"),
                      F.expr("cast(array() as array<double>)").alias("steps"))
 
     def step(s: Column, k: Column) -> Column:
@@ -35,7 +42,7 @@ def poisson_steps(rate: Column) -> Column:
         total = s["sum"] + F.exp(k * F.ln(rate) - rate - log_k)
         return F.struct(log_k.alias("log_k"), total.alias("sum"), F.concat(s["steps"], F.array(total)).alias("steps"))
 
-    return F.aggregate(F.sequence(F.lit(0), last), start, step, lambda s: s["steps"])
+    return F.aggregate(F.sequence(first, last), start, step, lambda s: s["steps"])
 
 
 def repetition_rates(docs: DataFrame, source_col: str = "source", targets: Mapping[str, float] | None = None,
@@ -47,7 +54,7 @@ def repetition_rates(docs: DataFrame, source_col: str = "source", targets: Mappi
     number of documents. Null is a source of its own.
     """
     counts = gathered(docs.groupBy(F.col(f"`{source_col}`").cast("string").alias("source"))
-                     .agg(F.count(F.lit(1)).alias("n")), "sources")
+                     .agg(F.count(F.lit(1)).alias("n")), "sources", docs.count())
     if targets is None:
         weight = F.pow(F.col("n").cast("double"), F.lit(float(temperature)))
     else:
@@ -64,7 +71,8 @@ def repetition_rates(docs: DataFrame, source_col: str = "source", targets: Mappi
 
 def poisson_mix(docs: DataFrame, rates: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 source_col: str = "source", seed: int = SEED) -> DataFrame:
-    """The columns of ``docs`` plus ``copy`` (1, 2, ...) and ``shuffle_key``, in shuffled order.
+    """The columns of ``docs`` plus ``copy`` (1, 2, ...) and ``shuffle_key``, in shuffled order: rows
+    go to partitions by a hash of the key, which is itself one, and lie in its order there.
 
     A document whose count is 0 goes. Rows that repeat a doc_id draw the same count; a row
     without one draws by its text (null text: as empty). A source that ``rates`` lacks has
@@ -77,14 +85,15 @@ def poisson_mix(docs: DataFrame, rates: DataFrame, id_col: str = "doc_id", text_
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), name.alias("name"),
                        F.col(f"`{source_col}`").cast("string").alias("source"))
     steps = broadcast_if_small(gathered(
-        rates.filter("rate > 0").select(F.col("source").alias("of"), poisson_steps(F.col("rate")).alias("steps")),
-        "poisson"), MOST_BROADCAST)
+        rates.filter("rate > 0").select(F.col("source").alias("of"), least_count(F.col("rate")).alias("least"),
+                                        poisson_steps(F.col("rate")).alias("steps")), "poisson", rates.count()), MOST_BROADCAST)
     counted = (rows.join(steps, F.col("source").eqNullSafe(F.col("of")))
                .withColumn("u", uniform(F.lit(str(seed)), F.col("name")))
-               .withColumn("count", F.size(F.filter("steps", lambda p: p <= F.col("u")))))
+               .withColumn("count", F.col("least") + F.size(F.filter("steps", lambda p: p <= F.col("u")))))
     return (counted.filter("count > 0").select("row", "name", F.explode(F.sequence(F.lit(1), F.col("count"))).alias("copy"))
             .withColumn("shuffle_key", F.md5(F.concat_ws(":", F.lit(str(seed)), F.lit("shuffle"), "name", "copy")))
-            .select("row.*", F.col("copy").cast("long").alias("copy"), "shuffle_key").orderBy("shuffle_key"))
+            .select("row.*", F.col("copy").cast("long").alias("copy"), "shuffle_key")
+            .repartition("shuffle_key").sortWithinPartitions("shuffle_key"))
 
 
 ORACLE = f"""

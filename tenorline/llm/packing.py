@@ -19,7 +19,7 @@ import pyarrow as pa
 import tiktoken
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from tenorline.llm.shared import in_waves, written
+from tenorline.llm.shared import in_tasks, written
 
 BUCKETS, BATCH_TOKENS = 16, 65_536
 #: Documents of one numbering shard.
@@ -92,14 +92,13 @@ def best_boundaries(lengths: list[int], counts: list[int], buckets: int) -> list
 
 
 def pack(sized: DataFrame, buckets: int = BUCKETS, batch_tokens: int = BATCH_TOKENS,
-         most_bins: int | None = None, shard: int = SHARD) -> DataFrame:
+         shard: int = SHARD) -> DataFrame:
     """``sized`` (with n_tokens) plus bucket, bucket_tokens, batch and slot.
 
     ``bucket_tokens`` is the length all of a bucket is padded to; a batch of a bucket holds
     as many documents as fit into ``batch_tokens`` at that length, at least one, and only
     the last batch of a bucket may hold fewer. The boundaries are exactly optimal over the
-    distinct lengths, which the driver holds, one number and count each; ``most_bins`` is
-    kept for callers and has no effect. Documents without tokens (null or
+    distinct lengths, which the driver holds, one number and count each. Documents without tokens (null or
     empty texts) are in no batch: the four columns are null. Repeated rows are packed each.
     An empty table gives an empty result.
 
@@ -124,7 +123,7 @@ def pack(sized: DataFrame, buckets: int = BUCKETS, batch_tokens: int = BATCH_TOK
                 .join(offsets, F.col("bucket").eqNullSafe(F.col("_bucket")) & (F.col("_shard") == F.col("_of")))
                 .withColumn("_at", F.col("_before") + F.col("_place") - 1)
                 .withColumn("_fit", F.greatest(F.lit(1), F.floor(F.lit(batch_tokens) / F.col("bucket_tokens")))))
-    return in_waves(numbered).select(
+    return in_tasks(numbered, rows).select(
         *[F.col(f"`{c}`") for c in kept], F.col("bucket").cast("int").alias("bucket"), "bucket_tokens",
         F.when(F.col("bucket").isNotNull(), F.floor(F.col("_at") / F.col("_fit"))).alias("batch"),
         F.when(F.col("bucket").isNotNull(), F.col("_at") % F.col("_fit")).alias("slot"))

@@ -83,23 +83,24 @@ def disclosures(docs: DataFrame, text_col: str = "text", support: int = SUPPORT,
         "id", F.xxhash64("text").alias("copy"), F.array_distinct(F.transform("spans", _entity)).alias("entities"),
         words.alias("terms")), "holding")
 
-    copies = gathered(given.groupBy(F.xxhash64("text").alias("copy")).count(), "copies")
+    rows = given.count()
+    copies = gathered(given.groupBy(F.xxhash64("text").alias("copy")).count(), "copies", rows)
     total = copies.count()
     n = float(max(total, 1))
     held = holding.select("copy", F.explode("entities").alias("entity")).distinct()
     df_e = gathered(held.groupBy("entity").agg(F.count(F.lit(1)).alias("df_e"))
-                    .filter(F.col("df_e").between(support, total - 1)), "df_e")
+                    .filter(F.col("df_e").between(support, total - 1)), "df_e", rows)
     most = df_e.agg(F.max(_most(F.col("df_e"), n, threshold))).first()[0] or 0.0
     # Every distinct text once: those without copies as they are, of the others one each.
-    copied = broadcast_if_small(gathered(copies.filter("count > 1").select("copy"), "copied"), MOST_BROADCAST)
+    copied = broadcast_if_small(gathered(copies.filter("count > 1").select("copy"), "copied", rows), MOST_BROADCAST)
     hashed = given.select(F.xxhash64("text").alias("copy"), "text")
     once = (hashed.join(copied, "copy", "left_anti").select("text").unionByName(
         hashed.join(copied, "copy", "left_semi").groupBy("copy").agg(F.first("text").alias("text")).select("text")))
     df_t = gathered(once.select(F.explode(words).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df_t"))
-                    .filter(F.col("df_t") >= support), "df_t")
+                    .filter(F.col("df_t") >= support), "df_t", rows)
 
-    frequent = broadcast_if_small(gathered(df_t.filter(F.col("df_t") > most).select("term"), "frequent"), MOST_BROADCAST)
-    supported = gathered(held.join(df_e, "entity"), "supported")
+    frequent = broadcast_if_small(gathered(df_t.filter(F.col("df_t") > most).select("term"), "frequent", rows), MOST_BROADCAST)
+    supported = gathered(held.join(df_e, "entity"), "supported", rows)
     bearing = holding.join(supported.select("copy").distinct(), "copy", "left_semi")
     beside = (bearing.select("copy", F.explode("terms").alias("term")).join(frequent, "term", "left_anti").distinct()
               .join(df_t.filter(F.col("df_t") <= most), "term"))
@@ -115,27 +116,29 @@ def disclosures(docs: DataFrame, text_col: str = "text", support: int = SUPPORT,
 
 def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                        support: int = SUPPORT, threshold: float = GENERALISE) -> DataFrame:
-    """``docs`` plus ``base`` and ``spans``, arrays of (kind, start, end, value).
+    """``docs`` plus ``base``, ``spans``, both arrays of (kind, start, end, value), and ``disclosing``.
 
     ``spans`` holds the base spans and then, of kind "term", the words that disclose an entity
     of the same document; a disclosing word inside a base span is covered already. A document
     without entities has no spans at all. Null and empty texts have none. Rows that repeat a
-    doc_id share the terms of all its texts; rows without one get base spans only. Columns of
-    ``docs`` named like the two new ones are replaced. An empty table gives an empty result.
+    doc_id share the terms of all its texts; rows without one get base spans only. ``disclosing``
+    maps those terms to their disclosure. Columns of ``docs`` named like the three new ones are
+    replaced. An empty table gives an empty result.
     """
     strong, holding = disclosures(docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`")), text_col,
                                   support, threshold)
-    strong = gathered(strong, "strong")
+    rows = docs.count()
+    strong = gathered(strong, "strong", rows)
     # Only what a document holds itself meets its entities, so a frequent entity's terms are not multiplied by its texts.
-    some = broadcast_if_small(gathered(strong.select("term").distinct(), "strong-terms"), MOST_BROADCAST)
+    some = broadcast_if_small(gathered(strong.select("term").distinct(), "strong-terms", rows), MOST_BROADCAST)
     owned = holding.filter("id is not null")
     present = owned.select("id", F.explode("terms").alias("term")).join(some, "term", "left_semi").distinct()
     per_doc = broadcast_if_small(gathered(
         owned.select("id", F.explode("entities").alias("entity")).distinct().join(present, "id")
         .join(strong, ["entity", "term"]).groupBy("id", "term").agg(F.max("disclosure").alias("disclosure"))
         .groupBy(F.col("id").alias("_id")).agg(F.map_from_entries(F.collect_list(F.struct("term", "disclosure"))).alias("_terms")),
-        "disclosed"), MOST_BROADCAST)
-    kept = [c for c in docs.columns if c not in ("base", "spans")]
+        "disclosed", rows), MOST_BROADCAST)
+    kept = [c for c in docs.columns if c not in ("base", "spans", "disclosing")]
     rows = (docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("_row"))
             .join(per_doc, F.col("_row")[id_col] == F.col("_id"), "left"))
     text = F.coalesce(F.col("_row")[text_col].cast("string"), F.lit(""))

@@ -24,7 +24,7 @@ def shared_path(spark: SparkSession, label: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local["):
+        if spark.sparkContext.master.partition("[")[0] != "local":
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = _one_machine_folder()
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
@@ -32,8 +32,8 @@ def shared_path(spark: SparkSession, label: str) -> str:
 
 #: Rows that pass between Spark and Python at once where rows hold whole texts or sets.
 BATCH_ROWS = 512
-#: Tasks per core at most that write the result of a shuffle.
-WAVES = 4
+#: Rows of a task at least, and tasks at least, where the result of a shuffle is written.
+ROWS_PER_TASK, LEAST_TASKS = 20_000, 32
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
@@ -59,15 +59,16 @@ def written(df: DataFrame, label: str, batch_rows: int = BATCH_ROWS) -> DataFram
     return spark.read.schema(df.schema).parquet(path)
 
 
-def in_waves(df: DataFrame) -> DataFrame:
-    """``df``, a result of shuffles, in no more tasks than ``WAVES`` rounds of all cores take, so
-    that a small one is not written as one tiny file per shuffle partition."""
-    return df.coalesce(max(1, WAVES * df.sparkSession.sparkContext.defaultParallelism))
+def in_tasks(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, a result of shuffles over ``rows`` rows, in the tasks that Spark gives them by their
+    size, but in no more than one per ``ROWS_PER_TASK`` rows (``LEAST_TASKS`` where there are
+    fewer), so that a small table is not written as one tiny file per shuffle partition."""
+    return df.coalesce(max(LEAST_TASKS, -(-rows // ROWS_PER_TASK)))
 
 
-def gathered(df: DataFrame, label: str) -> DataFrame:
-    """``written`` for results of shuffles, ``in_waves``."""
-    return written(in_waves(df), label)
+def gathered(df: DataFrame, label: str, rows: int) -> DataFrame:
+    """``written`` for results of shuffles, ``in_tasks``."""
+    return written(in_tasks(df, rows), label)
 
 
 def broadcast_if_small(table: DataFrame, most_rows: int) -> DataFrame:

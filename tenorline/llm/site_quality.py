@@ -102,7 +102,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """A classifier from at most ``most`` labelled documents (label 1: good, 0: poor, else unused)."""
     known = labels.select(F.col(id_col).alias("_id"), F.col(label_col).alias("_good")).filter("_id is not null and _good in (0, 1)")
     drawn = gathered(known.groupBy("_id").agg(F.min("_good").cast("int").alias("_good"))
-                    .orderBy(F.xxhash64("_id"), "_id").limit(most), "labelled")
+                    .orderBy(F.xxhash64("_id"), "_id").limit(most), "labelled", most)
     rows = (docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
             .join(F.broadcast(drawn), "_id").dropDuplicates(["_id"]).select("_good", "text")
             .mapInArrow(_labelled, "good int, features binary").collect())
@@ -131,28 +131,51 @@ def _strength(sites: DataFrame, of: Column) -> Column:
     return F.when(between > 0, F.greatest(F.lit(low), F.least(F.lit(high), spread / between - 1))).otherwise(high)
 
 
-def site_posteriors(judged: DataFrame) -> DataFrame:
-    """(host, path, n_host, n_path, prior) from rows of (host, path, p): the shrunken share of
-    good documents of each path. Null is a site of its own."""
-    paths = gathered(judged.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"), F.sum("p").alias("good")), "paths")
+@dataclass(frozen=True)
+class Shrinkage:
+    """The share of good documents overall, and pseudo-counts of a host and of a path."""
+
+    overall: float
+    host: float
+    path: float
+
+    def prior(self, own: Column | float = 0.0, one: int = 0) -> Column:
+        """The shrunken share of good documents of a path, from the counts of ``site_counts``; with
+        ``own`` and ``one`` without the document whose probability that is."""
+        host = (F.col("good_host") - own + self.host * self.overall) / (F.col("n_host") - one + self.host)
+        return (F.col("good_path") - own + self.path * host) / (F.col("n_path") - one + self.path)
+
+
+def site_counts(judged: DataFrame) -> tuple[DataFrame, Shrinkage]:
+    """(host, path, n_host, good_host, n_path, good_path) from rows of (host, path, p), a written
+    table, and how far they shrink. Null is a site of its own."""
+    rows = judged.count()
+    paths = gathered(judged.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"), F.sum("p").alias("good")), "paths", rows)
     hosts = paths.groupBy("host").agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
     overall = hosts.agg((F.sum("good") / F.sum("n")).alias("share")).first()["share"]
     overall = min(max(overall if overall is not None else 0.5, 1e-4), 1 - 1e-4)
-    hosts = gathered(hosts, "hosts")
+    hosts = gathered(hosts, "hosts", rows)
     k_host = hosts.agg(_strength(hosts, F.lit(overall)).alias("k")).first()["k"] or STRENGTH[1]
-    named = hosts.select(F.col("host").alias("_host"), F.col("n").alias("n_host"),
+    named = hosts.select(F.col("host").alias("_host"), F.col("n").alias("n_host"), F.col("good").alias("good_host"),
                          ((F.col("good") + k_host * overall) / (F.col("n") + k_host)).alias("share"))
-    both = gathered(paths.join(named, F.col("host").eqNullSafe(F.col("_host"))).drop("_host"), "shrunk")
+    both = gathered(paths.join(named, F.col("host").eqNullSafe(F.col("_host"))).drop("_host"), "shrunk", rows)
     k_path = both.agg(_strength(both, F.col("share")).alias("k")).first()["k"] or STRENGTH[1]
-    return both.select("host", "path", "n_host", F.col("n").alias("n_path"),
-                       ((F.col("good") + k_path * F.col("share")) / (F.col("n") + k_path)).alias("prior"))
+    return both.select("host", "path", "n_host", "good_host", F.col("n").alias("n_path"), F.col("good").alias("good_path")
+                       ), Shrinkage(overall, k_host, k_path)
+
+
+def site_posteriors(judged: DataFrame) -> DataFrame:
+    """(host, path, n_host, n_path, prior): the shrunken share of good documents of each path."""
+    sites, shrinkage = site_counts(judged)
+    return sites.select("host", "path", "n_host", "n_path", shrinkage.prior().alias("prior"))
 
 
 def judge(docs: DataFrame, model: Classifier, id_col: str = "doc_id", text_col: str = "text",
           host_col: str = "source", path_col: str = "lang", threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, host, path, n_host, n_path, evidence, prior, score, kept), one row per row.
 
-    ``score`` is the posterior probability that the document is good, ``kept`` whether it
+    ``score`` is the posterior probability that the document is good: its evidence on the prior that
+    the other documents of its path and host give. ``kept`` tells whether it
     reaches ``threshold``. Null and empty texts have evidence like any other. Null hosts and
     paths are sites of their own. Repeated rows count each. Other columns are not read. An
     empty table gives an empty result.
@@ -164,9 +187,11 @@ def judge(docs: DataFrame, model: Classifier, id_col: str = "doc_id", text_col:
     judged = written(
         given.mapInArrow(_judged(model), "evidence double, row struct<doc_id:bigint,host:string,path:string>")
         .select("row.*", "evidence").withColumn("p", 1 / (1 + F.exp(-(F.col("evidence") + start)))), "evidence")
-    sites = broadcast_if_small(gathered(site_posteriors(judged).select(
-        F.col("host").alias("_host"), F.col("path").alias("_path"), "n_host", "n_path", "prior"), "sites"), MOST_BROADCAST)
+    sites, shrinkage = site_counts(judged)
+    sites = broadcast_if_small(written(sites.select(
+        F.col("host").alias("_host"), F.col("path").alias("_path"), "n_host", "good_host", "n_path", "good_path"), "sites"), MOST_BROADCAST)
     score = 1 / (1 + F.exp(-(F.col("evidence") + F.ln(F.col("prior") / (1 - F.col("prior"))))))
     return (judged.join(sites, F.col("host").eqNullSafe(F.col("_host")) & F.col("path").eqNullSafe(F.col("_path")))
+            .withColumn("prior", F.greatest(F.lit(1e-9), shrinkage.prior(F.col("p"), 1)))
             .select("doc_id", "host", "path", "n_host", "n_path", "evidence", "prior", score.alias("score"))
             .withColumn("kept", F.col("score") >= threshold))

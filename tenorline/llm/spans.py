@@ -21,22 +21,46 @@ def matches(text: Column, pattern: str, kind: str, worth: Column, accept: Callab
 
     ``worth`` is a cheap test that every text with a match passes; only those are taken
     apart, into the gap before each match and the match itself, whose lengths add up to
-    positions. ``pattern`` has no capturing groups. Write inner repetitions of groups as
+    positions. The work for n matches grows with n * sqrt(n). ``pattern`` has no capturing groups. Write inner repetitions of groups as
     possessive ones: these run in a loop, others recurse and overflow the stack on long runs.
     """
     apart = r"\G([\s\S]*?)(" + pattern + ")"
     gaps, hits = F.regexp_extract_all(text, F.lit(apart), F.lit(1)), F.regexp_extract_all(text, F.lit(apart), F.lit(2))
-    start = F.struct(F.lit(0).cast("long").alias("at"), no_spans().alias("spans"))
+    pairs = F.zip_with(gaps, hits, lambda g, h: F.struct(g.alias("gap"), h.alias("hit"), (F.length(g) + F.length(h)).alias("moved")))
 
-    def step(s: Column, x: Column) -> Column:
-        begin = s["at"] + F.length(x["gaps"])
-        end = begin + F.length(x["hits"])
-        span = F.struct(F.lit(kind).alias("kind"), begin.alias("start"), end.alias("end"), x["hits"].alias("value"))
-        return F.struct(end.alias("at"), F.when(accept(x["hits"]), F.concat(s["spans"], F.array(span)))
-                        .otherwise(s["spans"]).alias("spans"))
-
-    pairs = F.zip_with(gaps, hits, lambda g, h: F.struct(g.alias("gaps"), h.alias("hits")))
-    return F.when(worth, F.aggregate(pairs, start, step, lambda s: s["spans"])).otherwise(no_spans())
+    def spans(run: Column, begin: Column) -> Column:
+        """Of a run of pairs that begins at a position."""
+        start = F.struct(begin.alias("at"), no_spans().alias("spans"))
+
+        def step(s: Column, x: Column) -> Column:
+            first, end = s["at"] + F.length(x["gap"]), s["at"] + x["moved"]
+            span = F.struct(F.lit(kind).alias("kind"), first.alias("start"), end.alias("end"), x["hit"].alias("value"))
+            return F.struct(end.alias("at"), F.when(accept(x["hit"]), F.concat(s["spans"], F.array(span)))
+                            .otherwise(s["spans"]).alias("spans"))
+
+        return F.aggregate(run, start, step, lambda s: s["spans"])
+
+    def in_runs(pairs: Column) -> Column:
+        # Arrays that grow are copied at each step, so n pairs are dealt to about sqrt(n) runs of sqrt(n).
+        width = F.greatest(F.lit(1), F.ceil(F.sqrt(F.size(pairs))).cast("int"))
+        runs = F.transform(F.sequence(F.lit(0), F.size(pairs) - 1, width), lambda k: F.slice(pairs, k + 1, width))
+        return _let(runs, lambda runs: F.flatten(F.zip_with(runs, _starts(runs), spans)))
+
+    found = _let(pairs, lambda pairs: F.when(F.size(pairs) > 0, in_runs(pairs)).otherwise(no_spans()))
+    return F.when(worth, found).otherwise(no_spans())
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _starts(runs: Column) -> Column:
+    """Where each run of pairs begins: the moves of all runs before."""
+    moved = F.transform(runs, lambda run: F.aggregate(run, F.lit(0).cast("long"), lambda s, x: s + x["moved"]))
+    return F.aggregate(moved, F.struct(F.lit(0).cast("long").alias("at"), F.expr("cast(array() as array<bigint>)").alias("starts")),
+                       lambda s, m: F.struct((s["at"] + m).alias("at"), F.concat(s["starts"], F.array(s["at"])).alias("starts")),
+                       lambda s: s["starts"])
 
 
 def told(spans: Column) -> Column:

@@ -65,7 +65,7 @@ def test_few_bins_many_shards_and_odd_rows(spark):
     lengths = [rng.choice([0, 1, 7, 7, 7, 30, 31, 500, 9_999]) for _ in range(400)]
     sized = spark.createDataFrame([(k % 50, n, k, "x") for k, n in enumerate(lengths)],
                                   "doc_id long, n_tokens long, batch int, bucket string")
-    packed = pack(sized, buckets=3, batch_tokens=100, most_bins=64, shard=9)
+    packed = pack(sized, buckets=3, batch_tokens=100, shard=9)
     assert packed.columns == ["doc_id", "n_tokens", "bucket", "bucket_tokens", "batch", "slot"]
     rows = packed.collect()
     assert len(rows) == 400 and max(r["bucket_tokens"] or 0 for r in rows) == 9_999

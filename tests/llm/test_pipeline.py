@@ -29,7 +29,7 @@ def test_stages_one_by_one(spark):
     groups, sets = Groups({r["doc_id"] for r in rows}), [(r["doc_id"], shingles(r["text"])) for r in rows]
     for k, (i, a) in enumerate(sets):
         for j, b in sets[:k]:
-            if a and 100 * len(a & b) >= 85 * len(a | b):
+            if a and 100 * len(a & b) >= 80 * len(a | b):
                 groups.tie(i, j)
     unique = [r["doc_id"] for r in seen["minhash_dedup"].filter("doc_id is not null").collect()]
     assert sorted(unique) == sorted({groups.find(i) for i, _ in sets})
