@@ -44,8 +44,8 @@ def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @carrying
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each component of near duplicates."""
-    return minhash_dedup.keep_one(docs, minhash_dedup.near_duplicates(docs))
+    """Keeps one document of each component of near duplicates, linked from a similarity of 0.8 on."""
+    return minhash_dedup.keep_one(docs, minhash_dedup.near_duplicates(docs, percent=80))
 
 
 @carrying
