@@ -48,8 +48,9 @@ def op5_itq_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    model = secret_scan.train(secret_scan.labelled_samples(docs))
-    return secret_scan.digest(secret_scan.scan(docs, model))
+    labelled = secret_scan.labelled_samples(docs)
+    model = secret_scan.train(labelled)
+    return secret_scan.digest(secret_scan.scan(docs, model, threshold=secret_scan.thresholds(labelled, model)))
 
 
 def op7_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

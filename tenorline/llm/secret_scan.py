@@ -1,8 +1,9 @@
 """Secrets by patterns and by character Markov models.
 
 Two first-order Markov models of characters, one of random strings and one of ordinary
-identifiers, are trained from labelled samples. A run of key characters that no pattern
-covers is a secret if the log-likelihood ratio of the two models exceeds a threshold.
+identifiers, are trained from labelled samples. A run of key characters, or what a pattern
+leaves of it, is a secret if the log-likelihood ratio of the two models exceeds a threshold
+for its length: as high as most random samples of that length reach, and above ordinary ones.
 
 Base patterns report their matches whatever the models say. All of it is built-in columns:
 training counts character pairs in a grouped aggregation, and only that table, bounded by
@@ -15,7 +16,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tenorline.llm.spans import by_start, count_of, matches, outside, replaced, told
+from tenorline.llm.spans import by_start, count_of, matches, replaced, told
 
 KINDS = ("assign", "access", "hex")
 LEARNED = "random"
@@ -24,13 +25,16 @@ ASSIGN = (r"(?i:password|passwd|secret|token|api_?key)[\"']?\x20*+[:=]\x20*+[\"'
 ASSIGNED = r"^(?i:password|passwd|secret|token|api_?key)[\"']?\x20*+[:=]\x20*+[\"']?([A-Za-z0-9+/_.=-]++)$"
 ACCESS = r"AKIA[A-Z0-9]++"
 HEX = r"[0-9a-f]{24,}+"
-#: A run for the models: at least 16 characters of keys, a digit and a letter among them.
-RUN = (r"(?:\G|(?<![A-Za-z0-9+/_=-]))(?=[A-Za-z+/_=-]*+[0-9])(?=[0-9+/_=-]*+[A-Za-z])[A-Za-z0-9+/_=-]{16,}+")
+#: A run for the models: at least so many characters of keys.
+LEAST_LENGTH = 12
+RUN = r"(?:\G|(?<![A-Za-z0-9+/_=-]))[A-Za-z0-9+/_=-]{12,}+"
 #: Ordinary identifiers and words, the other class of the training sample.
 WORD = r"(?<![A-Za-z0-9+/_=-])[A-Za-z_][A-Za-z0-9_-]{3,}+(?![A-Za-z0-9+/_=-])"
 #: Characters are known by their code; 0 stands for the start, other codes than these for 127.
 CODES = 128
 THRESHOLD, SMOOTHING = 12.0, 10.0
+#: Lengths from which a threshold holds, and the shares of random and of ordinary strings below it.
+LENGTHS, MISSED, BELOW, RAISED = (12, 16, 20, 26, 34), 0.01, 0.999, 1.25
 #: Documents that the labelled sample is drawn from, about.
 SAMPLE = 20_000
 
@@ -46,18 +50,55 @@ def base_spans(text: Column) -> Column:
     return by_start(found, KINDS)
 
 
+def _identifiers(words: Column, number: Column) -> list[Column]:
+    """Names, paths and numbers as code and logs have them, from four words and a number."""
+    w = [F.get(words, F.lit(k)) for k in range(4)]
+    small, year = F.pmod(number, F.lit(100)).cast("string"), (F.pmod(number, F.lit(60)) + 1970).cast("string")
+    digits = F.abs(number).cast("string")
+    return [
+        F.lower(F.concat_ws("_", *w[:3])), F.lower(F.concat_ws("_", w[0], w[1], F.lit("for"), w[2], small, F.lit("of"), year)),
+        F.concat(F.lower(w[0]), F.initcap(w[1]), F.initcap(w[2])), F.concat(F.initcap(w[0]), F.initcap(w[1]), small),
+        F.lower(F.concat(F.lit("/"), F.concat_ws("/", w[0], w[1], F.concat(w[2], small, F.lit("-"), F.substring(digits, 1, 1)), w[3]))),
+        F.lower(F.concat_ws("-", w[0], w[1], year, small)), F.upper(F.concat_ws("_", w[0], w[1], small)),
+        F.substring(digits, 1, 16), F.concat_ws("-", year, F.substring(digits, 1, 2), F.substring(digits, 3, 2)), digits]
+
+
+def _random(seed: Column) -> list[Column]:
+    """Random strings over the alphabets of keys, from hashes."""
+    many = F.base64(F.unhex(F.concat(F.sha2(seed, 512), F.md5(seed))))
+    return [F.translate(many, "=", ""), F.translate(many, "+/=", "Zq"), F.md5(seed),
+            F.regexp_replace(many, "[^A-Za-z]", ""), F.regexp_replace(many, "[^A-Z2-7]", "")]
+
+
 def labelled_samples(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int = SAMPLE) -> DataFrame:
-    """(value, is_random): values of base matches against ordinary words, from a sample of about
-    ``most`` documents that a hash of the id draws (all of them where there are fewer)."""
+    """(value, is_random): random strings against ordinary ones, from a sample of about ``most``
+    documents that a hash of the id draws (all of them where there are fewer).
+
+    Random are the values of base matches, and hashes of the texts over the alphabets of keys;
+    ordinary are the words beside base matches, and names, paths and numbers made of them.
+    """
     text = F.col(f"`{text_col}`").cast("string")
     total = docs.count()
     drawn = docs.filter(F.pmod(F.xxhash64(F.lit("sample"), F.col(f"`{id_col}`")), F.lit(1 << 20))
                         < int((1 << 20) * min(1.0, most / max(total, 1)))).select(text.alias("text")).filter("text is not null")
-    values = drawn.select(F.explode(base_spans(F.col("text"))).alias("s")).select(
+    drawn = drawn.withColumn("spans", base_spans(F.col("text")))
+    values = drawn.select(F.explode("spans").alias("s")).select(
         F.when(F.col("s.kind") == "assign", F.regexp_extract("s.value", ASSIGNED, 1)).otherwise(F.col("s.value")).alias("value"),
         F.lit(True).alias("is_random"))
-    words = drawn.select(F.explode(F.regexp_extract_all("text", F.lit(WORD), F.lit(0))).alias("value"), F.lit(False).alias("is_random"))
-    return values.unionByName(words)
+    worded = drawn.select("text", F.regexp_extract_all(_blanked(F.col("text"), F.col("spans")), F.lit(WORD), F.lit(0)).alias("words"))
+    words = worded.select(F.explode("words").alias("value"), F.lit(False).alias("is_random"))
+    made = worded.filter(F.size("words") >= 4).select(
+        F.explode(F.array(*_identifiers(F.slice("words", F.size("words") - 3, 4), F.xxhash64("text")))).alias("value"),
+        F.lit(False).alias("is_random"))
+    random = worded.filter(F.size("words") >= 4).select(F.explode(F.array(*_random(F.col("text")))).alias("value"), F.lit(True).alias("is_random"))
+    return values.unionByName(words).unionByName(made).unionByName(random)
+
+
+def _blanked(text: Column, spans: Column) -> Column:
+    """``text`` with blanks in place of its ``spans``, every other character where it was."""
+    marked = F.transform(spans, lambda s: F.struct(
+        F.repeat(F.lit(" "), (s["end"] - s["start"]).cast("int")).alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
+    return replaced(text, marked, lambda blanks: blanks)
 
 
 def train(labelled: DataFrame, smoothing: float = SMOOTHING) -> list[float]:
@@ -99,19 +140,53 @@ def log_ratio(value: Column, model: list[float]) -> Column:
     return F.aggregate(F.split(value, ""), start, step, lambda s: s["sum"])
 
 
-def scan(docs: DataFrame, model: list[float], text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+def thresholds(labelled: DataFrame, model: list[float]) -> list[float]:
+    """For each of ``LENGTHS`` the log-likelihood ratio that all but ``MISSED`` of the random strings
+    reach within that length, or if it is more, the one that ``BELOW`` of the ordinary strings of
+    at least that length do not pass, but no more than ``RAISED`` times the former, as ordinary
+    samples hold unknown secrets; ``THRESHOLD`` without samples."""
+    found = []
+    for k, least in enumerate(LENGTHS):
+        begun = F.when(F.col("is_random"), F.substring("value", 1, least)).otherwise(F.col("value"))
+        below = F.length("value") < (LENGTHS[k + 1] if k + 1 < len(LENGTHS) else 2**31 - 1)
+        found.append(labelled.filter((F.length("value") >= least) & (F.col("is_random") | below))
+                     .select(F.lit(k).alias("of"), "is_random", log_ratio(begun, model).alias("ratio")))
+    together = found[0]
+    for more in found[1:]:
+        together = together.unionByName(more)
+    at = together.groupBy("of").agg(
+        F.percentile_approx(F.when(F.col("is_random"), F.col("ratio")), MISSED, 10_000).alias("random"),
+        F.percentile_approx(F.when(~F.col("is_random"), F.col("ratio")), BELOW, 10_000).alias("ordinary")).collect()
+    known = {r["of"]: r for r in at}
+
+    def chosen(random: float | None, ordinary: float | None) -> float:
+        if random is None or random <= 0:
+            return THRESHOLD
+        return max(random, min(ordinary or 0.0, RAISED * random))
+
+    return [chosen(known[k]["random"], known[k]["ordinary"]) if k in known else THRESHOLD for k in range(len(LENGTHS))]
+
+
+def scan(docs: DataFrame, model: list[float], text_col: str = "text", threshold: float | list[float] = THRESHOLD) -> DataFrame:
     """``docs`` plus ``base`` and ``spans``: arrays of (kind, start, end, value) by start.
 
-    ``spans`` holds the base spans and, of kind "random", runs outside them whose
-    log-likelihood ratio exceeds ``threshold``. Null and empty texts have none. Columns of
-    ``docs`` named like the two new ones are replaced.
+    ``spans`` holds the base spans and, of kind "random", runs beside them whose log-likelihood
+    ratio exceeds ``threshold``, one number or one for each of ``LENGTHS``. Null and empty texts
+    have none, an empty table gives an empty result. Columns of ``docs`` named like the two new
+    ones are replaced.
     """
     kept = [c for c in docs.columns if c not in ("base", "spans")]
     text = F.coalesce(F.col("_row")[text_col].cast("string"), F.lit(""))
-    # Only a text that holds a run pays for taking it apart.
-    runs = matches(text, RUN, LEARNED, text.rlike(r"[0-9]") & text.rlike(r"[A-Za-z0-9+/_=-]{16}"), lambda m: F.lit(True))
     found = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("_row")).withColumn("_base", base_spans(text))
-    added = F.filter(outside(runs, F.col("_base")), lambda s: log_ratio(s["value"], model) > threshold)
+    # What a base span leaves of a run is a run of its own.
+    found = found.withColumn("_rest", _blanked(text, F.col("_base")))
+    by_length = F.lit([float(t) for t in (threshold if isinstance(threshold, list) else [threshold] * len(LENGTHS))])
+
+    def most(length: Column) -> Column:
+        return F.element_at(by_length, F.size(F.filter(F.lit(list(LENGTHS)), lambda x: x <= length)))
+
+    added = matches(F.col("_rest"), RUN, LEARNED, F.col("_rest").rlike("[A-Za-z0-9+/_=-]{12}"),
+                    lambda m: log_ratio(m, model) > most(F.length(m)))
     found = found.withColumn("_added", added)
     spans = F.when(F.size("_added") > 0, by_start(F.concat("_base", "_added"), (*KINDS, LEARNED))).otherwise(F.col("_base"))
     return found.select("_row.*", F.col("_base").alias("base"), spans.alias("spans"))

@@ -181,6 +181,57 @@ def test_markov_models(spark):
     assert clean == {1: "uses [SECRET] here", 2: f"uses {name} here", 3: None, 4: "[SECRET]"}
 
 
+def test_random_keys_are_told_from_identifiers(spark):
+    """Trained as the query trains it: keys of 12 characters and more with or without digits, against
+    identifiers, paths, dates and numbers."""
+    import random
+    import string
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    labelled = secret_scan.labelled_samples(docs)
+    model = secret_scan.train(labelled)
+    limits = secret_scan.thresholds(labelled, model)
+    rng, letters = random.Random(9), string.ascii_letters
+    words = sorted({w.lower() for r in docs.collect() for w in re.findall("[A-Za-z]{3,9}", r["text"] or "")})
+    key = lambda alphabet, n: "".join(rng.choice(alphabet) for _ in range(n))
+    word = lambda: rng.choice(words)
+    keys = [key(a, n) for _ in range(60) for a in (letters + string.digits, letters) for n in (12, 16, 20, 32)]
+    names = [f for _ in range(60) for f in (
+        f"my_{word()}_{word()}_for_{word()}_12_of_2024", f"/usr/local/{word()}/{word()}3-7/{word()}", f"{word()}-{word()}-{word()}-2",
+        f"{word()}_{word()}_{word()}", key(string.digits, 16), f"2024-11-{rng.randrange(10, 29)}", "=" * 40, "-" * 80)]
+    rows = [(k, f"see {v} here") for k, v in enumerate(keys + names)]
+    found = {r["doc_id"] for r in secret_scan.scan(spark.createDataFrame(rows, "doc_id long, text string"), model, threshold=limits)
+             .filter("size(spans) > 0").collect()}
+    right = len([k for k in found if k < len(keys)])
+    assert right >= 0.97 * len(keys) and len(found) - right <= 0.03 * len(names)
+
+    # What a base span leaves of a run is scored by itself; nothing of either key stays.
+    a, b = key(letters + string.digits, 20), key(letters + string.digits, 20)
+    hexed = "0123456789abcdef01234567"
+    one = spark.createDataFrame([(1, f"x {a}/{hexed}/{b} y")], "doc_id long, text string")
+    text = secret_scan.redact(secret_scan.scan(one, model, threshold=limits)).first()["text"]
+    assert a not in text and b not in text and hexed not in text and text.startswith("x ") and text.endswith(" y")
+
+
+def test_a_hundred_thousand_matches(spark):
+    """A log of addresses as one document takes seconds, and positions stay exact."""
+    import time
+    text = " ".join(f"10.{k % 256}.{k // 256 % 256}.7" for k in range(100_000))
+    started = time.perf_counter()
+    got = sanitise.digest(sanitise.find_personal_data(documents(spark, [(1, text), (2, "none")]))).orderBy("doc_id").collect()
+    assert time.perf_counter() - started < 60
+    assert got[0]["n_ip"] == 100_000 and got[1]["n_ip"] == 0
+    spans = got[0]["spans"].split(",")
+    at = [m.span() for m in re.finditer(r"[0-9.]+", text)]
+    assert spans == [f"ip:{a}:{b}" for a, b in at]
+
+
+def test_personal_data_with_a_column_named_disclosing(spark):
+    docs = documents(spark, [(1, "mail a@b.example to me"), (2, None)]).withColumn("disclosing", F.lit("mine")).withColumn("base", F.lit(1))
+    found = sanitise.find_personal_data(docs)
+    assert [c for c in found.columns if c in ("base", "spans", "disclosing")] == ["base", "spans", "disclosing"]
+    assert {r["doc_id"]: r["text"] for r in sanitise.sanitise(found).collect()} == {1: "mail [EMAIL] to me", 2: None}
+
+
 def test_labelled_samples_and_empty_tables(spark):
     docs = documents(spark, [(1, "token=abcdef012345 some words"), (2, None)])
     got = {(r["value"], r["is_random"]) for r in secret_scan.labelled_samples(docs).collect()}
