@@ -51,8 +51,9 @@ def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 @carrying
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Exchanges every secret for a mark and counts the characters anew; all documents stay."""
-    model = secret_scan.train(secret_scan.labelled_samples(docs))
-    clean = secret_scan.redact(secret_scan.scan(docs, model))
+    labelled = secret_scan.labelled_samples(docs)
+    model = secret_scan.train(labelled)
+    clean = secret_scan.redact(secret_scan.scan(docs, model, threshold=secret_scan.thresholds(labelled, model)))
     return clean.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
 
 
