@@ -5,11 +5,12 @@ vectors are balanced binary codes close to the vectors. The code is cut into equ
 substrings, each the key of a Hamming table; vectors that share a substring in some table
 meet there, and their cosine is computed from the original vectors in double precision.
 
-Per bit two vectors of cosine c differ with probability about p = arccos(c) / pi. A substring
-of b bits is shared with probability (1 - p)^b, so ``tables`` substrings miss a link of the
-least cosine with probability (1 - (1 - p)^b)^tables. b grows with the logarithm of the number
-of vectors, so that a bucket keeps about ``BUCKET`` of them, and the number of tables follows
-from b and the miss probability; where one code is too short, further rotations extend it.
+A substring of b bits is shared by a pair with some probability q, so ``tables`` substrings
+miss it with probability (1 - q)^tables. b grows with the logarithm of the number of vectors,
+so that a bucket keeps about ``BUCKET`` of them. q is not taken from a formula, as it depends
+on how the vectors lie about their centre: pairs of exactly the least cosine are made from
+sampled vectors, their codes are compared, and tables are added until such pairs are missed
+with the given probability. Where one code is too short, further rotations extend it.
 """
 
 from __future__ import annotations
@@ -31,6 +32,8 @@ COSINE = 0.98
 SAMPLE, ROUNDS = 8_000, 40
 #: Least vectors per bucket that a longer substring would split, and the chance to miss a link.
 BUCKET, MISS = 1024, 1e-4
+#: Tables at most; what that many still miss is named in the README.
+MOST_TABLES = 400
 #: Vectors of one block where a bucket is compared.
 BLOCK = 512
 
@@ -52,12 +55,36 @@ class Codes:
 
 
 def plan(vectors: int, cosine: float = COSINE, bucket: int = BUCKET, miss: float = MISS) -> tuple[int, int]:
-    """(bits of a substring, tables) for so many vectors."""
+    """(bits of a substring, tables) for so many vectors that lie evenly about the origin, where a bit
+    differs with probability arccos(cosine) / pi."""
     bits = max(6, math.ceil(math.log2(max(vectors, 1) / bucket)) if vectors > bucket else 6)
     shared = (1 - math.acos(cosine) / math.pi) ** bits
     return bits, math.ceil(math.log(miss) / math.log(1 - shared))
 
 
+def missed(codes: Codes, sample: np.ndarray, cosine: float, seed: int = 4) -> np.ndarray:
+    """For each sampled unit vector and a random partner of exactly that cosine the share of tables
+    in which both meet, as the chance to miss them in all tables."""
+    other = np.random.default_rng(seed).standard_normal(sample.shape)
+    other -= (other * sample).sum(axis=1)[:, None] * sample
+    other /= np.maximum(np.linalg.norm(other, axis=1), 1e-300)[:, None]
+    partner = cosine * sample + math.sqrt(1 - cosine * cosine) * other
+    shared = (codes.substrings(sample) == codes.substrings(partner)).mean(axis=1)
+    # A pair that met in few tables by chance is no better known than one over all of them.
+    return (1 - np.maximum(shared, 0.5 / codes.tables)) ** codes.tables
+
+
+def learn_for(sample: np.ndarray, vectors: int, cosine: float = COSINE, bucket: int = BUCKET, miss: float = MISS) -> Codes:
+    """``learn`` with the tables that ``plan`` gives, and as many more as pairs of the least cosine
+    made from ``sample`` need to be missed with probability ``miss`` on average."""
+    bits, tables = plan(vectors, cosine, bucket, miss)
+    while True:
+        codes = learn(sample, bits, tables)
+        if len(sample) < 2 or sample.shape[1] < 2 or missed(codes, sample, cosine).mean() <= miss or tables >= MOST_TABLES:
+            return codes
+        tables = min(MOST_TABLES, math.ceil(1.4 * tables))
+
+
 def learn(sample: np.ndarray, bits: int, tables: int, rounds: int = ROUNDS, seed: int = 3) -> Codes:
     """Rotations for ``bits * tables`` bits, learned from the sample's unit vectors.
 
@@ -195,7 +222,7 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, id_col: str = "vec_
                  .filter(F.pmod("h", F.lit(1 << 20)) < int((1 << 20) * min(1.0, sample / r["count"])))
                  .orderBy("h", "vector").limit(sample).collect())
         x = _unit([bytes(d["vector"]) for d in drawn], dtype) if drawn else np.zeros((0, r["dims"]))
-        codes[r["dims"]] = learn(x, *plan(r["count"], cosine, bucket, miss))
+        codes[r["dims"]] = learn_for(x, r["count"], cosine, bucket, miss)
 
     given = nodes.select("vector", F.struct("label", "dims", "node", "copies", "vector").alias("row"))
     coded = written(given.mapInArrow(

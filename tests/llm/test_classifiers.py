@@ -197,3 +197,23 @@ def test_url_model_on_unseen_addresses(spark):
     assert all(model.block(*u.split("/", 1)) < 0.5 for u in allow)
     empty = spark.createDataFrame([], "url string, verdict string")
     assert url_filter.train(empty).block("a.b", "/c") < 1e-6
+
+
+def test_a_document_is_no_evidence_for_its_own_site(spark):
+    """The prior is that of the other documents: with one document on a path and host, the global share."""
+    from tenorline.llm.site_quality import site_counts
+    from tenorline.llm.shared import written
+    rows = [("a", "x", 0.9)] + [("b", "y", 0.1)] * 30 + [("b", "z", 0.8)] * 3 + [(None, None, 0.4)]
+    judged = written(spark.createDataFrame(rows, "host string, path string, p double"), "judged")
+    sites, k = site_counts(judged)
+    got = {(r["host"], r["path"]): r["prior"] for r in judged.join(sites, (judged["host"].eqNullSafe(sites["host"])) & (
+        judged["path"].eqNullSafe(sites["path"]))).select(judged["host"], judged["path"], k.prior(judged["p"], 1).alias("prior")).collect()}
+    n_b, good_b = 33, 30 * 0.1 + 3 * 0.8
+
+    def want(host_good, host_n, path_good, path_n):
+        host = (host_good + k.host * k.overall) / (host_n + k.host)
+        return (path_good + k.path * host) / (path_n + k.path)
+
+    assert got["a", "x"] == pytest.approx(k.overall) and got[None, None] == pytest.approx(k.overall)
+    assert got["b", "z"] == pytest.approx(want(good_b - 0.8, n_b - 1, 1.6, 2))
+    assert got["b", "y"] == pytest.approx(want(good_b - 0.1, n_b - 1, 2.9, 29))

@@ -99,3 +99,28 @@ def test_plan_grows_with_the_logarithm():
     for n in (10**3, 10**6, 10**9):
         b, tables = plan(n)
         assert (1 - (1 - math.acos(0.98) / math.pi) ** b) ** tables <= 1e-4
+
+
+@pytest.mark.parametrize("norm", [0.0, 0.9, 0.95])
+def test_recall_of_links_at_the_threshold(norm):
+    """Vectors about a common direction, whose unit vectors have a mean of that norm: pairs just above
+    the least cosine are found by the tables that the sample asks for."""
+    from tenorline.llm.itq_neighbours import learn_for
+    rng = np.random.default_rng(6)
+
+    def unit(x):
+        return x / np.linalg.norm(x, axis=1)[:, None]
+
+    def drawn(n):
+        x = unit(rng.standard_normal((n, 64)))
+        x *= np.sqrt(1 - norm * norm)
+        x[:, 0] += norm
+        return unit(x)
+
+    codes = learn_for(drawn(2000), 50_000)
+    x = drawn(3000)
+    aside = rng.standard_normal(x.shape)
+    aside = unit(aside - (aside * x).sum(axis=1)[:, None] * x)
+    y = 0.9801 * x + np.sqrt(1 - 0.9801**2) * aside
+    found = (codes.substrings(x) == codes.substrings(y)).any(axis=1)
+    assert found.mean() >= 0.999
