@@ -16,6 +16,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tenorline.llm.shared import written
 from tenorline.llm.spans import by_start, count_of, matches, replaced, told
 
 KINDS = ("assign", "access", "hex")
@@ -71,8 +72,8 @@ def _random(seed: Column) -> list[Column]:
 
 
 def labelled_samples(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int = SAMPLE) -> DataFrame:
-    """(value, is_random): random strings against ordinary ones, from a sample of about ``most``
-    documents that a hash of the id draws (all of them where there are fewer).
+    """(value, is_random, n), written: random strings against ordinary ones and how often each occurs,
+    from a sample of about ``most`` documents that a hash of the id draws (all where there are fewer).
 
     Random are the values of base matches, and hashes of the texts over the alphabets of keys;
     ordinary are the words beside base matches, and names, paths and numbers made of them.
@@ -91,7 +92,8 @@ def labelled_samples(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         F.explode(F.array(*_identifiers(F.slice("words", F.size("words") - 3, 4), F.xxhash64("text")))).alias("value"),
         F.lit(False).alias("is_random"))
     random = worded.filter(F.size("words") >= 4).select(F.explode(F.array(*_random(F.col("text")))).alias("value"), F.lit(True).alias("is_random"))
-    return values.unionByName(words).unionByName(made).unionByName(random)
+    together = values.unionByName(words).unionByName(made).unionByName(random)
+    return written(together.groupBy("value", "is_random").agg(F.count(F.lit(1)).alias("n")), "labelled")
 
 
 def _blanked(text: Column, spans: Column) -> Column:
@@ -105,14 +107,16 @@ def train(labelled: DataFrame, smoothing: float = SMOOTHING) -> list[float]:
     """Log-likelihood ratios, random over ordinary, at place before * CODES + code.
 
     Transitions are smoothed with ``smoothing`` pseudo-counts of each class's single
-    characters, and those with half a count each; a class without samples is uniform.
+    characters, and those with half a count each; a class without samples is uniform. A column
+    ``n`` of ``labelled`` tells how often a string occurs, once by default.
     """
+    often = F.col("n") if "n" in labelled.columns else F.lit(1)
     codes = F.transform(F.split("value", ""), lambda c: F.least(F.ascii(c), F.lit(CODES - 1)))
-    pairs = (labelled.filter("value <> ''").select("is_random", codes.alias("codes"))
-             .select("is_random", F.explode(F.arrays_zip(
+    pairs = (labelled.filter("value <> ''").select("is_random", codes.alias("codes"), often.alias("often"))
+             .select("is_random", "often", F.explode(F.arrays_zip(
                  F.concat(F.array(F.lit(0)), F.slice("codes", F.lit(1), F.size("codes") - 1)).alias("before"),
                  F.col("codes").alias("code"))).alias("p"))
-             .groupBy("is_random", "p.before", "p.code").count().collect())
+             .groupBy("is_random", "p.before", "p.code").agg(F.sum("often").alias("count")).collect())
     ratio = [0.0] * (CODES * CODES)
     for is_random, sign in ((True, 1), (False, -1)):
         seen = {(r["before"], r["code"]): r["count"] for r in pairs if r["is_random"] is is_random}
@@ -145,16 +149,14 @@ def thresholds(labelled: DataFrame, model: list[float]) -> list[float]:
     reach within that length, or if it is more, the one that ``BELOW`` of the ordinary strings of
     at least that length do not pass, but no more than ``RAISED`` times the former, as ordinary
     samples hold unknown secrets; ``THRESHOLD`` without samples."""
-    found = []
-    for k, least in enumerate(LENGTHS):
-        begun = F.when(F.col("is_random"), F.substring("value", 1, least)).otherwise(F.col("value"))
-        below = F.length("value") < (LENGTHS[k + 1] if k + 1 < len(LENGTHS) else 2**31 - 1)
-        found.append(labelled.filter((F.length("value") >= least) & (F.col("is_random") | below))
-                     .select(F.lit(k).alias("of"), "is_random", log_ratio(begun, model).alias("ratio")))
-    together = found[0]
-    for more in found[1:]:
-        together = together.unionByName(more)
-    at = together.groupBy("of").agg(
+    reached = F.size(F.filter(F.lit(list(LENGTHS)), lambda x: x <= F.length("value")))
+    classes = F.sequence(F.when(F.col("is_random"), F.lit(1)).otherwise(reached), reached)
+    long = labelled.filter(F.length("value") >= LEAST_LENGTH).select("value", "is_random", F.explode(classes).alias("of"))
+    begun = F.when(F.col("is_random"), F.expr(f"substring(value, 1, element_at(array({', '.join(map(str, LENGTHS))}), of))")
+                   ).otherwise(F.col("value"))
+    scored = long.select((F.col("of") - 1).alias("of"), "is_random", begun.alias("begun")).select(
+        "of", "is_random", log_ratio(F.col("begun"), model).alias("ratio"))
+    at = scored.groupBy("of").agg(
         F.percentile_approx(F.when(F.col("is_random"), F.col("ratio")), MISSED, 10_000).alias("random"),
         F.percentile_approx(F.when(~F.col("is_random"), F.col("ratio")), BELOW, 10_000).alias("ordinary")).collect()
     known = {r["of"]: r for r in at}
