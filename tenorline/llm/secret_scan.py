@@ -28,7 +28,7 @@ ACCESS = r"AKIA[A-Z0-9]++"
 HEX = r"[0-9a-f]{24,}+"
 #: A run for the models: at least so many characters of keys.
 LEAST_LENGTH = 12
-RUN = r"(?:\G|(?<![A-Za-z0-9+/_=-]))[A-Za-z0-9+/_=-]{12,}+"
+RUN = r"[A-Za-z0-9+/_=-]{12,}+"
 #: Ordinary identifiers and words, the other class of the training sample.
 WORD = r"(?<![A-Za-z0-9+/_=-])[A-Za-z_][A-Za-z0-9_-]{3,}+(?![A-Za-z0-9+/_=-])"
 #: Characters are known by their code; 0 stands for the start, other codes than these for 127.

@@ -19,13 +19,14 @@ def no_spans() -> Column:
 def matches(text: Column, pattern: str, kind: str, worth: Column, accept: Callable[[Column], Column]) -> Column:
     """Leftmost non-overlapping matches of ``pattern`` that ``accept``, in order.
 
-    ``worth`` is a cheap test that every text with a match passes; only those are taken
-    apart, into the gap before each match and the match itself, whose lengths add up to
-    positions. The work for n matches grows with n * sqrt(n). ``pattern`` has no capturing groups. Write inner repetitions of groups as
-    possessive ones: these run in a loop, others recurse and overflow the stack on long runs.
+    ``worth`` is a cheap test that every text with a match passes; only those are taken apart,
+    into the matches and the gaps that a split at them leaves, whose lengths add up to
+    positions. The work for n matches grows with n * sqrt(n). ``pattern`` never matches nothing
+    and has no capturing groups. Write inner repetitions of groups as possessive ones: these run
+    in a loop, others recurse and overflow the stack on long runs.
     """
-    apart = r"\G([\s\S]*?)(" + pattern + ")"
-    gaps, hits = F.regexp_extract_all(text, F.lit(apart), F.lit(1)), F.regexp_extract_all(text, F.lit(apart), F.lit(2))
+    hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    gaps = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(hits))
     pairs = F.zip_with(gaps, hits, lambda g, h: F.struct(g.alias("gap"), h.alias("hit"), (F.length(g) + F.length(h)).alias("moved")))
 
     def spans(run: Column, begin: Column) -> Column:
