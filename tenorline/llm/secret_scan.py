@@ -31,8 +31,8 @@ LEAST_LENGTH = 12
 RUN = r"[A-Za-z0-9+/_=-]{12,}+"
 #: Ordinary identifiers and words, the other class of the training sample.
 WORD = r"(?<![A-Za-z0-9+/_=-])[A-Za-z_][A-Za-z0-9_-]{3,}+(?![A-Za-z0-9+/_=-])"
-#: Characters are known by their code; 0 stands for the start, other codes than these for 127.
-CODES = 128
+#: Characters from "+" to "z" are known by their place among these; 0 is the start and what comes before "+", the last what follows "z".
+BEFORE_FIRST, CODES = 42, 82
 THRESHOLD, SMOOTHING = 12.0, 10.0
 #: Lengths from which a threshold holds, and the shares of random and of ordinary strings below it.
 LENGTHS, MISSED, BELOW, RAISED = (12, 16, 20, 26, 34), 0.01, 0.999, 1.25
@@ -83,16 +83,19 @@ def labelled_samples(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     drawn = docs.filter(F.pmod(F.xxhash64(F.lit("sample"), F.col(f"`{id_col}`")), F.lit(1 << 20))
                         < int((1 << 20) * min(1.0, most / max(total, 1)))).select(text.alias("text")).filter("text is not null")
     drawn = drawn.withColumn("spans", base_spans(F.col("text")))
-    values = drawn.select(F.explode("spans").alias("s")).select(
-        F.when(F.col("s.kind") == "assign", F.regexp_extract("s.value", ASSIGNED, 1)).otherwise(F.col("s.value")).alias("value"),
-        F.lit(True).alias("is_random"))
-    worded = drawn.select("text", F.regexp_extract_all(_blanked(F.col("text"), F.col("spans")), F.lit(WORD), F.lit(0)).alias("words"))
-    words = worded.select(F.explode("words").alias("value"), F.lit(False).alias("is_random"))
-    made = worded.filter(F.size("words") >= 4).select(
-        F.explode(F.array(*_identifiers(F.slice("words", F.size("words") - 3, 4), F.xxhash64("text")))).alias("value"),
-        F.lit(False).alias("is_random"))
-    random = worded.filter(F.size("words") >= 4).select(F.explode(F.array(*_random(F.col("text")))).alias("value"), F.lit(True).alias("is_random"))
-    together = values.unionByName(words).unionByName(made).unionByName(random)
+    drawn = drawn.withColumn("words", F.regexp_extract_all(_blanked(F.col("text"), F.col("spans")), F.lit(WORD), F.lit(0)))
+
+    def of_class(values: Column, is_random: bool) -> Column:
+        return F.transform(values, lambda v: F.struct(v.alias("value"), F.lit(is_random).alias("is_random")))
+
+    found = F.transform("spans", lambda s: F.when(
+        s["kind"] == "assign", F.regexp_extract(s["value"], ASSIGNED, 1)).otherwise(s["value"]))
+    last_words = F.slice("words", F.size("words") - 3, 4)
+    made = F.when(F.size("words") >= 4, F.concat(
+        of_class(F.array(*_identifiers(last_words, F.xxhash64("text"))), False),
+        of_class(F.array(*_random(F.col("text"))), True))).otherwise(F.array())
+    # All samples of a text in one array, so that each text is searched once.
+    together = drawn.select(F.explode(F.concat(of_class(found, True), of_class(F.col("words"), False), made)).alias("s")).select("s.*")
     return written(together.groupBy("value", "is_random").agg(F.count(F.lit(1)).alias("n")), "labelled")
 
 
@@ -103,6 +106,10 @@ def _blanked(text: Column, spans: Column) -> Column:
     return replaced(text, marked, lambda blanks: blanks)
 
 
+def _code(char: Column) -> Column:
+    return F.least(F.greatest(F.ascii(char) - BEFORE_FIRST, F.lit(0)), F.lit(CODES - 1))
+
+
 def train(labelled: DataFrame, smoothing: float = SMOOTHING) -> list[float]:
     """Log-likelihood ratios, random over ordinary, at place before * CODES + code.
 
@@ -111,7 +118,7 @@ def train(labelled: DataFrame, smoothing: float = SMOOTHING) -> list[float]:
     ``n`` of ``labelled`` tells how often a string occurs, once by default.
     """
     often = F.col("n") if "n" in labelled.columns else F.lit(1)
-    codes = F.transform(F.split("value", ""), lambda c: F.least(F.ascii(c), F.lit(CODES - 1)))
+    codes = F.transform(F.split("value", ""), _code)
     pairs = (labelled.filter("value <> ''").select("is_random", codes.alias("codes"), often.alias("often"))
              .select("is_random", "often", F.explode(F.arrays_zip(
                  F.concat(F.array(F.lit(0)), F.slice("codes", F.lit(1), F.size("codes") - 1)).alias("before"),
@@ -138,7 +145,7 @@ def log_ratio(value: Column, model: list[float]) -> Column:
     start = F.struct(F.lit(0).alias("before"), F.lit(0.0).alias("sum"))
 
     def step(s: Column, c: Column) -> Column:
-        code = F.least(F.ascii(c), F.lit(CODES - 1))
+        code = _code(c)
         return F.struct(code.alias("before"), (s["sum"] + F.get(table, s["before"] * CODES + code)).alias("sum"))
 
     return F.aggregate(F.split(value, ""), start, step, lambda s: s["sum"])
