@@ -33,15 +33,20 @@ def add_greeks(quotes: DataFrame, rate: float = RATE) -> DataFrame:
     return with_greeks(with_years, Terms(years="_years"), rate).drop("_years")
 
 
-def enrich(quotes: DataFrame, stock_quotes: DataFrame, *, elapsed: bool = False,
-           call_only: bool = False, unique_spot: bool = False) -> DataFrame:
-    """quote -> spot -> dte, weekday -> implied volatility -> Greeks.
+def derive(priced: DataFrame, *, elapsed: bool = False, call_only: bool = False) -> DataFrame:
+    """Quotes with ``spot`` -> dte, weekday -> implied volatility -> Greeks, row by row, so streams too.
 
     Rows without a trade (null close) get no derived values. Undefined results are null,
     never NaN or infinite. Whether a quote counts as fetched is left to the caller.
     """
-    priced = attach_spot(quotes.drop(*DERIVED), stock_quotes, unique=unique_spot)
     dated = add_expiry(priced, elapsed)
     greeks = add_greeks(add_implied_vol(dated, call_only=call_only))
     traded = F.col("close").isNotNull()
     return greeks.withColumns({c: F.when(traded, F.col(c)) for c in ("dte", "exp_date_weekday")})
+
+
+def enrich(quotes: DataFrame, stock_quotes: DataFrame, *, elapsed: bool = False,
+           call_only: bool = False, unique_spot: bool = False) -> DataFrame:
+    """quote -> spot -> ``derive``."""
+    priced = attach_spot(quotes.drop(*DERIVED), stock_quotes, unique=unique_spot)
+    return derive(priced, elapsed=elapsed, call_only=call_only)

@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tenorline.operators.contracts import TERMS
+from tenorline.operators.enrich import DERIVED, derive
 from tenorline.sinks.parquet_tables import append_new, patch_rows, upsert_rows
 from tenorline.sources.vendor_json import LANDED_BAR, parse_contracts
 
@@ -114,6 +115,23 @@ def first_listings(landed: DataFrame, delay: str = "10 days") -> DataFrame:
         _first_listing, LISTED, "listed date", "append", GroupStateTimeout.EventTimeTimeout)
 
 
+def enriched_quotes(quotes: DataFrame, stock_quotes: DataFrame, delay: str = "10 days") -> DataFrame:
+    """Option quotes with spot and derived values, both inputs as streams: a quote is given out
+    once, as soon as it and its underlying's price at the same ``dt`` have landed, in either order.
+
+    One whose spot has not landed when the watermark, ``delay`` behind the slower stream, passes
+    it is given out with null spot and derived values. Of several prices at one instant the first
+    to arrive counts; prices that are null count as not landed. State is the quotes and prices
+    that are younger than the watermark. Columns of ``quotes`` named like derived ones are replaced.
+    """
+    spots = dedupe(
+        stock_quotes.filter(F.col("close").isNotNull()).select(
+            "dt", F.col("ticker").alias("underlying_ticker"), F.col("close").alias("spot")),
+        ("dt", "underlying_ticker"), "dt", delay)
+    waiting = quotes.drop(*DERIVED, "spot").withWatermark("dt", delay)
+    return derive(waiting.join(spots, ["dt", "underlying_ticker"], "left"))
+
+
 def dedupe(stream: DataFrame, key: Sequence[str], event_time: str, delay: str) -> DataFrame:
     """First arrival per key; keys are forgotten once the watermark has passed them."""
     return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(key))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tenorline.functions import sql
 from tenorline.functions.black_scholes import Terms, with_greeks, with_price, year_fraction
@@ -113,7 +113,7 @@ def sql_implied_vol(t: Tables):
         from {quotes}""", quotes=quotes)
 
 
-@query("enrich_quotes", f"""
+ENRICHED_SQL = f"""
 with {MODEL_SQL}, {TOLD_SQL}
 select q.id, cast(q.dt as timestamp) as dt, q.ticker, s.close as spot,
        round(case when coalesce(q.fetched, true) then coalesce(n.price, q.close) end, 6) as close,
@@ -131,18 +131,28 @@ select q.id, cast(q.dt as timestamp) as dt, q.ticker, s.close as spot,
 from option_quotes q
 left join stock_quotes s on s.dt = q.dt and s.ticker = q.underlying_ticker
 left join told n on n.id = q.id
-""".replace("{0}", "coalesce(q.fetched, true) and n.told"),
-       nullable={"dte": "double", "exp_date_weekday": "double"})
-def enrich_quotes(t: Tables):
-    """Quotes at their model price; those whose fetch failed have had no trade."""
+""".replace("{0}", "coalesce(q.fetched, true) and n.told")
+ENRICHED_NULLABLE = {"dte": "double", "exp_date_weekday": "double"}
+
+
+def quotes_at_model_price(t: Tables):
+    """Those whose fetch failed have had no trade."""
     traded = F.coalesce(F.col("fetched"), F.lit(True))
     model = at_model_price(t).select("id", F.col("close").alias("_price"))
-    quotes = (
+    return (
         t.option_quotes.join(model, "id", "left")
         .withColumn("close", F.when(traded, F.coalesce("_price", "close"))).drop("_price")
     )
-    rows = enrich(quotes, t.stock_quotes)
+
+
+def rounded(enriched: DataFrame) -> DataFrame:
+    """The columns that ``ENRICHED_SQL`` gives."""
     values = [F.round("iv", 3).alias("iv")] + [
         (F.round(c, 3) + 0.0).alias(c) for c in ("delta", "gamma", "vega", "theta")]
-    return rows.select("id", "dt", "ticker", "spot", F.round("close", 6).alias("close"), "dte",
-                       "exp_date_weekday", *values)
+    return enriched.select("id", "dt", "ticker", "spot", F.round("close", 6).alias("close"), "dte",
+                           "exp_date_weekday", *values)
+
+
+@query("enrich_quotes", ENRICHED_SQL, nullable=ENRICHED_NULLABLE)
+def enrich_quotes(t: Tables):
+    return rounded(enrich(quotes_at_model_price(t), t.stock_quotes))

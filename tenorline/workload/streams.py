@@ -10,9 +10,10 @@ from tenorline.sinks.parquet_tables import write_table
 from tenorline.sources.tables import read_table
 from tenorline.sources.vendor_json import parse_daily_bars
 from tenorline.streaming.ingest import (
-    LANDED_CONTRACTS, dedupe, first_listings, hourly_last_quote, insert_ignore_into, landed_stream, patch_into,
+    LANDED_CONTRACTS, dedupe, enriched_quotes, first_listings, hourly_last_quote, insert_ignore_into, landed_stream, patch_into,
     to_files, upsert_into,
 )
+from tenorline.workload.pricing import ENRICHED_NULLABLE, ENRICHED_SQL, quotes_at_model_price, rounded
 from tenorline.workload.registry import query
 from tenorline.workload.sources_sinks import (
     BATCH_SQL, PATCHED, PATCHED_SQL, TARGET_SQL, batch_rows, landed_bars, landed_contracts, patches, target_rows,
@@ -111,6 +112,23 @@ def stream_contracts(t: Tables):
     return listed_once(given)
 
 
+@query("stream_enrich", ENRICHED_SQL.replace("left join stock_quotes", "join stock_quotes"), nullable=ENRICHED_NULLABLE)
+def stream_enrich(t: Tables):
+    """All quotes land first with the prices of fetched stock days, the other prices after a restart.
+    The tables span seven years, and quotes that have no price at all wait to the end."""
+    landed, spots = scratch_dir(t.spark, "landed-options"), scratch_dir(t.spark, "landed-spots")
+    out, checkpoint = scratch_dir(t.spark, "stream-enriched"), scratch_dir(t.spark, "enrich-checkpoint")
+    quotes = quotes_at_model_price(t).select("id", "dt", "ticker", "underlying_ticker", "option_type", "strike", "exp_date", "close")
+    prices = t.stock_quotes.select("dt", "ticker", "close", "fetched")
+    quotes.write.json(landed)
+    fetched = F.coalesce(F.col("fetched"), F.lit(False))
+    for arrived in (prices.filter(fetched), prices.filter(~fetched)):
+        arrived.write.mode("append").json(spots)
+        stream = enriched_quotes(landed_stream(t.spark, landed, quotes.schema), landed_stream(t.spark, spots, prices.schema), "4000 days")
+        to_files(stream, out, checkpoint).awaitTermination()
+    return rounded(t.spark.read.schema(stream.schema).parquet(out))
+
+
 def event_stream(t: Tables) -> DataFrame:
     # As a pattern, so that the table may be one file or a folder of files.
     pattern = f"{t.sf_dir}/{{events.parquet}}"

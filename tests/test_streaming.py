@@ -5,7 +5,7 @@ from tenorline.operators.contracts import listed_once
 from tenorline.session import scratch_dir
 from tenorline.sinks.parquet_tables import write_table
 from tenorline.sources.tables import read_table
-from tenorline.streaming.ingest import LANDED_CONTRACTS, first_listings, hourly_last_quote, insert_ignore_into, landed_stream, to_files
+from tenorline.streaming.ingest import LANDED_CONTRACTS, enriched_quotes, first_listings, hourly_last_quote, insert_ignore_into, landed_stream, to_files
 
 SCHEMA = "id long, dt timestamp, ticker string, close double"
 KEY = ("dt", "ticker")
@@ -111,3 +111,33 @@ def test_expired_contracts_leave_the_state(spark):
     assert sorted(r["ticker"] for r in spark.read.schema(stream.schema).parquet(out).collect()) == ["A", "B", "C"]
     progress = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
     assert not progress or progress[-1] == 2
+
+
+def test_quotes_wait_for_their_spot(spark):
+    landed, prices = scratch_dir(spark, "quotes"), scratch_dir(spark, "spots")
+    out, checkpoint = scratch_dir(spark, "enriched"), scratch_dir(spark, "checkpoint")
+    first, later = datetime(2022, 1, 21, 21), datetime(2022, 2, 18, 21)
+    quoted = "dt timestamp, ticker string, underlying_ticker string, option_type string, strike double, exp_date date, close double, iv double"
+    priced = "dt timestamp, ticker string, close double"
+
+    def quote(ticker, underlying, dt=first):
+        return (dt, ticker, underlying, "call", 100.0, date(2022, 3, 18), 5.0, 9.9)
+
+    def land(quotes, spots):
+        spark.createDataFrame(quotes, quoted).write.mode("append").json(landed)
+        spark.createDataFrame(spots, priced).write.mode("append").json(prices)
+        stream = enriched_quotes(landed_stream(spark, landed, spark.createDataFrame([], quoted).schema),
+                                 landed_stream(spark, prices, spark.createDataFrame([], priced).schema), "10 days")
+        to_files(stream, out, checkpoint).awaitTermination()
+        rows = spark.read.schema(stream.schema).parquet(out).collect()
+        return sorted((r["ticker"], r["spot"], r["iv"] is not None) for r in rows)
+
+    # A null price has not landed; the second price of an instant changes nothing.
+    assert land([quote("A1", "A"), quote("B1", "B"), quote("C1", "C")],
+                [(first, "C", 101.0), (first, "C", 55.0), (first, "A", None)]) == [("C1", 101.0, True)]
+    assert land([quote("C2", "C")], [(first, "A", 102.0)]) == [("A1", 102.0, True), ("C1", 101.0, True), ("C2", 101.0, True)]
+    # B's price never lands: once the watermark has passed, its quote is given out without one.
+    done = [("A1", 102.0, True), ("B1", None, False), ("C1", 101.0, True), ("C2", 101.0, True), ("D1", 103.0, True)]
+    assert land([quote("D1", "D", later)], [(later, "D", 103.0)]) == done
+    # A price later than the delay changes nothing, and neither does a run without new files.
+    assert land([], [(first, "B", 99.0)]) == done
