@@ -14,9 +14,10 @@ within a factor is a duplicate; any other duplicate lies across exactly one boun
 between factors, since a factor that starts within it reaches its end, so windows across
 boundaries that both factors together could hold are looked up as well.
 
-Nothing is compared that need not be: documents with the same words are one, as are equal
-segments of an anchor, which are duplicates from the second document on; and an anchor
-with a single segment is not parsed. Where an anchor has more than ``MOST_SEGMENTS``
+Nothing is compared that need not be: documents with the same words are one; anchors that
+stand in one document only are left out before anything else; equal segments of an anchor
+are one, duplicates from the second document on; and an anchor with a single segment is not
+parsed. Where an anchor has more than ``MOST_SEGMENTS``
 distinct segments (words that stand in very many different contexts), its windows are
 matched by the digests of all their words instead, which is exact and needs no block.
 
@@ -352,6 +353,10 @@ def duplicate_spans(docs: DataFrame, most_segments: int = MOST_SEGMENTS) -> tupl
     placed = written(own.select("own.doc_id", "own.tag", F.explode("own.segments").alias("s"))
                      .select("doc_id", "tag", "s.anchor", "s.segment", "s.start", "s.words"), "segments")
 
+    # Only where an anchor stands in two documents can one hold a window of the other: all that
+    # follows is about these segments. Segments of copies are added up before they are moved.
+    met = placed.groupBy("anchor").agg(F.min("doc_id").alias("_low"), F.max("doc_id").alias("_high")).filter("_low < _high")
+    placed = written(placed.join(written(met.select("anchor"), "met"), "anchor", "left_semi"), "placed")
     distinct = placed.groupBy("anchor", "segment").agg(
         F.min(F.struct("doc_id", "tag", "start", "words")).alias("at"), F.max("doc_id").alias("last"))
     distinct = written(distinct.select("anchor", "segment", "at.*", (F.col("last") > F.col("at.doc_id")).alias("again")), "distinct")

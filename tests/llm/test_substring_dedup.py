@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from helpers import documents
 
+from tenorline.llm import substring_dedup
 from tenorline.llm.substring_dedup import (
     ANCHOR, WINDOW, Block, remove_repeats, run_hashes, segments, spans_of, word_hashes,
 )
@@ -79,6 +80,26 @@ def test_matches_every_window_looked_up(spark, corpus, most_segments):
     assert sum(0 < r[2] < r[1] for r in want) > 40 and sum(r[2] == 0 and r[1] > 60 for r in want) >= 5
 
 
+def test_only_anchors_of_two_documents_are_followed(spark, monkeypatch):
+    rng = random.Random(5)
+    prose = lambda n: [f"u{rng.randrange(10**9)}" for _ in range(n)]
+    passage, own = prose(80), prose(70)
+    rows = [(k, " ".join(prose(400))) for k in range(20)]
+    rows += [(20, " ".join(prose(30) + passage + prose(30))), (21, " ".join(prose(30) + passage))]
+    rows += [(22, " ".join(own + prose(9) + own + prose(9) + own))]  # repeats itself only
+    counts, write = {}, substring_dedup.written
+
+    def counted(df, label, *more):
+        out = write(df, label, *more)
+        counts[label] = out.count()
+        return out
+
+    monkeypatch.setattr(substring_dedup, "written", counted)
+    assert result(remove_repeats(documents(spark, rows))) == by_value(brute_force(rows))
+    assert counts["segments"] > 150
+    assert 0 < counts["distinct"] <= 16 and 0 < counts["fetched"] <= 16
+
+
 def test_kept_text(spark):
     same = " ".join(f"s{k}" for k in range(60))
     rows = [(1, f"start {same} end"), (2, f"Other  {same}\nlast"), (3, same), (4, "short")]
