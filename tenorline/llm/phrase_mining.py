@@ -5,7 +5,7 @@ both directions. A phrase is the pair of intervals of rows that start with it in
 the text and, read backwards, in that of the reversed text. Reading the symbols in front
 of the rows of an interval extends all phrases of a length at once, to the left through one
 index and to the right through the other, and either step moves both intervals. Counts are
-interval lengths; they are summed across shards.
+interval lengths; they are summed across shards, first those of a task, then those of all tasks.
 
 No phrase is more frequent than its parts, so a phrase is counted only if its words are
 frequent overall, longer ones only if all their pairs and triples of neighbours are. What is
@@ -38,6 +38,8 @@ DEPTH = 6
 FILTER_BITS, MOST_BITS = 16, 1 << 28
 #: Shards, megabytes each, that Python gets at once.
 SHARDS_AT_ONCE = 2
+#: Phrases whose counts a task adds up at once before it hands them over, and such tasks per core.
+MOST_HELD, TASKS_PER_CORE = 1 << 18, 2
 #: Words per hashed counter of pairs or triples, and counters that one task adds up at once.
 COUNTER_WORDS, COUNTERS = 16, 1 << 16
 
@@ -385,21 +387,35 @@ def large_counters(shards: DataFrame, words: Filter, pairs: Filter | None, lengt
     return Counters(bits)
 
 
-def _counts(words: Filter, pairs: Filter | Counters, triples: Counters | None):
+def _counts(words: Filter, pairs: Filter | Counters, triples: Counters | None, most_held: int = MOST_HELD):
     """(lang, phrase, n): all phrases of two words that may be frequent, or with ``triples`` those of
-    three and more."""
+    three and more. A task adds up the counts of its shards, of ``most_held`` phrases and those of one
+    shard and length at most, and then hands them over."""
+
+    def rows(held: dict[str, dict[str, int]]) -> Iterator[pa.RecordBatch]:
+        for lang, counts in held.items():
+            phrases, n = list(counts), np.fromiter(counts.values(), np.int64, len(counts))
+            for at in range(0, len(phrases), 20_000):
+                part = phrases[at:at + 20_000]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * len(part)), pa.array(part), pa.array(n[at:at + 20_000])], names=["lang", "phrase", "n"])
 
     def run(shards: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, dict[str, int]] = {}
         for opened in _opened(shards, words):
             lang, names = opened[:2]
             for now in _grown(opened, pairs, triples, 2 if triples is None else LONGEST):
-                wanted = triples is None or now.words.shape[1] > 2
-                for at in range(0, len(now.count) if wanted else 0, 20_000):
-                    rows = now.words[at:at + 20_000].tolist()
-                    phrases = [" ".join([names[w - 1] for w in row]) for row in rows]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang] * len(rows)), pa.array(phrases),
-                         pa.array(now.count[at:at + 20_000], pa.int64())], names=["lang", "phrase", "n"])
+                if triples is not None and now.words.shape[1] < 3:
+                    continue
+                counts = held.setdefault(lang, {})
+                for at in range(0, len(now.count), 20_000):
+                    for row, n in zip(now.words[at:at + 20_000].tolist(), now.count[at:at + 20_000].tolist()):
+                        phrase = " ".join([names[w - 1] for w in row])
+                        counts[phrase] = counts.get(phrase, 0) + n
+                if sum(map(len, held.values())) >= most_held:
+                    yield from rows(held)
+                    held = {}
+        yield from rows(held)
 
     return run
 
@@ -420,6 +436,8 @@ def frequent_phrases(docs: DataFrame, lang_col: str = "lang", text_col: str = "t
     totals = shards.select("lang", F.expr("aggregate(counts, 0L, (a, c) -> a + c) - counts[0]").alias("total"))
     totals = written(totals.groupBy("lang").agg(F.sum("total").alias("total")).filter("total > 0"), "totals")
     schema = "lang string, phrase string, n long"
+    # Fewer, longer tasks hand over fewer sums: as many as keep the cores busy, however many shards.
+    dealt = shards.coalesce(TASKS_PER_CORE * docs.sparkSession.sparkContext.defaultParallelism)
 
     def summed(counted: DataFrame, label: str) -> DataFrame:
         return written(counted.groupBy("lang", "phrase").agg(F.sum("n").alias("n")).filter(F.col("n") >= least), label, SHARDS_AT_ONCE)
@@ -428,10 +446,10 @@ def frequent_phrases(docs: DataFrame, lang_col: str = "lang", text_col: str = "t
     word_filter = frequent_filter(words)
     total = totals.agg(F.sum("total")).first()[0] or 0
     pair_counters = large_counters(shards, word_filter, None, 2, total, least)
-    pairs = summed(shards.mapInArrow(_counts(word_filter, pair_counters, None), schema), "pairs")
+    pairs = summed(dealt.mapInArrow(_counts(word_filter, pair_counters, None), schema), "pairs")
     pair_filter = frequent_filter(pairs)
     triple_counters = large_counters(shards, word_filter, pair_filter, 3, total, least)
-    longer = summed(shards.mapInArrow(_counts(word_filter, pair_filter, triple_counters), schema), "longer")
+    longer = summed(dealt.mapInArrow(_counts(word_filter, pair_filter, triple_counters), schema), "longer")
     found = words.unionByName(pairs).unionByName(longer)
     return found.select("lang", "phrase", F.size(F.split("phrase", " ")).alias("size"), "n"), totals
 

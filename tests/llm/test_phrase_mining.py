@@ -3,9 +3,12 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from tenorline.llm.phrase_mining import Filter, Index, _places, bwt, collocations, frequent_phrases, rows_in_order, tokens
+from tenorline.llm.phrase_mining import (
+    Filter, Index, _counts, _indexed, _places, bwt, collocations, frequent_phrases, rows_in_order, tokens,
+)
 
 SCHEMA = "doc_id long, lang string, text string, n long, phrase string, words string, `rank` double"
 
@@ -121,3 +124,30 @@ def test_filter_holds_all_that_was_put_in():
         np.bitwise_or.at(bits, place >> np.uint64(6), np.uint64(1) << (place & np.uint64(63)))
     other = np.random.default_rng(4).integers(0, 2**63, 5000).astype(np.uint64)
     assert Filter(bits).maybe(hashes).all() and Filter(bits).maybe(other).mean() < 0.05
+
+
+class _All:
+    def maybe(self, hashes):
+        return np.ones(len(hashes), bool)
+
+
+def test_a_task_hands_over_each_phrase_once(rows):
+    texts = pa.RecordBatch.from_pydict({"lang": [lang or "und" for lang, _ in rows], "text": [text for _, text in rows]})
+    shards = list(_indexed(60)([texts]))
+    assert len(shards) > 50
+    f, _ = counted(rows)
+    for triples, sizes in ((None, (2,)), (_All(), (3, 4, 5))):
+        want = {(lang, " ".join(p)): n for (lang, p), n in f.items() if len(p) in sizes}
+        got = [tuple(r.values()) for b in _counts(_All(), _All(), triples)(iter(shards)) for r in b.to_pylist()]
+        assert len(got) == len(want) and {r[:2]: r[2] for r in got} == want
+
+
+def test_counts_handed_over_early_add_up(rows):
+    texts = pa.RecordBatch.from_pydict({"lang": [lang or "und" for lang, _ in rows], "text": [text for _, text in rows]})
+    sums, batches = Counter(), 0
+    for b in _counts(_All(), _All(), _All(), most_held=100)(_indexed(60)([texts])):
+        batches += 1
+        for r in b.to_pylist():
+            sums[r["lang"], tuple(r["phrase"].split(" "))] += r["n"]
+    f, _ = counted(rows)
+    assert batches > 10 and sums == {k: n for k, n in f.items() if len(k[1]) > 2}
