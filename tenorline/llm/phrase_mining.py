@@ -38,7 +38,13 @@ DEPTH = 6
 FILTER_BITS, MOST_BITS = 16, 1 << 28
 #: Shards, megabytes each, that Python gets at once.
 SHARDS_AT_ONCE = 2
-#: Phrases whose counts a task adds up at once before it hands them over, and such tasks per core.
+#: Shards take megabytes a row. Parquet by itself looks at sizes only after 100 rows, so pages and row groups would hold
+#: all shards of a task, as would the buffers that (de)compress a page and the batch of columns that is read at once. It
+#: also keeps the least and greatest value of every row group, whole, until a file ends.
+ROW_GROUP = 1 << 23
+LARGE_ROWS = {"parquet.block.size": ROW_GROUP, "parquet.column.statistics.enabled": False} | {
+    f"parquet.{part}.size.row.check.{bound}": 1 for part in ("block", "page") for bound in ("min", "max")}
+#: Phrases whose counts a task adds up at once before it hands them over, and tasks per core that index or count shards.
 MOST_HELD, TASKS_PER_CORE = 1 << 18, 2
 #: Words per hashed counter of pairs or triples, and counters that one task adds up at once.
 COUNTER_WORDS, COUNTERS = 16, 1 << 16
@@ -381,7 +387,7 @@ def large_counters(shards: DataFrame, words: Filter, pairs: Filter | None, lengt
     parts = (shards.mapInArrow(_added(words, pairs, length, size), "part int, gaps binary, counts binary")
              .repartition("part").sortWithinPartitions("part").mapInArrow(_added_up(min(least, 255)), "part int, bits binary"))
     bits = np.zeros(size // 8, np.uint8)
-    for part, reached in zip(*written(parts, "counters", SHARDS_AT_ONCE).toArrow().columns):
+    for part, reached in zip(*written(parts.hint("rebalance"), "counters", SHARDS_AT_ONCE).toArrow().columns):
         at = part.as_py() * COUNTERS // 8
         bits[at:at + COUNTERS // 8] = np.frombuffer(reached.as_buffer(), np.uint8)
     return Counters(bits)
@@ -431,16 +437,19 @@ def frequent_phrases(docs: DataFrame, lang_col: str = "lang", text_col: str = "t
     """
     given = docs.select(F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit("und")).alias("lang"),
                         F.col(f"`{text_col}`").cast("string").alias("text"))
-    shards = written(given.mapInArrow(_indexed(shard_words), _SHARDS), "shards")
+    # Fewer, longer tasks make fuller shards and hand over fewer sums: as many as keep the cores busy, however much there is.
+    tasks = TASKS_PER_CORE * docs.sparkSession.sparkContext.defaultParallelism
+    shards = written(given.coalesce(tasks).mapInArrow(_indexed(shard_words), _SHARDS), "shards", options=LARGE_ROWS)
     seen = shards.select("lang", F.explode(F.arrays_zip("words", F.slice("counts", 2, 2**31 - 1).alias("n"))).alias("w"))
     totals = shards.select("lang", F.expr("aggregate(counts, 0L, (a, c) -> a + c) - counts[0]").alias("total"))
     totals = written(totals.groupBy("lang").agg(F.sum("total").alias("total")).filter("total > 0"), "totals")
     schema = "lang string, phrase string, n long"
-    # Fewer, longer tasks hand over fewer sums: as many as keep the cores busy, however many shards.
-    dealt = shards.coalesce(TASKS_PER_CORE * docs.sparkSession.sparkContext.defaultParallelism)
+    dealt = shards.coalesce(tasks)
 
     def summed(counted: DataFrame, label: str) -> DataFrame:
-        return written(counted.groupBy("lang", "phrase").agg(F.sum("n").alias("n")).filter(F.col("n") >= least), label, SHARDS_AT_ONCE)
+        # Little is left of many partitions, so that it is dealt anew by its size instead of written as a tiny file of each.
+        sums = counted.groupBy("lang", "phrase").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
+        return written(sums.hint("rebalance"), label, SHARDS_AT_ONCE)
 
     words = summed(seen.select("lang", F.col("w.words").alias("phrase"), "w.n"), "words")
     word_filter = frequent_filter(words)

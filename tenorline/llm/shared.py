@@ -49,13 +49,13 @@ def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> Iterator[None]
         spark.conf.set(_BATCH, before) if before else spark.conf.unset(_BATCH)
 
 
-def written(df: DataFrame, label: str, batch_rows: int = BATCH_ROWS) -> DataFrame:
+def written(df: DataFrame, label: str, batch_rows: int = BATCH_ROWS, options: dict[str, int | bool] | None = None) -> DataFrame:
     """``df`` as a table in the shared folder: computed once, without lineage, and still
-    readable when executors are lost. Python sees ``batch_rows`` rows at once."""
+    readable when executors are lost. Python sees ``batch_rows`` rows at once; ``options`` are the writer's."""
     spark = df.sparkSession
     path = shared_path(spark, label)
     with small_batches(spark, batch_rows):
-        df.write.parquet(path)
+        df.write.options(**(options or {})).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from tenorline.llm import shared
 from tenorline.llm.phrase_mining import (
     Filter, Index, _counts, _indexed, _places, bwt, collocations, frequent_phrases, rows_in_order, tokens,
 )
@@ -151,3 +152,46 @@ def test_counts_handed_over_early_add_up(rows):
             sums[r["lang"], tuple(r["phrase"].split(" "))] += r["n"]
     f, _ = counted(rows)
     assert batches > 10 and sums == {k: n for k, n in f.items() if len(k[1]) > 2}
+
+
+def test_shards_are_written_in_small_pages_and_row_groups(spark, tmp_path, monkeypatch):
+    texts = spark.range(0, 48, 1, 1).selectExpr(
+        "'en' as lang", "array_join(transform(sequence(1, 60000), k -> hash(id, k) % 5000), ' ') as text")
+    monkeypatch.setattr(shared, "shared_path", lambda _, label: f"{tmp_path}/{label}-{len(list(tmp_path.iterdir()))}")
+    frequent_phrases(texts, least=10**9, shard_words=50_000)
+    [file] = tmp_path.glob("shards-*/*.parquet")
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(str(file))
+    reader = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(
+        jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(path, spark._jsc.hadoopConfiguration()))
+    groups = list(reader.getFooter().getBlocks())
+    assert sum(g.getRowCount() for g in groups) == 48
+    assert len(groups) > 1 and max(g.getCompressedSize() for g in groups) < 10 << 20
+    for group in groups:
+        for column in group.getColumns():
+            if column.getPath().toDotString() in ("forward", "backward"):
+                assert column.getStatistics().isEmpty()
+                # A row is 240 kB, a page at most 1 MB and the row that reaches it.
+                assert reader.readOffsetIndex(column).getPageCount() >= group.getRowCount() / 6
+    reader.close()
+
+
+def test_tables_are_written_in_few_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(shared, "shared_path", lambda _, label: f"{tmp_path}/{label}-{len(list(tmp_path.iterdir()))}")
+    # Spark by itself keeps the partitions of a shuffle that were large before the filter.
+    settings = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+                "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        words = spark.range(0, 400, 1, 100).selectExpr(
+            "'en' as lang", "concat('x y z ', array_join(transform(sequence(1, 2000), k -> concat('w', hash(id, k))), ' ')) as text")
+        found, _ = frequent_phrases(words, least=100)
+        assert {r["phrase"]: r["n"] for r in found.collect()} == {p: 400 for p in ("x", "y", "z", "x y", "y z", "x y z")}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    files = {d.name.split("-")[0]: len(list(d.glob("*.parquet"))) for d in tmp_path.iterdir()}
+    assert files["shards"] <= 2 * spark.sparkContext.defaultParallelism
+    assert max(files[t] for t in ("words", "pairs", "longer", "counters")) <= 2
